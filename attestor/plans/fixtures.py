@@ -148,15 +148,26 @@ def with_fixtures(sql: str) -> str:
         return sql
     ctes = ",\n".join(f"fx_{n} AS ({FLAT[n]})" for n in names)
     body = sql.strip()
-    if body[:4].upper() == "WITH":
+    head = body[:14].upper()
+    if head.startswith("WITH RECURSIVE"):
+        return f"WITH RECURSIVE {ctes},\n{body[14:].lstrip()}"
+    if head.startswith("WITH"):
         return f"WITH {ctes},\n{body[4:].lstrip()}"
     return f"WITH {ctes}\n{body}"
 
 
+_REGISTERED: dict[int, str] = {}
+
+
 def register_fixtures(spark: SparkSession, sf_dir: str) -> None:
+    """Register driver tables and flat fixtures once per session and folder."""
+    key = id(spark)
+    if _REGISTERED.get(key) == sf_dir and spark.catalog.tableExists("fx_triples"):
+        return
     register_tables(spark, sf_dir)
     for name, sql in FLAT.items():
         spark.sql(sql).createOrReplaceTempView(f"fx_{name}")
+    _REGISTERED[key] = sf_dir
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

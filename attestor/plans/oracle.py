@@ -147,3 +147,128 @@ FROM c
 
 def oracle_sql() -> dict[str, str]:
     return {name: with_fixtures(sql) for name, sql in ORACLE.items()}
+
+
+def _bin(x: str, t=("true", "yes"), f=("false", "no")) -> str:
+    tl = ", ".join(f"'{w}'" for w in t)
+    fl = ", ".join(f"'{w}'" for w in f)
+    v = f"lower({strip(x)})"
+    return f"CASE WHEN {v} IN ({tl}) THEN 1 WHEN {v} IN ({fl}) THEN 0 END"
+
+
+def _div(a: str, b: str) -> str:
+    return f"coalesce(CAST({a} AS DOUBLE) / nullif(CAST({b} AS DOUBLE), 0), 0.0)"
+
+
+_CONFUSION = f"""
+b AS (SELECT {_bin('ground_truth')} AS y, {_bin('predicted')} AS p FROM fx_labels),
+c AS (SELECT count(*) AS total_samples,
+             count(*) FILTER (WHERE y IS NOT NULL AND p IS NOT NULL) AS n,
+             count(*) FILTER (WHERE y = 0 AND p = 0) AS tn,
+             count(*) FILTER (WHERE y = 0 AND p = 1) AS fp,
+             count(*) FILTER (WHERE y = 1 AND p = 0) AS fn,
+             count(*) FILTER (WHERE y = 1 AND p = 1) AS tp
+      FROM b)
+"""
+
+ORACLE["class_metrics"] = f"""
+WITH {_CONFUSION},
+d AS (SELECT *, {_div('tp', 'tp + fp')} AS pr, {_div('tp', 'tp + fn')} AS rc,
+             {_div('tn', 'tn + fp')} AS sp FROM c)
+SELECT round({_div('tp + tn', 'n')}, 6) AS accuracy,
+       round({_div('2 * tp', '2 * tp + fp + fn')}, 6) AS f1_score,
+       round(pr, 6) AS precision, round(rc, 6) AS recall, round(sp, 6) AS specificity,
+       round(CASE WHEN tp + fn > 0 AND tn + fp > 0 THEN (rc + sp) / 2 END, 6) AS auroc,
+       round(CASE WHEN tp + fn > 0 THEN pr * rc + (1 - rc) * {_div('tp + fn', 'n')}
+                  ELSE 0.0 END, 6) AS auprc,
+       total_samples, n AS valid_predictions, total_samples - n AS unknown_predictions,
+       tn, fp, fn, tp, tp + fn AS positives, tn + fp AS negatives
+FROM d
+"""
+
+ORACLE["class_report"] = f"""
+WITH {_CONFUSION},
+d AS (SELECT *, {_div('tp', 'tp + fp')} AS p1, {_div('tp', 'tp + fn')} AS r1,
+             {_div('tn', 'tn + fn')} AS p0, {_div('tn', 'tn + fp')} AS r0,
+             {_div('2 * tp', '2 * tp + fp + fn')} AS f1, {_div('2 * tn', '2 * tn + fn + fp')} AS f0,
+             tp + fn AS s1, tn + fp AS s0 FROM c)
+SELECT 'Not Supported' AS label, round(p0, 6) AS precision, round(r0, 6) AS recall,
+       round(f0, 6) AS f1_score, s0 AS support, round({_div('s0 * 100', 'n')}, 6) AS share_pct FROM d
+UNION ALL
+SELECT 'Supported', round(p1, 6), round(r1, 6), round(f1, 6), s1, round({_div('s1 * 100', 'n')}, 6) FROM d
+UNION ALL
+SELECT 'accuracy', NULL, NULL, round({_div('tp + tn', 'n')}, 6), n, NULL FROM d
+UNION ALL
+SELECT 'macro avg', round((p0 + p1) / 2, 6), round((r0 + r1) / 2, 6), round((f0 + f1) / 2, 6), n, NULL
+FROM d
+UNION ALL
+SELECT 'weighted avg', round({_div('p0 * s0 + p1 * s1', 'n')}, 6),
+       round({_div('r0 * s0 + r1 * s1', 'n')}, 6), round({_div('f0 * s0 + f1 * s1', 'n')}, 6), n, NULL
+FROM d
+"""
+
+ORACLE["timing_summary"] = """
+WITH w AS (SELECT (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 AS wall FROM events),
+a AS (SELECT count(runtime_seconds) AS total_rows, sum(runtime_seconds) AS s,
+             avg(runtime_seconds) AS m, coalesce(stddev_samp(runtime_seconds), 0.0) AS sd,
+             quantile_cont(runtime_seconds, 0.5) AS q50, quantile_cont(runtime_seconds, 0.25) AS q25,
+             quantile_cont(runtime_seconds, 0.75) AS q75, quantile_cont(runtime_seconds, 0.95) AS q95,
+             min(runtime_seconds) AS lo, max(runtime_seconds) AS hi
+      FROM fx_timings)
+SELECT total_rows, 24 AS concurrency, round_even(wall, 4) AS wall_total_seconds,
+       round_even(coalesce(wall / nullif(total_rows, 0), 0.0), 4) AS wall_avg_per_row_seconds,
+       round_even(coalesce(total_rows / nullif(wall, 0), 0.0), 4) AS throughput_rows_per_sec,
+       round_even(s, 4) AS sum_seconds, round_even(m, 4) AS mean_seconds,
+       round_even(sd, 4) AS std_seconds, round_even(q50, 4) AS median_seconds,
+       round_even(lo, 4) AS min_seconds, round_even(hi, 4) AS max_seconds,
+       round_even(q25, 4) AS p25_seconds, round_even(q75, 4) AS p75_seconds,
+       round_even(q95, 4) AS p95_seconds,
+       round_even(m / 24, 4) AS approx_mean_per_row_seconds,
+       round_even(sd / 24, 4) AS approx_std_per_row_seconds
+FROM a, w
+"""
+
+ORACLE["token_stats"] = """
+WITH t AS (SELECT TRY_CAST(trim(prompt) AS BIGINT) AS prompt,
+                  TRY_CAST(trim(completion) AS BIGINT) AS completion,
+                  TRY_CAST(trim(total) AS BIGINT) AS total,
+                  TRY_CAST(trim(cached) AS BIGINT) AS cached,
+                  TRY_CAST(trim(uncached) AS BIGINT) AS uncached FROM fx_tokens),
+ok AS (SELECT * FROM t WHERE prompt IS NOT NULL AND completion IS NOT NULL
+         AND total IS NOT NULL AND cached IS NOT NULL AND uncached IS NOT NULL),
+a AS (SELECT count(*) AS num_requests, avg(prompt) AS avg_prompt, min(prompt) AS min_prompt,
+             max(prompt) AS max_prompt, CAST(sum(prompt) AS BIGINT) AS total_prompt,
+             avg(completion) AS avg_completion, min(completion) AS min_completion,
+             max(completion) AS max_completion, CAST(sum(completion) AS BIGINT) AS total_completion,
+             avg(total) AS avg_total, CAST(sum(total) AS BIGINT) AS total_all,
+             avg(cached) AS avg_cached, CAST(sum(cached) AS BIGINT) AS total_cached,
+             count(*) FILTER (WHERE cached > 0) AS hits,
+             avg(uncached) AS avg_uncached, CAST(sum(uncached) AS BIGINT) AS total_uncached
+      FROM ok),
+c AS (SELECT *, total_uncached * 5e-08 AS unc, total_cached * 2.5e-08 AS cac,
+             total_completion * 1.5e-07 AS outc FROM a),
+d AS (SELECT *, unc + cac + outc AS tc, total_prompt * 5e-08 + outc AS nc FROM c)
+SELECT num_requests, round(avg_prompt, 6) AS avg_prompt, min_prompt, max_prompt, total_prompt,
+       round(avg_completion, 6) AS avg_completion, min_completion, max_completion,
+       total_completion, round(avg_total, 6) AS avg_total, total_all,
+       round(avg_cached, 6) AS avg_cached, total_cached,
+       round(coalesce(hits * 100.0 / nullif(num_requests, 0), 0.0), 6) AS cache_hit_rate,
+       round(total_cached * 100.0 / nullif(total_prompt, 0), 6) AS cached_proportion,
+       round(avg_uncached, 6) AS avg_uncached, total_uncached,
+       round(unc, 6) AS uncached_input_cost, round(cac, 6) AS cached_input_cost,
+       round(outc, 6) AS output_cost, round(tc, 6) AS total_cost,
+       round(nc, 6) AS cost_without_cache, round(nc - tc, 6) AS savings,
+       round(coalesce((nc - tc) * 100 / nullif(nc, 0), 0.0), 6) AS savings_percent,
+       round(coalesce(tc / nullif(num_requests, 0), 0.0), 6) AS avg_cost_per_request
+FROM d
+"""
+
+ORACLE["predicate_closure"] = """
+WITH RECURSIVE r(name) AS (
+  SELECT name FROM fx_slots WHERE name = 'related to'
+  UNION
+  SELECT s.name FROM fx_slots s JOIN r ON s.is_a = r.name)
+SELECT 'biolink:' || replace(s.name, ' ', '_') AS predicate,
+       coalesce(trim(regexp_replace(s.description, '\\s+', ' ', 'g')), '') AS description
+FROM fx_slots s WHERE s.name IN (SELECT name FROM r)
+"""

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import KEY_COLUMNS, key_columns, normalize_pmid as normalize
 from ..operators import coverage as cov
+from ..operators import predicates as preds
+from ..operators import reports as rep
 from ..operators import resume
 from ..operators import store as st
 from ..sources.triples import prepare_triples
@@ -147,3 +149,42 @@ def store_retry(spark, sf_dir):
         counts.select("cached").scalar().alias("cache_size"),
         counts.select("rows").scalar().alias("store_rows"),
     )
+
+
+# ------------------------------------------------------------ reports
+
+
+@query
+def class_metrics(spark, sf_dir):
+    """A6 + A9 (F31 strict): metrics from labels (ground truth = quality)."""
+    return rep.class_metrics(fixture(spark, sf_dir, "labels"))
+
+
+@query
+def class_report(spark, sf_dir):
+    """Per-class precision/recall/F1/support and averages."""
+    return rep.class_report(fixture(spark, sf_dir, "labels"))
+
+
+@query
+def timing_summary(spark, sf_dir):
+    """A10: per-request timing stats; wall clock = span of the event stamps."""
+    m = fixture(spark, sf_dir, "timings")
+    ev = spark.table("events")
+    ts = F.col("ts").cast("timestamp")
+    wall = ev.select(
+        ((F.unix_micros(F.max(ts)) - F.unix_micros(F.min(ts))) / 1e6)
+    ).scalar()
+    return rep.timing_summary(m, wall, concurrency=24)
+
+
+@query
+def token_stats(spark, sf_dir):
+    """Token usage and cost; the system turns' non-integer rows are skipped."""
+    return rep.token_stats(fixture(spark, sf_dir, "tokens"))
+
+
+@query
+def predicate_closure(spark, sf_dir):
+    """O4 + F5: slots under 'related to'; the orphan branch stays out."""
+    return preds.predicate_closure(fixture(spark, sf_dir, "slots"))
