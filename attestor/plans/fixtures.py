@@ -20,8 +20,8 @@ from .tables import register_tables
 
 # T: one triple per lineitem row. A fifth of the PMIDs have no document, and
 # the modulo makes a few 4-keys repeat.
-TRIPLES = """
-SELECT 'SUPP:' || CAST(l_suppkey AS STRING) AS subject_curie,
+TRIPLE_COLUMNS = """
+       'SUPP:' || CAST(l_suppkey AS STRING) AS subject_curie,
        CASE l_returnflag
             WHEN 'A' THEN 'stimulates'
             WHEN 'R' THEN 'inhibits'
@@ -29,9 +29,11 @@ SELECT 'SUPP:' || CAST(l_suppkey AS STRING) AS subject_curie,
        'PART:' || CAST(l_partkey AS STRING) AS object_curie,
        'PMID:' || CAST(l_orderkey % (SELECT CAST(floor(count(*) * 5 / 4) AS BIGINT)
                                      FROM documents) AS STRING) AS PMID,
-       l_orderkey * 8 + l_linenumber AS line_id
-FROM lineitem
-"""
+       l_orderkey * 8 + l_linenumber AS line_id"""
+
+# line_id orders rows but is not unique: (order, line number) repeats in the
+# driver's lineitem.
+TRIPLES = f"SELECT {TRIPLE_COLUMNS}\nFROM lineitem\n"
 
 # A: the abstract store, one row per document; three kinds of fault.
 STORE = """
@@ -112,6 +114,76 @@ SELECT DISTINCT 'segment ' || lower(c_mktsegment), 'orphan root',
        'Segment' || chr(9) || c_mktsegment FROM customer
 """
 
+# Predicate definitions: one exact biolink entry, one bare name that resolves
+# through the ``biolink:`` fallback, one exact entry with empty text.
+PREDICATES = """
+SELECT DISTINCT
+       CASE l_returnflag WHEN 'A' THEN 'biolink:stimulates' WHEN 'R' THEN 'inhibits'
+            ELSE 'biolink:increases_amount_or_activity_of' END AS predicate,
+       CASE l_returnflag
+            WHEN 'A' THEN 'A causal relation in which the subject raises the activity of the object.'
+            WHEN 'R' THEN ''
+            ELSE 'Holds between two molecular entities where the action of one increases the amount or activity of the other.'
+            END AS description
+FROM lineitem
+"""
+
+# Node lines (flat): KG2-style supplier nodes, KGX-style part nodes (some under
+# an alternative id), and later revisions of every seventh part.
+NODE_ROWS = """
+SELECT 10 * s_suppkey + 5 AS line, 'SUPP:' || CAST(s_suppkey AS STRING) AS id, s_name AS name,
+       'biolink:Gene' AS category,
+       'Supplier in nation ' || CAST(s_nationkey AS STRING) AS description,
+       'SALT:' || CAST(s_suppkey AS STRING) AS eq1, CAST(NULL AS STRING) AS eq2, true AS kg2,
+       CASE WHEN s_suppkey % 2 = 0 THEN s_name END AS an1,
+       CASE WHEN s_suppkey % 2 = 0 THEN lower(s_name) END AS an2
+FROM supplier
+UNION ALL
+SELECT 10 * p_partkey + 1,
+       CASE WHEN p_partkey % 5 = 0 THEN 'ALTP:' ELSE 'PART:' END || CAST(p_partkey AS STRING),
+       p_name,
+       CASE WHEN p_partkey % 2 = 0 THEN 'biolink:' || p_type
+            ELSE '["biolink:' || p_type || '", "biolink:NamedThing"]' END,
+       p_name || ' of size ' || CAST(p_size AS STRING),
+       'PART:' || CAST(p_partkey AS STRING), 'ALTP:' || CAST(p_partkey AS STRING), false,
+       CAST(NULL AS STRING), CAST(NULL AS STRING)
+FROM part
+UNION ALL
+SELECT 10 * p_partkey + 2, 'PART:' || CAST(p_partkey AS STRING), 'revised ' || p_name,
+       CASE WHEN p_partkey % 2 = 0 THEN '[]' ELSE '' END, CAST(NULL AS STRING),
+       CAST(NULL AS STRING), CAST(NULL AS STRING), false, CAST(NULL AS STRING), CAST(NULL AS STRING)
+FROM part WHERE p_partkey % 7 = 0
+"""
+
+# Name-service answers (flat) for every curie the triples use; a third of the
+# suppliers are unresolvable (null answer).
+ANSWER_ROWS = """
+SELECT 'PART:' || CAST(p_partkey AS STRING) AS curie, true AS answered, p_name AS l0,
+       upper(p_name) AS l1, p_brand AS l2, '' AS l3, p_name || ' protein' AS l4
+FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem)
+UNION ALL
+SELECT 'SUPP:' || CAST(s_suppkey AS STRING), s_suppkey % 3 <> 0, s_name,
+       CAST(NULL AS STRING), CAST(NULL AS STRING), CAST(NULL AS STRING), CAST(NULL AS STRING)
+FROM supplier WHERE s_suppkey IN (SELECT l_suppkey FROM lineitem)
+"""
+
+# Edge records (flat), one per triple row: two study results (the second may
+# repeat the first sentence) or a legacy sentence, or no text at all.
+EDGE_ROWS = f"""
+SELECT subject_curie AS subject, predicate, object_curie AS object, PMID, line_id,
+       has_studies, has_legacy, text_a,
+       CASE WHEN odd THEN text_a ELSE 'Quantity ' || qty || ' noted' END AS text_b,
+       'Legacy note for order ' || CAST(l_orderkey AS STRING) AS text_legacy
+FROM (SELECT {TRIPLE_COLUMNS}, l_orderkey,
+             l_discount > 0 AS has_studies,
+             l_discount = 0 AND l_tax > 0.04 AS has_legacy,
+             'Supplier ' || CAST(l_suppkey AS STRING) || ' acts on part '
+               || CAST(l_partkey AS STRING) AS text_a,
+             l_linenumber % 2 = 1 AS odd,
+             CAST(CAST(floor(l_quantity) AS BIGINT) AS STRING) AS qty
+      FROM lineitem) e
+"""
+
 FLAT = {
     "triples": TRIPLES,
     "store": STORE,
@@ -120,6 +192,10 @@ FLAT = {
     "timings": TIMINGS,
     "tokens": TOKENS,
     "slots": SLOTS,
+    "predicates": PREDICATES,
+    "node_rows": NODE_ROWS,
+    "answer_rows": ANSWER_ROWS,
+    "edge_rows": EDGE_ROWS,
 }
 
 _FX = re.compile(r"\bfx_([a-z_]+)\b")

@@ -272,3 +272,90 @@ SELECT 'biolink:' || replace(s.name, ' ', '_') AS predicate,
        coalesce(trim(regexp_replace(s.description, '\\s+', ' ', 'g')), '') AS description
 FROM fx_slots s WHERE s.name IN (SELECT name FROM r)
 """
+
+
+ORACLE["edge_extract"] = """
+WITH entries AS (
+  SELECT subject, predicate, object, PMID, line_id * 4 AS ord, text_a AS s
+  FROM fx_edge_rows WHERE has_studies
+  UNION ALL
+  SELECT subject, predicate, object, PMID, line_id * 4 + 1, text_b FROM fx_edge_rows WHERE has_studies
+  UNION ALL
+  SELECT subject, predicate, object, PMID, line_id * 4 + 2, text_legacy
+  FROM fx_edge_rows WHERE NOT has_studies AND has_legacy),
+firsts AS (SELECT subject, predicate, object, PMID, s, min(ord) AS ord
+           FROM entries GROUP BY subject, predicate, object, PMID, s),
+agg AS (SELECT subject, predicate, object, PMID, string_agg(s, ' | ' ORDER BY ord, s) AS sentences
+        FROM firsts GROUP BY subject, predicate, object, PMID),
+keys AS (SELECT DISTINCT subject, predicate, object, PMID FROM fx_edge_rows)
+SELECT k.subject AS subject_curie, k.predicate, k.object AS object_curie, k.PMID,
+       coalesce(a.sentences, '') AS SemMedDB_sentences
+FROM keys k LEFT JOIN agg a
+  ON a.subject = k.subject AND a.predicate = k.predicate AND a.object = k.object AND a.PMID = k.PMID
+"""
+
+ORACLE["unique_curies"] = """
+SELECT subject_curie AS curie FROM fx_triples WHERE subject_curie IS NOT NULL
+UNION
+SELECT object_curie FROM fx_triples WHERE object_curie IS NOT NULL
+"""
+
+# Shared CTEs: collected names (O3/F8) and matched entities (J4 with stop line).
+NAMES_CTE = """
+curies AS (SELECT subject_curie AS curie FROM fx_triples UNION SELECT object_curie FROM fx_triples),
+labels AS (SELECT curie, pos, lower(lbl) AS lbl FROM (
+    SELECT curie, 0 AS pos, l0 AS lbl FROM fx_answer_rows WHERE answered
+    UNION ALL SELECT curie, 1, l1 FROM fx_answer_rows WHERE answered
+    UNION ALL SELECT curie, 2, l2 FROM fx_answer_rows WHERE answered
+    UNION ALL SELECT curie, 3, l3 FROM fx_answer_rows WHERE answered
+    UNION ALL SELECT curie, 4, l4 FROM fx_answer_rows WHERE answered) x
+  WHERE lbl IS NOT NULL AND lbl <> ''),
+lfirst AS (SELECT curie, lbl, min(pos) AS pos FROM labels GROUP BY curie, lbl),
+lnames AS (SELECT curie, string_agg(lbl, '|' ORDER BY pos) AS all_names FROM lfirst GROUP BY curie),
+names AS (SELECT c.curie AS curie_id, coalesce(n.all_names, '') AS all_names
+          FROM curies c LEFT JOIN lnames n ON n.curie = c.curie)
+"""
+
+ENT_CTE = """
+targets AS (SELECT subject_curie AS curie FROM fx_triples UNION SELECT object_curie FROM fx_triples),
+nodes AS (
+  SELECT line, coalesce(id, '') AS id, coalesce(name, '') AS name,
+         CASE WHEN starts_with(trim(category), '[')
+              THEN coalesce(json_extract_string(category, '$[0]'), '')
+              ELSE coalesce(category, '') END AS category,
+         coalesce(description, '') AS description, eq1, eq2,
+         CASE WHEN an1 IS NOT NULL THEN an1 || '|' || an2
+              WHEN coalesce(name, '') <> '' THEN name ELSE '' END AS all_names
+  FROM fx_node_rows),
+pairs AS (SELECT DISTINCT line, curie, name, category, description, all_names FROM (
+    SELECT line, id AS curie, name, category, description, all_names FROM nodes
+    UNION ALL SELECT line, eq1, name, category, description, all_names FROM nodes WHERE eq1 IS NOT NULL
+    UNION ALL SELECT line, eq2, name, category, description, all_names FROM nodes WHERE eq2 IS NOT NULL
+  ) x),
+hits AS (SELECT * FROM pairs WHERE curie IN (SELECT curie FROM targets)),
+firsts AS (SELECT curie, min(line) AS first FROM hits GROUP BY curie),
+stopline AS (SELECT CASE WHEN (SELECT count(*) FROM firsts) = (SELECT count(*) FROM targets)
+                         THEN (SELECT max(first) FROM firsts) END AS stop),
+kept AS (SELECT h.* FROM hits h, stopline s WHERE s.stop IS NULL OR h.line <= s.stop),
+ents AS (SELECT curie, arg_max(name, line) AS name, arg_max(category, line) AS category,
+                arg_max(description, line) AS description, arg_max(all_names, line) AS all_names
+         FROM kept GROUP BY curie),
+merged AS (SELECT e.curie, e.name, e.category, e.description,
+                  CASE WHEN n.all_names IS NOT NULL AND n.all_names <> '' THEN n.all_names
+                       ELSE e.all_names END AS all_names
+           FROM ents e LEFT JOIN names n ON n.curie_id = e.curie)
+"""
+
+ORACLE["label_set"] = f"WITH {NAMES_CTE} SELECT * FROM names"
+
+ORACLE["node_match"] = f"WITH {NAMES_CTE}, {ENT_CTE} SELECT * FROM ents"
+
+ORACLE["names_merge"] = f"WITH {NAMES_CTE}, {ENT_CTE} SELECT * FROM merged"
+
+ORACLE["named_triples"] = f"""
+WITH {NAMES_CTE}, {ENT_CTE}
+SELECT t.subject_curie, coalesce(s.name, '') AS subject_name, t.predicate,
+       t.object_curie, coalesce(o.name, '') AS object_name, t.PMID, t.line_id
+FROM fx_triples t LEFT JOIN merged s ON s.curie = t.subject_curie
+LEFT JOIN merged o ON o.curie = t.object_curie
+"""

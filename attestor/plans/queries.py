@@ -14,11 +14,14 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import KEY_COLUMNS, key_columns, normalize_pmid as normalize
 from ..operators import coverage as cov
+from ..operators import edges as edges_op
+from ..operators import entities as en
 from ..operators import predicates as preds
 from ..operators import reports as rep
 from ..operators import resume
 from ..operators import store as st
 from ..sources.triples import prepare_triples
+from . import nested
 from .fixtures import fixture
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -188,3 +191,58 @@ def token_stats(spark, sf_dir):
 def predicate_closure(spark, sf_dir):
     """O4 + F5: slots under 'related to'; the orphan branch stays out."""
     return preds.predicate_closure(fixture(spark, sf_dir, "slots"))
+
+
+# ------------------------------------------------------------ edges, entities
+
+
+def _entities(spark, sf_dir, merged: bool = True):
+    t = fixture(spark, sf_dir, "triples")
+    ents = en.load_entities(nested.nodes(spark, sf_dir), en.unique_curies(t))
+    if not merged:
+        return ents
+    names = en.collect_names(en.unique_curies(t), nested.answers(spark, sf_dir))
+    return en.merge_names(ents, names)
+
+
+def _joined(df, col="all_names"):
+    return df.withColumn(col, F.array_join(col, "|"))
+
+
+@query
+def edge_extract(spark, sf_dir):
+    """O1 + J7: KGX edge records to one row per 4-key with ordered sentences."""
+    return edges_op.extract_edges(nested.edges(spark, sf_dir))
+
+
+@query
+def unique_curies(spark, sf_dir):
+    """A2: distinct subject and object curies."""
+    return en.unique_curies(fixture(spark, sf_dir, "triples"))
+
+
+@query
+def label_set(spark, sf_dir):
+    """O3 + F8 + S15: names per requested curie from stored name-service answers."""
+    t = fixture(spark, sf_dir, "triples")
+    names = en.collect_names(en.unique_curies(t), nested.answers(spark, sf_dir))
+    return _joined(names)
+
+
+@query
+def node_match(spark, sf_dir):
+    """O2 + J4 + F6 + F7: node info per target curie, with the early-stop line."""
+    return _joined(_entities(spark, sf_dir, merged=False))
+
+
+@query
+def names_merge(spark, sf_dir):
+    """Collected names replace the loaded all_names when non-empty."""
+    return _joined(_entities(spark, sf_dir))
+
+
+@query
+def named_triples(spark, sf_dir):
+    """F32 + F33 + J6: subject_name / object_name columns next to their curies."""
+    t = fixture(spark, sf_dir, "triples")
+    return en.named_columns(t, _entities(spark, sf_dir))

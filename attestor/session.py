@@ -77,3 +77,29 @@ def materialize(df, name: str = "stage"):
     path = f"{base.rstrip('/')}/attestor-{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+# Largest side we broadcast on purpose; above it the planner's shuffle join
+# (with AQE's own runtime broadcast/skew handling) takes over.
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+
+
+def estimated_bytes(df) -> int | None:
+    """Optimizer's size estimate for ``df`` (an upper bound for scans and
+    filters), without running a job."""
+    try:
+        stats = df._jdf.queryExecution().optimizedPlan().stats()
+        return int(str(stats.sizeInBytes()))
+    except Exception:  # noqa: BLE001 - Spark Connect or an unusual plan
+        return None
+
+
+def checked_broadcast(df, max_bytes: int = BROADCAST_MAX_BYTES):
+    """Broadcast ``df`` only when its estimated size is within ``max_bytes``;
+    otherwise return it unchanged so the join shuffles."""
+    from pyspark.sql import functions as F
+
+    size = estimated_bytes(df)
+    if size is not None and size <= max_bytes:
+        return F.broadcast(df)
+    return df
