@@ -57,3 +57,107 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("has_legacy"), legacy).alias("publications_info"),
         F.col("line_id").alias("_pos"),
     )
+
+
+# ---------------------------------------------------------------- responses
+
+# Fixed fixture texts (the recorded model answers are assembled from these).
+INVENTED = "Zorblax quintessence modulates the hyperflux"
+QUOTE_EXCLUDE = '[\\\\"{}`\\[\\]]'
+QUOTE_WORDS = "(?i)true|false|null"
+N_FORMS = 11
+
+
+def first_quote(abstract):
+    """The first '.'-sentence of the abstract that a JSON answer can carry
+    unchanged through the repair step (no quotes, braces, brackets, backslash,
+    backtick or true/false/null words)."""
+    parts = F.transform(F.split(abstract, "\\."), lambda s: F.regexp_replace(
+        s, "(?U)^[\\s\\x1c-\\x1f]+|[\\s\\x1c-\\x1f]+$", ""))
+    ok = F.filter(parts, lambda s: (s != "") & ~s.rlike(QUOTE_EXCLUDE) & ~s.rlike(QUOTE_WORDS))
+    return F.get(ok, 0)
+
+
+def _json(**fields):
+    return F.to_json(F.struct(*[v.alias(k) for k, v in fields.items()]))
+
+
+def responses(prompts: DataFrame) -> DataFrame:
+    """Recorded answers for rounds 1 and 2, one per distinct prompt, in eleven
+    shapes chosen by key arithmetic (think + fence, bare, single quotes, legacy,
+    broken, empty, scorer error, yes without quotes, no with quotes, prose
+    around capitalised literals, non-object JSON)."""
+    p = prompts.select("prompt_key", "subject_curie", "object_curie", "abstract",
+                       "est_tokens").dropDuplicates(["prompt_key"])
+    supp = F.substring("subject_curie", 6, 1 << 30).cast("long")
+    part = F.substring("object_curie", 6, 1 << 30).cast("long")
+    # only prompt-determined values choose the shape: copies of a document
+    # under two PMIDs give one prompt, hence one recorded answer
+    n = F.length("abstract").cast("long")
+    p = p.select("*", first_quote(F.col("abstract")).alias("q"),
+                 ((supp + 3 * part + 7 * n) % N_FORMS).alias("sel"),
+                 ((supp + part + n) % 4).alias("sel2"),
+                 ((n % 97).cast("double") / 10 + 1).alias("rt"))
+    q = F.col("q")
+    sel = F.when(q.isNull() & F.col("sel").isin(0, 3, 8, 9), F.lit(1)).otherwise(F.col("sel"))
+    q_arr = F.array(q)
+    q9 = F.when(q.rlike("^[ -~]+$"), F.upper(q)).otherwise(q)
+    t, f = F.lit(True), F.lit(False)
+    forms = {
+        0: F.concat(F.lit("<think>Checking "), F.col("subject_curie"), F.lit(" against "),
+                    F.col("object_curie"), F.lit(".</think>\n```json\n"),
+                    _json(support=F.lit("yes"), sentences=q_arr, subject_mentioned=t,
+                          object_mentioned=t, reasoning=F.lit("The abstract states it directly.")),
+                    F.lit("\n```")),
+        1: F.lit('{"support": "no", "sentences": [], "subject_mentioned": true, '
+                 '"object_mentioned": false, "reasoning": "No relation is described."}'),
+        2: F.lit("{'support': 'maybe', 'sentences': [], 'subject_mentioned': true, "
+                 "'object_mentioned': true, 'reasoning': 'Only indirect evidence.'}"),
+        3: _json(is_supported=t, evidence_category=F.lit("direct_support"),
+                 supporting_sentence=q, subject_mentioned=F.lit("yes"),
+                 object_mentioned=F.lit("no"), reasoning=F.lit("Legacy answer.")),
+        4: F.lit('Result: {"support": "yes", "sentences": ["' + INVENTED + '"], '
+                 '"subject_mentioned": true, "object_mentioned": false, "reasoning": "cut off'),
+        5: F.lit("  \n "),
+        6: F.lit(None).cast("string"),
+        7: F.lit('{"support": "YES ", "sentences": [], "subject_mentioned": false, '
+                 '"object_mentioned": true, "reasoning": "Stated but not quoted."}'),
+        8: _json(support=F.lit("no"), sentences=q_arr, subject_mentioned=f, object_mentioned=f,
+                 reasoning=F.lit("Contradicted.")),
+        9: F.concat(F.lit('Here is my answer: {"support": "yes", "sentences": '),
+                    F.to_json(F.array(q9)),
+                    F.lit(', "subject_mentioned": True, "object_mentioned": False, '
+                          '"reasoning": "Direct statement."} Thanks.')),
+        10: F.lit('```json\n["yes"]\n```'),
+    }
+    content1 = F.lit(None).cast("string")
+    for k in sorted(forms, reverse=True):
+        content1 = F.when(sel == k, forms[k]).otherwise(content1)
+    empty = F.array().cast("array<string>")
+    forms2 = {
+        0: _json(support=F.lit("yes"), sentences=F.when(q.isNull(), empty).otherwise(q_arr),
+                 subject_mentioned=t, object_mentioned=t,
+                 reasoning=F.lit("Confirmed in round two.")),
+        1: F.lit('{"support": "no", "sentences": [], "subject_mentioned": false, '
+                 '"object_mentioned": false, "reasoning": "Rejected in round two."}'),
+        2: F.lit(None).cast("string"),
+        3: _json(support=F.lit("maybe"), sentences=F.array(F.lit(INVENTED)), subject_mentioned=f,
+                 object_mentioned=t, reasoning=F.lit("Unsure.")),
+    }
+    content2 = F.lit(None).cast("string")
+    for k in sorted(forms2, reverse=True):
+        content2 = F.when(F.col("sel2") == k, forms2[k]).otherwise(content2)
+
+    def shape(rnd, content, error):
+        return p.select(
+            "prompt_key", F.lit(rnd).alias("round"), F.lit(f"fixture-r{rnd}").alias("model"),
+            content.alias("content"), error.alias("error"),
+            F.col("rt").alias("runtime_seconds"),
+            F.col("est_tokens").alias("prompt_tokens"),
+            F.floor(F.coalesce(F.length(content), F.lit(0)) / 4).cast("long")
+            .alias("completion_tokens"),
+        )
+
+    r1 = shape(1, content1, F.when(sel == 6, F.lit("timeout")))
+    r2 = shape(2, content2, F.when(F.col("sel2") == 2, F.lit("rate limited")))
+    return r1.unionByName(r2)

@@ -7,6 +7,7 @@ Spark query's output names.
 
 from __future__ import annotations
 
+from ..functions import prompt as P
 from .fixtures import with_fixtures
 
 # Python-like strip and PMID normalisation for DuckDB (RE2).
@@ -359,3 +360,200 @@ SELECT t.subject_curie, coalesce(s.name, '') AS subject_name, t.predicate,
 FROM fx_triples t LEFT JOIN merged s ON s.curie = t.subject_curie
 LEFT JOIN merged o ON o.curie = t.object_curie
 """
+
+
+def lit(s: str) -> str:
+    """A SQL string literal holding ``s`` exactly."""
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _section(kind: str, c: str) -> str:
+    label = kind.upper()
+    nl = "chr(10)"
+    names = (f"CASE WHEN {c}.curie IS NOT NULL AND {c}.all_names <> '' THEN {c}.all_names "
+             f"ELSE r.{kind}_curie END")
+    return f"""('**{label}**: ' || r.{kind}_curie || {nl} ||
+  CASE WHEN {c}.curie IS NOT NULL THEN
+    (CASE WHEN {c}.name <> '' THEN '  Name: ' || {c}.name || {nl} ELSE '' END) ||
+    (CASE WHEN {c}.category <> '' THEN '  Category: ' || {c}.category || {nl} ELSE '' END) ||
+    (CASE WHEN {c}.description <> '' THEN '  Description: ' || {c}.description || {nl} ELSE '' END)
+  ELSE '' END ||
+  {nl} || {lit(f"**{label} EQUIVALENT NAMES** " + P.EQUIVALENT_NAMES_NOTE)} ||
+  array_to_string(list_transform(string_split({names}, '|'),
+                  lambda x, i: '  ' || CAST(i AS VARCHAR) || '. ' || x || {nl}), ''))"""
+
+
+_DISP = "replace(regexp_replace(r.predicate, '^biolink:', ''), '_', ' ')"
+
+PROMPT_CTE = f"""
+okabs AS (SELECT bare_pmid, abstract FROM fx_store WHERE {VALID}),
+rws AS (SELECT t.*, a.abstract FROM fx_triples t JOIN okabs a ON a.bare_pmid = {norm('t.PMID')}),
+pdesc AS (
+  SELECT r.*, CASE WHEN pe.predicate IS NOT NULL THEN coalesce(pe.description, '')
+                   ELSE coalesce(pc.description, '') END AS pd
+  FROM rws r
+  LEFT JOIN fx_predicates pe ON pe.predicate = r.predicate
+  LEFT JOIN fx_predicates pc ON pc.predicate = 'biolink:' || replace(r.predicate, ' ', '_')),
+prompts AS (
+  SELECT r.subject_curie, r.predicate, r.object_curie, r.PMID, r.line_id, r.abstract,
+    {lit(P.PREAMBLE + P.INTRO + "**TRIPLE**: ")} || '''' || r.subject_curie || ''' ' || {_DISP}
+      || ' ''' || r.object_curie || '''' || chr(10) || chr(10)
+      || {_section('subject', 's')} || chr(10)
+      || {_section('object', 'o')} || chr(10)
+      || CASE WHEN r.pd <> '' THEN '**PREDICATE DEFINITION** (' || {_DISP} || '):' || chr(10)
+              || r.pd || chr(10) || chr(10) ELSE '' END
+      || '**ABSTRACT**:' || chr(10) || r.abstract || chr(10) || chr(10)
+      || {lit(P.MATCHING_RULES + P.INSTRUCTIONS + P.OUTPUT_FORMAT)} AS prompt
+  FROM pdesc r LEFT JOIN merged s ON s.curie = r.subject_curie
+  LEFT JOIN merged o ON o.curie = r.object_curie)
+"""
+
+ORACLE["prompt_text"] = f"""
+WITH {NAMES_CTE}, {ENT_CTE}, {PROMPT_CTE}
+SELECT subject_curie, predicate, object_curie, PMID, line_id, sha256(prompt) AS prompt_key,
+       length(prompt) AS prompt_chars
+FROM prompts
+"""
+
+ORACLE["token_budget"] = f"""
+WITH {NAMES_CTE}, {ENT_CTE}, {PROMPT_CTE},
+e AS (SELECT *, CAST(floor((length(prompt) + {len(P.SYSTEM_MESSAGE)}) / 4) AS BIGINT) AS est_tokens
+      FROM prompts)
+SELECT subject_curie, predicate, object_curie, PMID, line_id, est_tokens,
+       greatest(512, least(4096, 8192 - est_tokens - 64)) AS max_tokens
+FROM e
+"""
+
+
+_QX_RE2 = r'[\\"{}`\[\]]'
+_NOTE_ALL = " [Auto-corrected: all supporting sentences failed verification]"
+_NOTE_YES = " [Auto-corrected: 'yes' without supporting sentences -> 'maybe']"
+_NOTE_CLR = " [Auto-corrected: cleared sentences for non-'yes' result]"
+_INVENTED = "Zorblax quintessence modulates the hyperflux"
+
+ANSWER_CTE = f"""
+pk AS (SELECT DISTINCT sha256(prompt) AS prompt_key, subject_curie, object_curie, abstract
+       FROM prompts),
+g AS (SELECT prompt_key, abstract,
+        (CAST(substr(subject_curie, 6) AS BIGINT) + 3 * CAST(substr(object_curie, 6) AS BIGINT)
+         + 7 * length(abstract)) % 11 AS sel,
+        (CAST(substr(subject_curie, 6) AS BIGINT) + CAST(substr(object_curie, 6) AS BIGINT)
+         + length(abstract)) % 4 AS sel2,
+        list_filter(list_transform(string_split(abstract, '.'), lambda s: {strip('s')}),
+                    lambda s: s <> '' AND NOT regexp_matches(s, {lit(_QX_RE2)})
+                              AND NOT regexp_matches(s, '(?i)true|false|null'))[1] AS q
+      FROM pk),
+e AS (SELECT *, CASE WHEN q IS NULL AND sel IN (0, 3, 8, 9) THEN 1 ELSE sel END AS f,
+             CASE WHEN regexp_matches(q, '^[ -~]+$') THEN upper(q) ELSE q END AS q9 FROM g),
+parsed AS (SELECT prompt_key, abstract, sel2, q, f,
+  CASE WHEN f IN (0, 3, 4, 7, 9) THEN 'yes' WHEN f = 2 THEN 'maybe' ELSE 'no' END AS support,
+  CASE WHEN f IN (0, 3, 8) THEN q WHEN f = 9 THEN q9 WHEN f = 4 THEN {lit(_INVENTED)}
+       ELSE '' END AS sentences,
+  f IN (0, 1, 2, 3, 4, 9) AS subject_mentioned,
+  f IN (0, 2, 7) AS object_mentioned,
+  CASE f WHEN 0 THEN 'The abstract states it directly.' WHEN 1 THEN 'No relation is described.'
+         WHEN 2 THEN 'Only indirect evidence.' WHEN 3 THEN 'Legacy answer.'
+         WHEN 4 THEN 'Manual extraction fallback' WHEN 5 THEN 'Empty response from vLLM'
+         WHEN 7 THEN 'Stated but not quoted.' WHEN 8 THEN 'Contradicted.'
+         WHEN 9 THEN 'Direct statement.' ELSE '' END AS reasoning,
+  CASE f WHEN 6 THEN 'vLLM API error: timeout'
+         WHEN 10 THEN '''list'' object has no attribute ''get''' END AS failure
+  FROM e),
+r1 AS (SELECT prompt_key, abstract, sel2, q,
+  CASE WHEN failure IS NOT NULL THEN 'no' WHEN f = 4 THEN 'maybe' ELSE support END AS s1,
+  CASE WHEN f = 4 THEN '' ELSE sentences END AS t1,
+  subject_mentioned AND failure IS NULL AS sm1,
+  object_mentioned AND failure IS NULL AS om1,
+  CASE WHEN failure IS NOT NULL THEN 'Evaluation failed: ' || failure
+       WHEN f = 4 THEN reasoning || {lit(_NOTE_ALL)} ELSE reasoning END AS re1
+  FROM parsed),
+r2 AS (SELECT prompt_key, abstract,
+  CASE WHEN s1 NOT IN ('yes', 'maybe') THEN s1 WHEN sel2 = 0 THEN 'yes' WHEN sel2 = 1 THEN 'no'
+       WHEN sel2 = 2 THEN s1 ELSE 'maybe' END AS s2,
+  CASE WHEN s1 NOT IN ('yes', 'maybe') THEN t1 WHEN sel2 = 0 THEN coalesce(q, '')
+       WHEN sel2 = 2 THEN t1 ELSE '' END AS t2,
+  CASE WHEN s1 NOT IN ('yes', 'maybe') THEN sm1 WHEN sel2 = 0 THEN true WHEN sel2 = 2 THEN sm1
+       ELSE false END AS sm2,
+  CASE WHEN s1 NOT IN ('yes', 'maybe') THEN om1 WHEN sel2 = 1 THEN false WHEN sel2 = 2 THEN om1
+       ELSE true END AS om2,
+  CASE WHEN s1 NOT IN ('yes', 'maybe') THEN re1
+       WHEN sel2 = 0 THEN '[Round2] Confirmed in round two. [Round1 was: ' || s1 || ']'
+       WHEN sel2 = 1 THEN '[Round2] Rejected in round two. [Round1 was: ' || s1 || ']'
+       WHEN sel2 = 2 THEN re1 || ' [Round 2 failed: vLLM API error: rate limited]'
+       ELSE '[Round2] Unsure. [Round1 was: ' || s1 || ']' END AS re2
+  FROM r1)
+"""
+
+
+def _rules(src: str, s: str, t: str, sm: str, om: str, re_: str) -> str:
+    return f"""SELECT prompt_key,
+  CASE WHEN {s} = 'yes' AND {t} = '' THEN 'maybe' ELSE {s} END AS support,
+  CASE WHEN {s} IN ('no', 'maybe') AND {t} <> '' THEN '' ELSE {t} END AS sentences,
+  {sm} AS subject_mentioned, {om} AS object_mentioned,
+  {re_} || CASE WHEN {s} = 'yes' AND {t} = '' THEN {lit(_NOTE_YES)}
+               WHEN {s} IN ('no', 'maybe') AND {t} <> '' THEN {lit(_NOTE_CLR)} ELSE '' END
+    AS reasoning
+FROM {src}"""
+
+
+_ANS = f"WITH {NAMES_CTE}, {ENT_CTE}, {PROMPT_CTE}, {ANSWER_CTE}"
+
+ORACLE["parse_responses"] = f"""{_ANS}
+SELECT prompt_key, CASE WHEN failure IS NOT NULL THEN 'no' ELSE support END AS support,
+       CASE WHEN failure IS NOT NULL THEN '' ELSE sentences END AS sentences,
+       subject_mentioned AND failure IS NULL AS subject_mentioned,
+       object_mentioned AND failure IS NULL AS object_mentioned,
+       reasoning, failure
+FROM parsed
+"""
+
+ORACLE["judge_round1"] = f"""{_ANS}
+SELECT prompt_key, s1 AS support, t1 AS sentences, sm1 AS subject_mentioned,
+       om1 AS object_mentioned, re1 AS reasoning FROM r1
+"""
+
+ORACLE["rules"] = f"{_ANS}\n" + _rules("r1", "s1", "t1", "sm1", "om1", "re1")
+
+ORACLE["second_round"] = f"{_ANS}\n" + _rules("r2", "s2", "t2", "sm2", "om2", "re2")
+
+_RESULTS = f"""{_ANS},
+fin AS ({_rules("r2", "s2", "t2", "sm2", "om2", "re2")}),
+rt AS (SELECT prompt_key, CAST(length(abstract) % 97 AS DOUBLE) / 10 + 1 AS runtime_seconds
+       FROM pk),
+results AS (
+  SELECT p.subject_curie, coalesce(sn.name, '') AS subject_name, p.predicate, p.object_curie,
+         coalesce(obn.name, '') AS object_name, p.PMID, p.line_id,
+         f.support = 'yes' AS predicted, f.support, f.subject_mentioned, f.object_mentioned,
+         f.sentences AS supporting_sentences, f.reasoning, rt.runtime_seconds
+  FROM prompts p
+  JOIN fin f ON f.prompt_key = sha256(p.prompt)
+  JOIN rt ON rt.prompt_key = f.prompt_key
+  LEFT JOIN merged sn ON sn.curie = p.subject_curie
+  LEFT JOIN merged obn ON obn.curie = p.object_curie)
+"""
+
+ORACLE["evaluate_results"] = f"{_RESULTS} SELECT * FROM results"
+
+ORACLE["support_counts"] = f"""{_RESULTS}
+SELECT count(*) FILTER (WHERE support = 'yes') AS yes,
+       count(*) FILTER (WHERE support = 'maybe') AS maybe,
+       count(*) FILTER (WHERE support = 'no') AS no
+FROM results
+"""
+
+ORACLE["triple_summary"] = f"""{_RESULTS},
+c AS (SELECT subject_curie, predicate, object_curie, count(*) AS total_pmids,
+             count(*) FILTER (WHERE support = 'yes') AS yes_count,
+             count(*) FILTER (WHERE support = 'maybe') AS maybe_count,
+             count(*) FILTER (WHERE support = 'no') AS no_count
+      FROM results GROUP BY subject_curie, predicate, object_curie),
+p AS (SELECT *, CAST(yes_count AS DOUBLE) * 100 / total_pmids AS yp,
+             CAST(maybe_count AS DOUBLE) * 100 / total_pmids AS mp,
+             CAST(no_count AS DOUBLE) * 100 / total_pmids AS np FROM c)
+SELECT subject_curie, predicate, object_curie, total_pmids, yes_count, maybe_count, no_count,
+       round(yp, 1) AS yes_percentage, round(mp, 1) AS maybe_percentage,
+       round(np, 1) AS no_percentage, yes_count AS supported_pmids,
+       no_count + maybe_count AS unsupported_pmids, round(yp, 1) AS supported_percentage,
+       round(np + mp, 1) AS unsupported_percentage
+FROM p
+"""

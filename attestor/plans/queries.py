@@ -16,7 +16,11 @@ from ..functions.keys import KEY_COLUMNS, key_columns, normalize_pmid as normali
 from ..operators import coverage as cov
 from ..operators import edges as edges_op
 from ..operators import entities as en
+from ..operators import evaluate as ev
+from ..operators import judge
+from ..operators import score
 from ..operators import predicates as preds
+from ..operators import prompts as prompts_op
 from ..operators import reports as rep
 from ..operators import resume
 from ..operators import store as st
@@ -246,3 +250,120 @@ def named_triples(spark, sf_dir):
     """F32 + F33 + J6: subject_name / object_name columns next to their curies."""
     t = fixture(spark, sf_dir, "triples")
     return en.named_columns(t, _entities(spark, sf_dir))
+
+
+# ------------------------------------------------------------ prompts
+
+MODEL_MAX_LEN = 8192
+
+
+def _prompts(spark, sf_dir, model_max_len=MODEL_MAX_LEN):
+    t = fixture(spark, sf_dir, "triples")
+    a = fixture(spark, sf_dir, "store")
+    with_abs, _ = st.split_by_abstract(t, a)
+    return prompts_op.build_prompts(
+        with_abs, a, _entities(spark, sf_dir), fixture(spark, sf_dir, "predicates"),
+        model_max_len=model_max_len,
+    )
+
+
+@query
+def prompt_text(spark, sf_dir):
+    """O6 + F9 + F3 + F4: prompt per row with an abstract; hash and length."""
+    p = _prompts(spark, sf_dir)
+    return p.select(*KEY_COLUMNS, "line_id", "prompt_key",
+                    F.length("prompt").alias("prompt_chars"))
+
+
+@query
+def token_budget(spark, sf_dir):
+    """estimated prompt tokens and the answer budget for an 8192 model."""
+    p = _prompts(spark, sf_dir)
+    return p.select(*KEY_COLUMNS, "line_id", "est_tokens", "max_tokens")
+
+
+# ------------------------------------------------------------ answers
+
+
+def _answers(spark, sf_dir):
+    p = _prompts(spark, sf_dir)
+    return p, nested.responses(p)
+
+
+def _per_prompt(df):
+    return df.select(
+        "prompt_key", "support",
+        F.array_join(F.coalesce("sentences", F.array().cast("array<string>")), " | ")
+        .alias("sentences"),
+        "subject_mentioned", "object_mentioned", "reasoning",
+    )
+
+
+def _round1(spark, sf_dir):
+    p, r = _answers(spark, sf_dir)
+    parsed = judge.parse_responses(score.replay(r, 1))
+    texts = p.select("prompt_key", "abstract").dropDuplicates(["prompt_key"])
+    return judge.judge_round1(texts.join(parsed, "prompt_key")), r
+
+
+@query
+def parse_responses(spark, sf_dir):
+    """Recorded round-1 answers parsed (before verification)."""
+    _, r = _answers(spark, sf_dir)
+    parsed = judge.parse_responses(score.replay(r, 1))
+    return parsed.select(
+        "prompt_key", "support",
+        F.array_join(F.coalesce("sentences", F.array().cast("array<string>")), " | ")
+        .alias("sentences"),
+        "subject_mentioned", "object_mentioned", "reasoning", "failure")
+
+
+@query
+def judge_round1(spark, sf_dir):
+    """O7 + O9: quotes verified against the abstract; unverified yes -> maybe."""
+    r1, _ = _round1(spark, sf_dir)
+    return _per_prompt(r1)
+
+
+@query
+def rules(spark, sf_dir):
+    """F18 on round-1 answers."""
+    r1, _ = _round1(spark, sf_dir)
+    return _per_prompt(judge.apply_rules(r1))
+
+
+@query
+def second_round(spark, sf_dir):
+    """O10 + F18: yes/maybe answers re-asked; round 2 replaces or annotates."""
+    r1, r = _round1(spark, sf_dir)
+    parsed2 = judge.parse_responses(score.replay(r, 2))
+    return _per_prompt(judge.apply_rules(judge.second_round(r1, parsed2)))
+
+
+def _results(spark, sf_dir):
+    t = fixture(spark, sf_dir, "triples")
+    a = fixture(spark, sf_dir, "store")
+    _, r = _answers(spark, sf_dir)
+    results, _ = ev.evaluate(t, a, entities=_entities(spark, sf_dir),
+                             predicates=fixture(spark, sf_dir, "predicates"),
+                             responses=r, round2=True, model_max_len=MODEL_MAX_LEN)
+    return results
+
+
+@query
+def evaluate_results(spark, sf_dir):
+    """The whole evaluation with replayed answers and a second round."""
+    return _results(spark, sf_dir)
+
+
+@query
+def support_counts(spark, sf_dir):
+    """A4: yes / maybe / no counts over the results."""
+    return rep.support_counts(_results(spark, sf_dir))
+
+
+@query
+def triple_summary(spark, sf_dir):
+    """A5: per triple, counts and percentages over its PMIDs."""
+    return rep.triple_summary(_results(spark, sf_dir),
+                              by=["subject_curie", "predicate", "object_curie"])
