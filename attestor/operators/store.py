@@ -44,26 +44,35 @@ def with_bare_pmid(triples: DataFrame, col: str = "PMID") -> DataFrame:
     return triples.withColumn("bare_pmid", normalize_pmid(F.col(col).cast("string")))
 
 
+def abstract_index(store: DataFrame) -> DataFrame:
+    """Valid abstracts as (bare_pmid, abstract_sha, abstract_len): the text is
+    hashed once per document here, so later stages carry 70 bytes, not text."""
+    return store.filter(is_valid()).groupBy("bare_pmid").agg(
+        F.max(F.sha2(F.col("abstract"), 256)).alias("abstract_sha"),
+        F.max(F.length("abstract")).cast("long").alias("abstract_len"),
+    )
+
+
 def flag_abstract(triples: DataFrame, store: DataFrame) -> DataFrame:
-    """Add ``bare_pmid`` and ``has_abstract``.
+    """Add ``bare_pmid``, ``has_abstract`` and the abstract's hash/length.
 
-    One left join against the distinct valid ids; the aggregate that makes them
-    distinct is hash-partitioned on ``bare_pmid`` and the join reuses it. AQE
-    turns the join into a broadcast when the id set is small at runtime and
+    One left join against the valid-abstract index; its aggregate is
+    hash-partitioned on ``bare_pmid`` and the join reuses that partitioning.
+    AQE turns the join into a broadcast when the index is small at runtime and
     splits a hot PMID on the triple side otherwise.
     """
-    ids = valid_pmids(store).withColumn("_valid", F.lit(True))
+    ids = abstract_index(store)
     out = with_bare_pmid(triples).join(ids, "bare_pmid", "left")
-    return out.withColumn("has_abstract", F.coalesce(F.col("_valid"), F.lit(False))).drop(
-        "_valid"
-    )
+    return out.withColumn("has_abstract", F.col("abstract_sha").isNotNull())
 
 
 def split_by_abstract(triples: DataFrame, store: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows with a valid abstract, rows without). Columns as input + bare_pmid."""
+    """(rows with a valid abstract, rows without). Columns as input +
+    bare_pmid; the first also carries abstract_sha and abstract_len."""
     flagged = flag_abstract(triples, store)
     with_abs = flagged.filter("has_abstract").drop("has_abstract")
-    without = flagged.filter(~F.col("has_abstract")).drop("has_abstract")
+    without = flagged.filter(~F.col("has_abstract")).drop(
+        "has_abstract", "abstract_sha", "abstract_len")
     return with_abs, without
 
 
@@ -95,13 +104,13 @@ def abstract_status(triples: DataFrame, store: DataFrame) -> DataFrame:
     )
 
 
-def attach_abstracts(rows: DataFrame, store: DataFrame) -> DataFrame:
+def attach_abstracts(rows: DataFrame, store: DataFrame, how: str = "inner") -> DataFrame:
     """Bring title and abstract to rows that carry ``bare_pmid``.
 
     This is the one shuffle that moves abstract text; it happens last.
     """
     text = store.filter(is_valid()).select("bare_pmid", "title", "abstract")
-    return rows.join(text, "bare_pmid", "inner")
+    return rows.join(text, "bare_pmid", how)
 
 
 # ---------------------------------------------------------------- upkeep

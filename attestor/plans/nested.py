@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.store import is_valid
 from .fixtures import fixture
 
 STRS = "array<string>"
@@ -82,19 +83,22 @@ def _json(**fields):
     return F.to_json(F.struct(*[v.alias(k) for k, v in fields.items()]))
 
 
-def responses(prompts: DataFrame) -> DataFrame:
+def responses(prompts: DataFrame, store: DataFrame) -> DataFrame:
     """Recorded answers for rounds 1 and 2, one per distinct prompt, in eleven
     shapes chosen by key arithmetic (think + fence, bare, single quotes, legacy,
     broken, empty, scorer error, yes without quotes, no with quotes, prose
     around capitalised literals, non-object JSON)."""
-    p = prompts.select("prompt_key", "subject_curie", "object_curie", "abstract",
-                       "est_tokens").dropDuplicates(["prompt_key"])
+    p = prompts.select("prompt_key", "subject_curie", "object_curie", "bare_pmid",
+                       "abstract_len", "est_tokens").dropDuplicates(["prompt_key"])
+    # the quote is a property of the document: computed once per abstract
+    quotes = store.filter(is_valid()).select("bare_pmid", first_quote(F.col("abstract")).alias("q"))
+    p = p.join(quotes, "bare_pmid", "left")
     supp = F.substring("subject_curie", 6, 1 << 30).cast("long")
     part = F.substring("object_curie", 6, 1 << 30).cast("long")
     # only prompt-determined values choose the shape: copies of a document
     # under two PMIDs give one prompt, hence one recorded answer
-    n = F.length("abstract").cast("long")
-    p = p.select("*", first_quote(F.col("abstract")).alias("q"),
+    n = F.col("abstract_len")
+    p = p.select("*",
                  ((supp + 3 * part + 7 * n) % N_FORMS).alias("sel"),
                  ((supp + part + n) % 4).alias("sel2"),
                  ((n % 97).cast("double") / 10 + 1).alias("rt"))

@@ -394,24 +394,30 @@ pdesc AS (
   FROM rws r
   LEFT JOIN fx_predicates pe ON pe.predicate = r.predicate
   LEFT JOIN fx_predicates pc ON pc.predicate = 'biolink:' || replace(r.predicate, ' ', '_')),
-prompts AS (
+secs AS (
   SELECT r.subject_curie, r.predicate, r.object_curie, r.PMID, r.line_id, r.abstract,
-    {lit(P.PREAMBLE + P.INTRO + "**TRIPLE**: ")} || '''' || r.subject_curie || ''' ' || {_DISP}
-      || ' ''' || r.object_curie || '''' || chr(10) || chr(10)
-      || {_section('subject', 's')} || chr(10)
-      || {_section('object', 'o')} || chr(10)
-      || CASE WHEN r.pd <> '' THEN '**PREDICATE DEFINITION** (' || {_DISP} || '):' || chr(10)
-              || r.pd || chr(10) || chr(10) ELSE '' END
-      || '**ABSTRACT**:' || chr(10) || r.abstract || chr(10) || chr(10)
-      || {lit(P.MATCHING_RULES + P.INSTRUCTIONS + P.OUTPUT_FORMAT)} AS prompt
+    '''' || r.subject_curie || ''' ' || {_DISP} || ' ''' || r.object_curie || '''' AS st,
+    {_section('subject', 's')} AS ss,
+    {_section('object', 'o')} AS so,
+    CASE WHEN r.pd <> '' THEN '**PREDICATE DEFINITION** (' || {_DISP} || '):' || chr(10)
+         || r.pd || chr(10) || chr(10) ELSE '' END AS sp
   FROM pdesc r LEFT JOIN merged s ON s.curie = r.subject_curie
-  LEFT JOIN merged o ON o.curie = r.object_curie)
+  LEFT JOIN merged o ON o.curie = r.object_curie),
+prompts AS (
+  SELECT subject_curie, predicate, object_curie, PMID, line_id, abstract,
+    {lit(P.PREAMBLE + P.INTRO + "**TRIPLE**: ")} || st || chr(10) || chr(10) || ss || chr(10)
+      || so || chr(10) || sp || '**ABSTRACT**:' || chr(10) || abstract || chr(10) || chr(10)
+      || {lit(P.MATCHING_RULES + P.INSTRUCTIONS + P.OUTPUT_FORMAT)} AS prompt,
+    sha256(st || chr(30) || ss || chr(30) || so || chr(30) || sp || chr(30) || sha256(abstract))
+      AS prompt_key
+  FROM secs)
 """
 
 ORACLE["prompt_text"] = f"""
 WITH {NAMES_CTE}, {ENT_CTE}, {PROMPT_CTE}
-SELECT subject_curie, predicate, object_curie, PMID, line_id, sha256(prompt) AS prompt_key,
-       length(prompt) AS prompt_chars
+SELECT subject_curie, predicate, object_curie, PMID, line_id, prompt_key,
+       sha256(prompt) AS prompt_sha, length(prompt) AS prompt_chars,
+       length(prompt) AS text_chars
 FROM prompts
 """
 
@@ -432,7 +438,7 @@ _NOTE_CLR = " [Auto-corrected: cleared sentences for non-'yes' result]"
 _INVENTED = "Zorblax quintessence modulates the hyperflux"
 
 ANSWER_CTE = f"""
-pk AS (SELECT DISTINCT sha256(prompt) AS prompt_key, subject_curie, object_curie, abstract
+pk AS (SELECT DISTINCT prompt_key, subject_curie, object_curie, abstract
        FROM prompts),
 g AS (SELECT prompt_key, abstract,
         (CAST(substr(subject_curie, 6) AS BIGINT) + 3 * CAST(substr(object_curie, 6) AS BIGINT)
@@ -526,7 +532,7 @@ results AS (
          f.support = 'yes' AS predicted, f.support, f.subject_mentioned, f.object_mentioned,
          f.sentences AS supporting_sentences, f.reasoning, rt.runtime_seconds
   FROM prompts p
-  JOIN fin f ON f.prompt_key = sha256(p.prompt)
+  JOIN fin f ON f.prompt_key = p.prompt_key
   JOIN rt ON rt.prompt_key = f.prompt_key
   LEFT JOIN merged sn ON sn.curie = p.subject_curie
   LEFT JOIN merged obn ON obn.curie = p.object_curie)

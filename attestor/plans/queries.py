@@ -257,22 +257,24 @@ def named_triples(spark, sf_dir):
 MODEL_MAX_LEN = 8192
 
 
-def _prompts(spark, sf_dir, model_max_len=MODEL_MAX_LEN):
+def _prompts(spark, sf_dir, model_max_len=MODEL_MAX_LEN, with_text=False):
     t = fixture(spark, sf_dir, "triples")
     a = fixture(spark, sf_dir, "store")
     with_abs, _ = st.split_by_abstract(t, a)
     return prompts_op.build_prompts(
         with_abs, a, _entities(spark, sf_dir), fixture(spark, sf_dir, "predicates"),
-        model_max_len=model_max_len,
+        model_max_len=model_max_len, with_text=with_text,
     )
 
 
 @query
 def prompt_text(spark, sf_dir):
-    """O6 + F9 + F3 + F4: prompt per row with an abstract; hash and length."""
-    p = _prompts(spark, sf_dir)
+    """O6 + F9 + F3 + F4: full prompt per row with an abstract: its key, the
+    hash of the text, and its length (from the sections and from the text)."""
+    p = _prompts(spark, sf_dir, with_text=True)
     return p.select(*KEY_COLUMNS, "line_id", "prompt_key",
-                    F.length("prompt").alias("prompt_chars"))
+                    F.sha2("prompt", 256).alias("prompt_sha"), "prompt_chars",
+                    F.length("prompt").cast("long").alias("text_chars"))
 
 
 @query
@@ -287,7 +289,7 @@ def token_budget(spark, sf_dir):
 
 def _answers(spark, sf_dir):
     p = _prompts(spark, sf_dir)
-    return p, nested.responses(p)
+    return p, nested.responses(p, fixture(spark, sf_dir, "store"))
 
 
 def _per_prompt(df):
@@ -302,8 +304,9 @@ def _per_prompt(df):
 def _round1(spark, sf_dir):
     p, r = _answers(spark, sf_dir)
     parsed = judge.parse_responses(score.replay(r, 1))
-    texts = p.select("prompt_key", "abstract").dropDuplicates(["prompt_key"])
-    return judge.judge_round1(texts.join(parsed, "prompt_key")), r
+    keys = p.select("prompt_key", "bare_pmid").dropDuplicates(["prompt_key"])
+    rows = st.attach_abstracts(keys.join(parsed, "prompt_key"), fixture(spark, sf_dir, "store"))
+    return judge.judge_round1(rows), r
 
 
 @query
