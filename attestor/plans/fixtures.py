@@ -249,3 +249,43 @@ def register_fixtures(spark: SparkSession, sf_dir: str) -> None:
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     register_fixtures(spark, sf_dir)
     return spark.table(f"fx_{name}")
+
+
+_STORED: dict[tuple[int, str, str], str] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """A derived input table (e.g. recorded responses) written once per session
+    and folder under the shared checkpoint folder, then read back like any
+    other table. ``build()`` returns the DataFrame to write."""
+    from ..session import materialize
+
+    key = (id(spark), sf_dir, name)
+    path = _STORED.get(key)
+    if path is None:
+        df = materialize(build(), f"fixture-{name}")
+        _STORED[key] = df.inputFiles()[0].rsplit("/", 1)[0] if df.inputFiles() else ""
+        return df
+    return spark.read.parquet(path)
+
+
+# V: one quote per document cut from its first sentence in six ways: exact,
+# upper case (ASCII only), doubled spaces, prefix + '...', invented words,
+# '...' + suffix. Only the invented one must fail verification.
+QUOTES = """
+SELECT doc_id AS row_id, doc_id % 6 AS kind, text AS abstract,
+       CASE doc_id % 6
+            WHEN 0 THEN s1
+            WHEN 1 THEN CASE WHEN regexp_replace(s1, '[^ -~]', '') = s1 THEN upper(s1) ELSE s1 END
+            WHEN 2 THEN replace(s1, ' ', '  ')
+            WHEN 3 THEN substr(s1, 1, CAST(floor((length(s1) + 1) / 2) AS BIGINT)) || '...'
+            WHEN 4 THEN 'Zorblax quintessence modulates the hyperflux'
+            ELSE '...' || substr(s1, CAST(floor(length(s1) / 2) AS BIGINT) + 1) END AS sentence
+FROM (SELECT doc_id, text,
+             regexp_replace(regexp_replace(split_part(text, '.', 1),
+                                           '^[ ' || chr(9) || chr(10) || chr(13) || ']+', ''),
+                            '[ ' || chr(9) || chr(10) || chr(13) || ']+$', '') AS s1
+      FROM documents) d
+WHERE s1 <> ''
+"""
+FLAT["quotes"] = QUOTES

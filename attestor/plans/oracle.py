@@ -563,3 +563,20 @@ SELECT subject_curie, predicate, object_curie, total_pmids, yes_count, maybe_cou
        round(np + mp, 1) AS unsupported_percentage
 FROM p
 """
+
+
+ORACLE["verify_quotes"] = "SELECT row_id, kind, kind <> 4 AS verified FROM fx_quotes"
+
+ORACLE["sentence_split"] = f"""
+WITH s AS (SELECT doc_id, list_filter(list_transform(string_split(text, '.'),
+                                                      lambda x: {strip('x')}),
+                                       lambda x: x <> '') AS l FROM documents)
+SELECT doc_id, len(l) AS n_sentences,
+       coalesce(CAST(list_sum(list_transform(l, lambda x: length(x))) AS BIGINT), 0) AS chars
+FROM s
+"""
+
+ORACLE["benchmark_passages"] = """
+SELECT b.item_id, d.doc_id FROM benchmark b JOIN documents d ON contains(d.text, b.text)
+WHERE b.text IS NOT NULL AND b.text <> ''
+"""

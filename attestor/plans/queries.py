@@ -19,6 +19,7 @@ from ..operators import entities as en
 from ..operators import evaluate as ev
 from ..operators import judge
 from ..operators import score
+from ..operators import passages as pas
 from ..operators import predicates as preds
 from ..operators import prompts as prompts_op
 from ..operators import reports as rep
@@ -26,7 +27,7 @@ from ..operators import resume
 from ..operators import store as st
 from ..sources.triples import prepare_triples
 from . import nested
-from .fixtures import fixture
+from .fixtures import fixture, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -200,6 +201,12 @@ def predicate_closure(spark, sf_dir):
 # ------------------------------------------------------------ edges, entities
 
 
+def _entity_table(spark, sf_dir):
+    """The merged entity table as the prompt jobs read it: written once by the
+    entity job, then a stored input (like a names or node dictionary file)."""
+    return stored(spark, sf_dir, "entities", lambda: _entities(spark, sf_dir))
+
+
 def _entities(spark, sf_dir, merged: bool = True):
     t = fixture(spark, sf_dir, "triples")
     ents = en.load_entities(nested.nodes(spark, sf_dir), en.unique_curies(t))
@@ -249,7 +256,7 @@ def names_merge(spark, sf_dir):
 def named_triples(spark, sf_dir):
     """F32 + F33 + J6: subject_name / object_name columns next to their curies."""
     t = fixture(spark, sf_dir, "triples")
-    return en.named_columns(t, _entities(spark, sf_dir))
+    return en.named_columns(t, _entity_table(spark, sf_dir))
 
 
 # ------------------------------------------------------------ prompts
@@ -262,7 +269,7 @@ def _prompts(spark, sf_dir, model_max_len=MODEL_MAX_LEN, with_text=False):
     a = fixture(spark, sf_dir, "store")
     with_abs, _ = st.split_by_abstract(t, a)
     return prompts_op.build_prompts(
-        with_abs, a, _entities(spark, sf_dir), fixture(spark, sf_dir, "predicates"),
+        with_abs, a, _entity_table(spark, sf_dir), fixture(spark, sf_dir, "predicates"),
         model_max_len=model_max_len, with_text=with_text,
     )
 
@@ -288,8 +295,11 @@ def token_budget(spark, sf_dir):
 
 
 def _answers(spark, sf_dir):
+    """Prompts and the recorded responses (a stored input table, built once)."""
     p = _prompts(spark, sf_dir)
-    return p, nested.responses(p, fixture(spark, sf_dir, "store"))
+    r = stored(spark, sf_dir, "responses",
+               lambda: nested.responses(p, fixture(spark, sf_dir, "store")))
+    return p, r
 
 
 def _per_prompt(df):
@@ -347,7 +357,7 @@ def _results(spark, sf_dir):
     t = fixture(spark, sf_dir, "triples")
     a = fixture(spark, sf_dir, "store")
     _, r = _answers(spark, sf_dir)
-    results, _ = ev.evaluate(t, a, entities=_entities(spark, sf_dir),
+    results, _ = ev.evaluate(t, a, entities=_entity_table(spark, sf_dir),
                              predicates=fixture(spark, sf_dir, "predicates"),
                              responses=r, round2=True, model_max_len=MODEL_MAX_LEN)
     return results
@@ -370,3 +380,25 @@ def triple_summary(spark, sf_dir):
     """A5: per triple, counts and percentages over its PMIDs."""
     return rep.triple_summary(_results(spark, sf_dir),
                               by=["subject_curie", "predicate", "object_curie"])
+
+
+# ------------------------------------------------------------ text
+
+
+@query
+def verify_quotes(spark, sf_dir):
+    """O7 (F21-F27): quotes cut from each document, verified against it."""
+    v = fixture(spark, sf_dir, "quotes")
+    return pas.verify_table(v).select("row_id", "kind", "verified")
+
+
+@query
+def sentence_split(spark, sf_dir):
+    """sentences per document (count and total characters)."""
+    return pas.sentence_stats(spark.table("documents"))
+
+
+@query
+def benchmark_passages(spark, sf_dir):
+    """F25 'contained': benchmark passages found verbatim in documents."""
+    return pas.passages_in_documents(spark.table("documents"), spark.table("benchmark"))
