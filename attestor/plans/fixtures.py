@@ -289,3 +289,21 @@ FROM (SELECT doc_id, text,
 WHERE s1 <> ''
 """
 FLAT["quotes"] = QUOTES
+
+# Article answers (flat): title and text per document; every 13th has no
+# abstract; the request list also asks for ids no answer covers.
+XML_ROWS = """
+SELECT CAST(doc_id AS STRING) AS bare_pmid,
+       regexp_replace(regexp_replace(split_part(text, '.', 1),
+                                     '^[ ' || chr(9) || chr(10) || chr(13) || ']+', ''),
+                      '[ ' || chr(9) || chr(10) || chr(13) || ']+$', '') AS title,
+       text, doc_id % 2 = 0 AS labelled, doc_id % 13 <> 0 AS has_abstract
+FROM documents
+"""
+XML_REQUESTS = """
+SELECT CAST(doc_id AS STRING) AS bare_pmid FROM documents
+UNION ALL
+SELECT 'PMID:' || CAST(doc_id + 1000000 AS STRING) FROM documents WHERE doc_id % 17 = 0
+"""
+FLAT["xml_rows"] = XML_ROWS
+FLAT["xml_requests"] = XML_REQUESTS

@@ -165,3 +165,32 @@ def responses(prompts: DataFrame, store: DataFrame) -> DataFrame:
     r1 = shape(1, content1, F.when(sel == 6, F.lit("timeout")))
     r2 = shape(2, content2, F.when(F.col("sel2") == 2, F.lit("rate limited")))
     return r1.unionByName(r2)
+
+
+# ---------------------------------------------------------------- article XML
+
+
+def _xml_escape(c):
+    return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),
+                     F.lit(">"), F.lit("&gt;"))
+
+
+def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One XML answer per document: the title's first word in inline markup,
+    one AbstractText per line (labelled on even ids), no abstract every 13th."""
+    d = fixture(spark, sf_dir, "xml_rows")
+    title = F.regexp_replace(_xml_escape(F.col("title")), "^(\\S+)", "<i>$1</i>")
+    paras = F.transform(F.split(F.col("text"), "\n"), lambda p, i: F.concat(
+        F.lit("<AbstractText"),
+        F.when(F.col("labelled"), F.concat(F.lit(' Label="P'), (i + 1).cast("string"), F.lit('"')))
+        .otherwise(F.lit("")),
+        F.lit(">"), _xml_escape(p), F.lit("</AbstractText>")))
+    body = F.when(F.col("has_abstract"),
+                  F.concat(F.lit("<Abstract>"), F.array_join(paras, ""), F.lit("</Abstract>"))) \
+        .otherwise(F.lit(""))
+    xml = F.concat(
+        F.lit("<PubmedArticleSet><PubmedArticle><MedlineCitation><PMID>"),
+        F.col("bare_pmid"), F.lit("</PMID><Article><ArticleTitle>"), title,
+        F.lit("</ArticleTitle>"), body,
+        F.lit("</Article></MedlineCitation></PubmedArticle></PubmedArticleSet>"))
+    return d.select(xml.alias("xml"))

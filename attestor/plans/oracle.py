@@ -580,3 +580,79 @@ ORACLE["benchmark_passages"] = """
 SELECT b.item_id, d.doc_id FROM benchmark b JOIN documents d ON contains(d.text, b.text)
 WHERE b.text IS NOT NULL AND b.text <> ''
 """
+
+
+ORACLE["xml_ingest"] = f"""
+WITH a AS (
+  SELECT bare_pmid, {strip('title')} AS title,
+         CASE WHEN has_abstract THEN array_to_string(list_filter(list_transform(
+              string_split(text, chr(10)),
+              lambda p, i: CASE WHEN {strip('p')} = '' THEN NULL
+                                WHEN labelled THEN 'P' || CAST(i AS VARCHAR) || ': ' || {strip('p')}
+                                ELSE {strip('p')} END), lambda x: x IS NOT NULL), ' ')
+              ELSE '' END AS abstract
+  FROM fx_xml_rows)
+SELECT bare_pmid, title, abstract, CASE WHEN abstract = '' THEN 'No abstract available' END AS error
+FROM a
+UNION ALL
+SELECT DISTINCT {norm('bare_pmid')}, '', '', 'PMID not found or could not be retrieved'
+FROM fx_xml_requests WHERE {norm('bare_pmid')} NOT IN (SELECT bare_pmid FROM fx_xml_rows)
+"""
+
+
+def _clean(x: str) -> str:
+    return f"replace(replace({strip(x)}, chr(9), ' '), chr(10), ' ')"
+
+
+ORACLE["legacy_log"] = f"""{_ANS},
+lg AS (SELECT prompt_key, min({norm('PMID')}) AS bare_pmid, min(subject_curie) AS subject_curie,
+              min(predicate) AS predicate, min(object_curie) AS object_curie
+       FROM prompts GROUP BY prompt_key),
+fin AS ({_rules("r1", "s1", "t1", "sm1", "om1", "re1")}),
+x AS (SELECT f.*, l.bare_pmid, l.subject_curie, l.predicate, l.object_curie,
+             CASE WHEN f.support = 'yes' THEN 'True' ELSE 'False' END AS sup,
+             CASE f.support WHEN 'yes' THEN 'Direct support' WHEN 'maybe' THEN 'Missing qualifier'
+                  ELSE 'Not supported' END AS cat
+      FROM fin f JOIN lg l ON l.prompt_key = f.prompt_key)
+SELECT prompt_key, sup AS is_supported, cat AS evidence_category,
+       subject_mentioned, object_mentioned, {_clean('sentences')} AS supporting_sentence,
+       {_clean('reasoning')} AS reasoning,
+       concat_ws(chr(9), subject_curie, predicate, object_curie, '', bare_pmid, sup, cat,
+                 CASE WHEN subject_mentioned THEN 'Yes' ELSE 'No' END,
+                 CASE WHEN object_mentioned THEN 'Yes' ELSE 'No' END,
+                 {_clean('sentences')}, {_clean('reasoning')}, subject_curie, object_curie)
+         AS tsv_line,
+       'PMID:' || bare_pmid || ', ' || upper(substr(support, 1, 1)) || substr(support, 2)
+         || ', Subject:' || CASE WHEN subject_mentioned THEN 'Yes' ELSE 'No' END
+         || ', Object:' || CASE WHEN object_mentioned THEN 'Yes' ELSE 'No' END
+         || CASE WHEN sentences <> '' THEN ', [' || sentences || ']' ELSE '' END AS summary_line
+FROM x
+"""
+
+
+def _san(x: str) -> str:
+    return (f"replace(replace(replace(replace(replace({x}, chr(13) || chr(10), ' '), chr(13), ' '),"
+            f" chr(10), ' '), chr(9), ' '), '\"', '''')")
+
+
+ORACLE["tsv_sanitize"] = f"SELECT doc_id, {_san('text')} AS text FROM documents"
+
+
+def _txt(x: str) -> str:
+    return _san(f"coalesce(CAST({x} AS VARCHAR), 'None')")
+
+
+def _bool_txt(x: str) -> str:
+    return f"CASE WHEN {x} THEN 'True' WHEN NOT {x} THEN 'False' ELSE 'None' END"
+
+
+ORACLE["convert_results"] = f"""{_RESULTS}
+SELECT {_txt('subject_curie')} AS subject_curie, {_txt('subject_name')} AS subject_name,
+       {_txt('predicate')} AS predicate, {_txt('object_curie')} AS object_curie,
+       {_txt('object_name')} AS object_name, {_txt('PMID')} AS PMID,
+       {_txt('line_id')} AS line_id, {_bool_txt('predicted')} AS predicted,
+       {_txt('support')} AS support, {_bool_txt('subject_mentioned')} AS subject_mentioned,
+       {_bool_txt('object_mentioned')} AS object_mentioned,
+       {_txt('supporting_sentences')} AS supporting_sentences, {_txt('reasoning')} AS reasoning
+FROM results
+"""

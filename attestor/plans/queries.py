@@ -25,6 +25,9 @@ from ..operators import prompts as prompts_op
 from ..operators import reports as rep
 from ..operators import resume
 from ..operators import store as st
+from ..functions import legacy
+from ..sources import articles as articles_src
+from ..sources import sinks
 from ..sources.triples import prepare_triples
 from . import nested
 from .fixtures import fixture, stored
@@ -314,7 +317,9 @@ def _per_prompt(df):
 def _round1(spark, sf_dir):
     p, r = _answers(spark, sf_dir)
     parsed = judge.parse_responses(score.replay(r, 1))
-    keys = p.select("prompt_key", "bare_pmid").dropDuplicates(["prompt_key"])
+    # identical prompts (copied documents) report their smallest PMID
+    keys = p.groupBy("prompt_key").agg(
+        *[F.min(c).alias(c) for c in ("bare_pmid", "subject_curie", "predicate", "object_curie")])
     rows = st.attach_abstracts(keys.join(parsed, "prompt_key"), fixture(spark, sf_dir, "store"))
     return judge.judge_round1(rows), r
 
@@ -402,3 +407,73 @@ def sentence_split(spark, sf_dir):
 def benchmark_passages(spark, sf_dir):
     """F25 'contained': benchmark passages found verbatim in documents."""
     return pas.passages_in_documents(spark.table("documents"), spark.table("benchmark"))
+
+
+# ------------------------------------------------------------ ingest
+
+
+@query
+def xml_ingest(spark, sf_dir):
+    """Article XML answers parsed into store rows; unanswered ids -> not found."""
+    rows = articles_src.ingest_articles(nested.articles(spark, sf_dir),
+                                        fixture(spark, sf_dir, "xml_requests"),
+                                        fetch_date="2024-03-01T00:00:00")
+    return rows.select("bare_pmid", "title", "abstract", "error")
+
+
+# ------------------------------------------------------------ legacy, sinks
+
+_CATEGORY = {"yes": "Direct support", "maybe": "Missing qualifier", "no": "Not supported"}
+
+
+@query
+def legacy_log(spark, sf_dir):
+    """F28 + F29 + F30: judged answers written as legacy text logs (a draft line
+    then the final one) and parsed back; also the 13-field TSV line."""
+    r1, _ = _round1(spark, sf_dir)
+    fin = judge.apply_rules(r1)
+    cat = F.when(F.col("support") == "yes", F.lit(_CATEGORY["yes"])) \
+        .when(F.col("support") == "maybe", F.lit(_CATEGORY["maybe"])) \
+        .otherwise(F.lit(_CATEGORY["no"]))
+    yn = lambda c: F.when(c, F.lit("Yes")).otherwise(F.lit("No"))
+    status = F.concat(
+        F.lit("PMID:"), F.col("bare_pmid"), F.lit(", "),
+        F.when(F.col("support") == "yes", F.lit("Supported")).otherwise(F.lit("Not Supported")),
+        F.lit(", "), cat, F.lit(", Subject:"), yn(F.col("subject_mentioned")),
+        F.lit(", Object:"), yn(F.col("object_mentioned")),
+        F.when(F.size("sentences") > 0,
+               F.concat(F.lit(", ["), F.array_join("sentences", " | "), F.lit("]")))
+        .otherwise(F.lit("")))
+    log = F.concat(
+        F.lit("PMID:"), F.col("bare_pmid"), F.lit(", Not Supported, Draft, Subject:No, Object:No\n"
+                                                  "Reasoning: draft\n\n"),
+        status, F.lit("\nReasoning: "), F.col("reasoning"), F.lit("\n\n"))
+    parsed = legacy.parse_legacy_log(log)
+    return fin.select(
+        "prompt_key",
+        F.when(parsed.getField("is_supported"), F.lit("True")).otherwise(F.lit("False"))
+        .alias("is_supported"),
+        parsed.getField("evidence_category").alias("evidence_category"),
+        parsed.getField("subject_mentioned").alias("subject_mentioned"),
+        parsed.getField("object_mentioned").alias("object_mentioned"),
+        parsed.getField("supporting_sentence").alias("supporting_sentence"),
+        parsed.getField("reasoning").alias("reasoning"),
+        legacy.tsv_line(F.col("subject_curie"), F.col("predicate"), F.col("object_curie"),
+                        F.lit(""), F.col("bare_pmid"), parsed, F.col("subject_curie"),
+                        F.col("object_curie")).alias("tsv_line"),
+        legacy.format_output(F.col("bare_pmid"), F.col("support"), F.col("subject_mentioned"),
+                             F.col("object_mentioned"), F.col("sentences")).alias("summary_line"),
+    )
+
+
+@query
+def tsv_sanitize(spark, sf_dir):
+    """Document text made safe for one TSV field."""
+    d = spark.table("documents")
+    return d.select("doc_id", sinks.sanitize_tsv(F.col("text")).alias("text"))
+
+
+@query
+def convert_results(spark, sf_dir):
+    """S13 (+ Q1 text form): results without runtime_seconds, as text values."""
+    return sinks.as_text(sinks.convert_results(_results(spark, sf_dir)))
