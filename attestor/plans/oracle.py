@@ -656,3 +656,5 @@ SELECT {_txt('subject_curie')} AS subject_curie, {_txt('subject_name')} AS subje
        {_txt('supporting_sentences')} AS supporting_sentences, {_txt('reasoning')} AS reasoning
 FROM results
 """
+
+ORACLE["stream_evaluate"] = ORACLE["evaluate_results"]

@@ -29,6 +29,7 @@ from ..functions import legacy
 from ..sources import articles as articles_src
 from ..sources import sinks
 from ..sources.triples import prepare_triples
+from ..streaming import evaluate_stream as stream_op
 from . import nested
 from .fixtures import fixture, stored
 
@@ -477,3 +478,27 @@ def tsv_sanitize(spark, sf_dir):
 def convert_results(spark, sf_dir):
     """S13 (+ Q1 text form): results without runtime_seconds, as text values."""
     return sinks.as_text(sinks.convert_results(_results(spark, sf_dir)))
+
+
+# ------------------------------------------------------------ streaming
+
+
+@query
+def stream_evaluate(spark, sf_dir):
+    """Section 2.7: the evaluation as a file stream in two micro-batches (rows
+    split by 4-key, so repeated keys share a batch); equals the batch result."""
+    from ..session import ensure_checkpoint_dir, materialize
+
+    t = fixture(spark, sf_dir, "triples")
+    src = materialize(t.repartition(2, *KEY_COLUMNS), "stream-source")
+    source_dir = src.inputFiles()[0].rsplit("/", 1)[0]
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    import uuid
+
+    out = f"{base}/attestor-stream-results-{uuid.uuid4().hex}"
+    _, r = _answers(spark, sf_dir)
+    results = stream_op.stream_evaluate(
+        spark, source_dir, src.schema, fixture(spark, sf_dir, "store"), out,
+        entities=_entity_table(spark, sf_dir), predicates=fixture(spark, sf_dir, "predicates"),
+        responses=r, round2=True, model_max_len=MODEL_MAX_LEN)
+    return results.withColumn("line_id", F.col("line_id").cast("long"))
