@@ -161,6 +161,8 @@ def _div(a: str, b: str) -> str:
     return f"coalesce(CAST({a} AS DOUBLE) / nullif(CAST({b} AS DOUBLE), 0), 0.0)"
 
 
+IN_PRICE, CACHED_PRICE, OUT_PRICE = (repr(x / 1_000_000) for x in (0.05, 0.025, 0.15))
+
 _CONFUSION = f"""
 b AS (SELECT {_bin('ground_truth')} AS y, {_bin('predicted')} AS p FROM fx_labels),
 c AS (SELECT count(*) AS total_samples,
@@ -176,12 +178,12 @@ ORACLE["class_metrics"] = f"""
 WITH {_CONFUSION},
 d AS (SELECT *, {_div('tp', 'tp + fp')} AS pr, {_div('tp', 'tp + fn')} AS rc,
              {_div('tn', 'tn + fp')} AS sp FROM c)
-SELECT round({_div('tp + tn', 'n')}, 6) AS accuracy,
-       round({_div('2 * tp', '2 * tp + fp + fn')}, 6) AS f1_score,
-       round(pr, 6) AS precision, round(rc, 6) AS recall, round(sp, 6) AS specificity,
-       round(CASE WHEN tp + fn > 0 AND tn + fp > 0 THEN (rc + sp) / 2 END, 6) AS auroc,
-       round(CASE WHEN tp + fn > 0 THEN pr * rc + (1 - rc) * {_div('tp + fn', 'n')}
-                  ELSE 0.0 END, 6) AS auprc,
+SELECT {_div('tp + tn', 'n')} AS accuracy,
+       {_div('2 * tp', '2 * tp + fp + fn')} AS f1_score,
+       pr AS precision, rc AS recall, sp AS specificity,
+       CASE WHEN tp + fn > 0 AND tn + fp > 0 THEN (rc + sp) / 2 END AS auroc,
+       CASE WHEN tp + fn > 0 THEN pr * rc + (1 - rc) * {_div('tp + fn', 'n')}
+            ELSE 0.0 END AS auprc,
        total_samples, n AS valid_predictions, total_samples - n AS unknown_predictions,
        tn, fp, fn, tp, tp + fn AS positives, tn + fp AS negatives
 FROM d
@@ -193,18 +195,18 @@ d AS (SELECT *, {_div('tp', 'tp + fp')} AS p1, {_div('tp', 'tp + fn')} AS r1,
              {_div('tn', 'tn + fn')} AS p0, {_div('tn', 'tn + fp')} AS r0,
              {_div('2 * tp', '2 * tp + fp + fn')} AS f1, {_div('2 * tn', '2 * tn + fn + fp')} AS f0,
              tp + fn AS s1, tn + fp AS s0 FROM c)
-SELECT 'Not Supported' AS label, round(p0, 6) AS precision, round(r0, 6) AS recall,
-       round(f0, 6) AS f1_score, s0 AS support, round({_div('s0 * 100', 'n')}, 6) AS share_pct FROM d
+SELECT 'Not Supported' AS label, p0 AS precision, r0 AS recall,
+       f0 AS f1_score, s0 AS support, {_div('s0 * 100', 'n')} AS share_pct FROM d
 UNION ALL
-SELECT 'Supported', round(p1, 6), round(r1, 6), round(f1, 6), s1, round({_div('s1 * 100', 'n')}, 6) FROM d
+SELECT 'Supported', p1, r1, f1, s1, {_div('s1 * 100', 'n')} FROM d
 UNION ALL
-SELECT 'accuracy', NULL, NULL, round({_div('tp + tn', 'n')}, 6), n, NULL FROM d
+SELECT 'accuracy', NULL, NULL, {_div('tp + tn', 'n')}, n, NULL FROM d
 UNION ALL
-SELECT 'macro avg', round((p0 + p1) / 2, 6), round((r0 + r1) / 2, 6), round((f0 + f1) / 2, 6), n, NULL
+SELECT 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, n, NULL
 FROM d
 UNION ALL
-SELECT 'weighted avg', round({_div('p0 * s0 + p1 * s1', 'n')}, 6),
-       round({_div('r0 * s0 + r1 * s1', 'n')}, 6), round({_div('f0 * s0 + f1 * s1', 'n')}, 6), n, NULL
+SELECT 'weighted avg', {_div('p0 * s0 + p1 * s1', 'n')},
+       {_div('r0 * s0 + r1 * s1', 'n')}, {_div('f0 * s0 + f1 * s1', 'n')}, n, NULL
 FROM d
 """
 
@@ -229,7 +231,7 @@ SELECT total_rows, 24 AS concurrency, round_even(wall, 4) AS wall_total_seconds,
 FROM a, w
 """
 
-ORACLE["token_stats"] = """
+ORACLE["token_stats"] = f"""
 WITH t AS (SELECT TRY_CAST(trim(prompt) AS BIGINT) AS prompt,
                   TRY_CAST(trim(completion) AS BIGINT) AS completion,
                   TRY_CAST(trim(total) AS BIGINT) AS total,
@@ -246,21 +248,21 @@ a AS (SELECT count(*) AS num_requests, avg(prompt) AS avg_prompt, min(prompt) AS
              count(*) FILTER (WHERE cached > 0) AS hits,
              avg(uncached) AS avg_uncached, CAST(sum(uncached) AS BIGINT) AS total_uncached
       FROM ok),
-c AS (SELECT *, total_uncached * 5e-08 AS unc, total_cached * 2.5e-08 AS cac,
-             total_completion * 1.5e-07 AS outc FROM a),
-d AS (SELECT *, unc + cac + outc AS tc, total_prompt * 5e-08 + outc AS nc FROM c)
-SELECT num_requests, round(avg_prompt, 6) AS avg_prompt, min_prompt, max_prompt, total_prompt,
-       round(avg_completion, 6) AS avg_completion, min_completion, max_completion,
-       total_completion, round(avg_total, 6) AS avg_total, total_all,
-       round(avg_cached, 6) AS avg_cached, total_cached,
-       round(coalesce(hits * 100.0 / nullif(num_requests, 0), 0.0), 6) AS cache_hit_rate,
-       round(total_cached * 100.0 / nullif(total_prompt, 0), 6) AS cached_proportion,
-       round(avg_uncached, 6) AS avg_uncached, total_uncached,
-       round(unc, 6) AS uncached_input_cost, round(cac, 6) AS cached_input_cost,
-       round(outc, 6) AS output_cost, round(tc, 6) AS total_cost,
-       round(nc, 6) AS cost_without_cache, round(nc - tc, 6) AS savings,
-       round(coalesce((nc - tc) * 100 / nullif(nc, 0), 0.0), 6) AS savings_percent,
-       round(coalesce(tc / nullif(num_requests, 0), 0.0), 6) AS avg_cost_per_request
+c AS (SELECT *, total_uncached * {IN_PRICE} AS unc, total_cached * {CACHED_PRICE} AS cac,
+             total_completion * {OUT_PRICE} AS outc FROM a),
+d AS (SELECT *, unc + cac + outc AS tc, total_prompt * {IN_PRICE} + outc AS nc FROM c)
+SELECT num_requests, avg_prompt AS avg_prompt, min_prompt, max_prompt, total_prompt,
+       avg_completion AS avg_completion, min_completion, max_completion,
+       total_completion, avg_total AS avg_total, total_all,
+       avg_cached AS avg_cached, total_cached,
+       coalesce(CAST(hits AS DOUBLE) * 100 / nullif(num_requests, 0), 0.0) AS cache_hit_rate,
+       CAST(total_cached AS DOUBLE) * 100 / nullif(total_prompt, 0) AS cached_proportion,
+       avg_uncached AS avg_uncached, total_uncached,
+       unc AS uncached_input_cost, cac AS cached_input_cost,
+       outc AS output_cost, tc AS total_cost,
+       nc AS cost_without_cache, nc - tc AS savings,
+       coalesce((nc - tc) * 100 / nullif(nc, 0), 0.0) AS savings_percent,
+       coalesce(tc / nullif(num_requests, 0), 0.0) AS avg_cost_per_request
 FROM d
 """
 
