@@ -16,15 +16,25 @@ _WS = "[\\s\\x1c-\\x1f]"
 _STRIP_RE = f"(?U)^{_WS}+|{_WS}+$"
 
 
+def _printable(ch: Column) -> Column:
+    return (ch >= F.lit("!")) & (ch <= F.lit("~"))
+
+
 def py_strip(col: Column | str) -> Column:
-    """Strip leading/trailing whitespace the way Python's ``str.strip`` does."""
+    """Strip leading/trailing whitespace the way Python's ``str.strip`` does.
+
+    Fast path without a regex: when both end characters are printable ASCII
+    there is nothing to strip (the common case for keys and ids)."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.regexp_replace(c, _STRIP_RE, "")
+    clean = _printable(F.substring(c, 1, 1)) & _printable(F.substring(c, -1, 1))
+    return F.when(clean, c).otherwise(F.regexp_replace(c, _STRIP_RE, ""))
 
 
 def normalize_pmid(col: Column | str) -> Column:
     """strip, then drop one leading ``PMID:`` (any case); no second strip."""
-    return F.regexp_replace(py_strip(col), "^(?i:PMID:)", "")
+    s = py_strip(col)
+    return F.when(F.upper(F.substring(s, 1, 5)) == F.lit(PMID_PREFIX), F.substring(s, 6, 1 << 30)) \
+        .otherwise(s)
 
 
 def key_columns(prefix: str = "") -> list[Column]:
