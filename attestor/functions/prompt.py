@@ -82,8 +82,10 @@ CHARS_PER_TOKEN = 4
 
 
 def display_predicate(p: Column) -> Column:
-    """drop a leading ``biolink:``, underscores to spaces."""
-    return F.translate(F.regexp_replace(p, "^biolink:", ""), "_", " ")
+    """drop a leading ``biolink:``, underscores to spaces (no regex)."""
+    bare = F.when(p.startswith(BIOLINK_PREFIX), F.substring(p, len(BIOLINK_PREFIX) + 1, 1 << 30)) \
+        .otherwise(p)
+    return F.translate(bare, "_", " ")
 
 
 def canonical_predicate(p: Column) -> Column:
@@ -129,6 +131,16 @@ def entity_section(kind: str, name: Column, info: Column, names: Column) -> Colu
     )
 
 
+def bare_entity_section(kind: str, name: Column) -> Column:
+    """``entity_section`` for an unknown entity: no info lines, the name itself
+    as the only equivalent name (no array, no lambda)."""
+    label = kind.upper()
+    return F.concat(
+        F.lit(f"**{label}**: "), name, F.lit("\n"),
+        F.lit(f"\n**{label} EQUIVALENT NAMES** {EQUIVALENT_NAMES_NOTE}  1. "), name, F.lit("\n"),
+    )
+
+
 def predicate_section(predicate: Column, description: Column) -> Column:
     """F9 part: definition block when a non-empty description exists."""
     return F.when(

@@ -144,8 +144,13 @@ def with_entities(triples: DataFrame, entities: DataFrame | None) -> DataFrame:
     Adds ``subject_name`` / ``object_name`` ('' when unknown), ``subject`` /
     ``object`` display values (given value else curie), ``subject_info`` /
     ``object_info`` structs (null when unknown) and ``subject_names`` /
-    ``object_names`` (entity names, else ``[subject]``).
+    ``object_names`` (entity names, else ``[subject]``). When the display value
+    is the curie itself (no given name column), the prompt section of each
+    entity is rendered once in the entity table (``_subject_section``) instead
+    of once per row.
     """
+    from ..functions.prompt import entity_section
+
     out = triples
     for side in ("subject", "object"):
         given = F.col(side) if side in triples.columns else F.lit(None).cast("string")
@@ -158,11 +163,15 @@ def with_entities(triples: DataFrame, entities: DataFrame | None) -> DataFrame:
                 f"{side}_names": F.array(disp),
             })
             continue
-        e = checked_broadcast(entities.select(
-            F.col("curie").alias(f"{side}_curie"),
-            F.struct("name", "category", "description").alias(f"{side}_info"),
-            F.col("all_names").alias(f"_{side}_all"),
-        ))
+        info = F.struct("name", "category", "description")
+        names = F.when(F.coalesce(F.size("all_names"), F.lit(0)) > 0, F.col("all_names")) \
+            .otherwise(F.array(F.col("curie")))
+        cols = [F.col("curie").alias(f"{side}_curie"), info.alias(f"{side}_info"),
+                F.col("all_names").alias(f"_{side}_all")]
+        if side not in triples.columns:
+            cols.append(entity_section(side.capitalize(), F.col("curie"), info, names)
+                        .alias(f"_{side}_section"))
+        e = checked_broadcast(entities.select(*cols))
         out = out.join(e, f"{side}_curie", "left").withColumns({
             f"{side}_name": F.coalesce(F.col(f"{side}_info.name"), F.lit("")),
             f"_{side}_display": disp,

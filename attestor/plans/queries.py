@@ -211,6 +211,11 @@ def _entity_table(spark, sf_dir):
     return stored(spark, sf_dir, "entities", lambda: _entities(spark, sf_dir))
 
 
+def _predicate_table(spark, sf_dir):
+    """Predicate definitions as the prompt jobs read them: a stored input table."""
+    return stored(spark, sf_dir, "predicates", lambda: fixture(spark, sf_dir, "predicates"))
+
+
 def _entities(spark, sf_dir, merged: bool = True):
     t = fixture(spark, sf_dir, "triples")
     ents = en.load_entities(nested.nodes(spark, sf_dir), en.unique_curies(t))
@@ -273,7 +278,7 @@ def _prompts(spark, sf_dir, model_max_len=MODEL_MAX_LEN, with_text=False):
     a = fixture(spark, sf_dir, "store")
     with_abs, _ = st.split_by_abstract(t, a)
     return prompts_op.build_prompts(
-        with_abs, a, _entity_table(spark, sf_dir), fixture(spark, sf_dir, "predicates"),
+        with_abs, a, _entity_table(spark, sf_dir), _predicate_table(spark, sf_dir),
         model_max_len=model_max_len, with_text=with_text,
     )
 
@@ -364,7 +369,7 @@ def _results(spark, sf_dir):
     a = fixture(spark, sf_dir, "store")
     _, r = _answers(spark, sf_dir)
     results, _ = ev.evaluate(t, a, entities=_entity_table(spark, sf_dir),
-                             predicates=fixture(spark, sf_dir, "predicates"),
+                             predicates=_predicate_table(spark, sf_dir),
                              responses=r, round2=True, model_max_len=MODEL_MAX_LEN)
     return results
 
@@ -499,6 +504,6 @@ def stream_evaluate(spark, sf_dir):
     _, r = _answers(spark, sf_dir)
     results = stream_op.stream_evaluate(
         spark, source_dir, src.schema, fixture(spark, sf_dir, "store"), out,
-        entities=_entity_table(spark, sf_dir), predicates=fixture(spark, sf_dir, "predicates"),
+        entities=_entity_table(spark, sf_dir), predicates=_predicate_table(spark, sf_dir),
         responses=r, round2=True, model_max_len=MODEL_MAX_LEN)
     return results.withColumn("line_id", F.col("line_id").cast("long"))
