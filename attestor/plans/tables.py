@@ -16,6 +16,29 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+# Tables below this size are read as they are, whatever their split count.
+SPREAD_MIN_BYTES = 1 << 20
+
+
+def _size(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
+def spread(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """A table stored as fewer splits than the cluster has cores (one file with
+    one row group, as the test tables are) would put all map-side work of a
+    query in one task. Such a table, unless tiny, is spread round-robin over
+    the default parallelism. Inputs with enough splits are left alone, so at
+    scale this adds nothing."""
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores or _size(spark, path) < SPREAD_MIN_BYTES:
+        return df
+    return df.repartition(cores)
+
+
 def register_tables(spark: SparkSession, sf_dir: str) -> None:
     """Create (or replace) one temp view per driver table.
 
@@ -25,4 +48,4 @@ def register_tables(spark: SparkSession, sf_dir: str) -> None:
     for name in TABLES:
         path = os.path.join(sf_dir, f"{name}.parquet")
         if os.path.exists(path):
-            spark.read.parquet(path).createOrReplaceTempView(name)
+            spread(spark, spark.read.parquet(path), path).createOrReplaceTempView(name)
