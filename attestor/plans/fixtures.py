@@ -260,13 +260,15 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     other table. ``build()`` returns the DataFrame to write."""
     from ..session import materialize
 
+    from .tables import spread
+
     key = (id(spark), sf_dir, name)
     path = _STORED.get(key)
     if path is None:
         df = materialize(build(), f"fixture-{name}")
-        _STORED[key] = df.inputFiles()[0].rsplit("/", 1)[0] if df.inputFiles() else ""
-        return df
-    return spark.read.parquet(path)
+        path = df.inputFiles()[0].rsplit("/", 1)[0] if df.inputFiles() else ""
+        _STORED[key] = path
+    return spread(spark, spark.read.parquet(path), path)
 
 
 # V: one quote per document cut from its first sentence in six ways: exact,
