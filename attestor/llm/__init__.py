@@ -1,0 +1 @@
+"""Operators for preparing large text corpora: dedup, filters, tokens, packing."""
