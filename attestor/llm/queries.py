@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontam, line_dedup, url_filter
+from . import bpe, decontam, langid, line_dedup, packing, url_filter, winnow
 
 
 def table(spark, sf_dir: str, name: str):
@@ -22,6 +22,28 @@ def op2_line_dedup(spark, sf_dir):
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
 
+def _tokenizer() -> tuple[str, str]:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def op3_bpe(spark, sf_dir):
+    return bpe.token_digests(table(spark, sf_dir, "documents"), *_tokenizer())
+
+
+def op5_language(spark, sf_dir):
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+def op9_winnow(spark, sf_dir):
+    return winnow.edited_report(table(spark, sf_dir, "documents"))
+
+
+def op10_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), *_tokenizer())
+
+
 def op4_decontam(spark, sf_dir):
     out = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.drop("hit")
@@ -34,4 +56,5 @@ def op8_url_filter(spark, sf_dir):
     return out.select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op2_line_dedup, op4_decontam, op8_url_filter)}
+QUERIES = {f.__name__: f for f in (
+    op2_line_dedup, op3_bpe, op4_decontam, op5_language, op8_url_filter, op9_winnow, op10_packing)}
