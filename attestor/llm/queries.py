@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, langid, line_dedup, packing, url_filter, winnow
+from . import bpe, decontam, langid, line_dedup, packing, substring, url_filter, winnow
 
 
 def table(spark, sf_dir: str, name: str):
@@ -18,6 +18,10 @@ URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
 URL_LABELS = ["spam-farm", "casino", "tracker", "adserver"]
 
 
+def op1_substring(spark, sf_dir):
+    return substring.dedup_substrings(table(spark, sf_dir, "documents"), texts=False)
+
+
 def op2_line_dedup(spark, sf_dir):
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
@@ -57,4 +61,4 @@ def op8_url_filter(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_line_dedup, op3_bpe, op4_decontam, op5_language, op8_url_filter, op9_winnow, op10_packing)}
+    op1_substring, op2_line_dedup, op3_bpe, op4_decontam, op5_language, op8_url_filter, op9_winnow, op10_packing)}
