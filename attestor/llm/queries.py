@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, langid, line_dedup, packing, substring, suffix, url_filter, winnow
+from . import bpe, dart, decontam, langid, line_dedup, packing, substring, suffix, url_filter, winnow
 
 
 def table(spark, sf_dir: str, name: str):
@@ -57,6 +57,10 @@ def op6_suffix(spark, sf_dir):
     return suffix.dedup_bytes(table(spark, sf_dir, "documents"), texts=False).drop("spans")
 
 
+def op7_dart(spark, sf_dir):
+    return dart.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_url_filter(spark, sf_dir):
     rules = [url_filter.host_rule(*r) for r in URL_RULES]
     rules += [url_filter.label_rule(x, "block") for x in URL_LABELS]
@@ -64,6 +68,12 @@ def op8_url_filter(spark, sf_dir):
     return out.select("page_id", "host", "path", "rule", "verdict")
 
 
+def pipeline(spark, sf_dir):
+    import corpus_pipeline  # at the top of the repository; it imports the operators
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_substring, op2_line_dedup, op3_bpe, op4_decontam, op5_language, op6_suffix,
-    op8_url_filter, op9_winnow, op10_packing)}
+    op7_dart, op8_url_filter, op9_winnow, op10_packing, pipeline)}
