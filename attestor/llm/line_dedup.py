@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .common import free_name, keyed, replaced, with_key, without
 
 WINDOW = 3
@@ -66,18 +67,30 @@ def chunks(docs: DataFrame, window: int = WINDOW, modulus: int = MODULUS) -> Dat
 
 def repeated_chunks(docs: DataFrame, window: int = WINDOW, modulus: int = MODULUS) -> DataFrame:
     """d, t, first, n_lines of each chunk to remove."""
-    many = chunks(docs, window, modulus).where("n_lines > 1")
-    many = many.select("*", F.xxhash64("chunk").alias("h1"), F.md5("chunk").alias("h2"),
-                       F.struct("d", "t", "c").alias("at"))
+    many = chunks(docs, window, modulus).where("n_lines > 1").select(
+        F.struct("d", "t", "c").alias("at"), "first", "n_lines",
+        F.xxhash64("chunk").alias("h1"), F.xxhash64(F.lit(1), "chunk").alias("h2"))
     firsts = many.groupBy("h1", "h2").agg(F.min("at").alias("first_at"), F.max("at").alias("last_at"))
     firsts = firsts.where(F.col("first_at") != F.col("last_at")).select("h1", "h2", "first_at")
-    found = many.join(firsts, ["h1", "h2"])
-    # the first occurrence's bytes; rows that repeat a document repeat them too
-    model = (found.where(F.col("at") == F.col("first_at")).groupBy("h1", "h2")
+    found = materialize(many.join(firsts, ["h1", "h2"]).select(
+        "at.d", "at.t", "first", "n_lines", "h1", "h2", (F.col("at") != F.col("first_at")).alias("later")),
+        "chunks")
+    # only now texts: of the chunks that recur, and of their first occurrences
+    model = (_with_text(docs, found.where(~F.col("later"))).groupBy("h1", "h2")
              .agg(F.min("chunk").alias("model")))
-    later = found.where(F.col("at") != F.col("first_at"))
-    same = later.join(model, ["h1", "h2"]).where(F.col("chunk") == F.col("model"))
-    return same.select("d", "t", "first", "n_lines")
+    same = _with_text(docs, found.where("later")).join(model, ["h1", "h2"])
+    return same.where(F.col("chunk") == F.col("model")).select("d", "t", "first", "n_lines")
+
+
+def _with_text(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The found chunks with their text; each document is split once for all of its own."""
+    own = found.groupBy("d", "t").agg(
+        F.collect_set(F.struct("first", "n_lines", "h1", "h2")).alias("own"))
+    rows = docs.join(own, ["d", "t"]).select("d", "t", F.split("text", "\n", -1).alias("lines"), "own")
+    cut = F.transform("own", lambda x: F.struct(
+        x["first"].alias("first"), x["n_lines"].alias("n_lines"), x["h1"].alias("h1"), x["h2"].alias("h2"),
+        F.array_join(F.slice("lines", x["first"], x["n_lines"]), "\n").alias("chunk")))
+    return rows.select("d", "t", F.explode(cut).alias("x")).select("d", "t", "x.*")
 
 
 def _cut(documents: DataFrame, window: int, modulus: int):
