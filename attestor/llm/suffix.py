@@ -41,11 +41,13 @@ from .rolling import U, anchors, grams, mix
 N = 100
 K = 32
 PIECE = 1 << 17
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64))
 
-CANDIDATE = "a long, f long, d long, t int, s int, n int, known boolean"
+#: Of a candidate: its anchor; its content's hash, count of windows and whether it is known
+#: to occur earlier; its document; the rest of the document's key and its first byte.
+CANDIDATE = "a long, fn long, d long, ts long"
 FRAGMENT = ("a long, d long, t int, s int, n int, left int, body binary, "
             "spans array<struct<first:int,n:int>>")
 SPANS = "d long, t int, spans array<struct<first:int,n:int>>"
@@ -77,8 +79,7 @@ def fragments(part, n: int, k: int):
 
 
 def _candidates(n: int, k: int):
-    schema = pa.schema([("a", pa.int64()), ("f", pa.int64()), ("d", pa.int64()), ("t", pa.int32()),
-                        ("s", pa.int32()), ("n", pa.int32()), ("known", pa.bool_())])
+    schema = pa.schema([(c, pa.int64()) for c in ("a", "fn", "d", "ts")])
 
     def run(batches):
         for part in pieces(batches, limit=PIECE):
@@ -87,7 +88,7 @@ def _candidates(n: int, k: int):
                 continue
             a, f, row, s, count = found
             d = part.column("d").to_numpy()[row]
-            t = part.column("t").to_numpy()[row]
+            t = part.column("t").to_numpy()[row].astype(np.int64)
             order = np.lexsort((s, t, d, f, a))
             same = np.zeros(len(a), bool)
             same[1:] = (a[order[1:]] == a[order[:-1]]) & (f[order[1:]] == f[order[:-1]])
@@ -98,10 +99,9 @@ def _candidates(n: int, k: int):
             # an occurrence that is known needs no meeting, so its key spreads it
             spread = mix(a[i] + np.arange(1, len(i) + 1, dtype=np.uint64) * U(0x9E3779B97F4A7C15))
             key = np.where(known, spread, a[i]).view(np.int64)
+            fn = (f[i] >> U(32)).astype(np.int64) << 16 | count[i] << 1 | known
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key), pa.array(f[i].view(np.int64)), pa.array(d[i]), pa.array(t[i]),
-                 pa.array(s[i].astype(np.int32)), pa.array(count[i].astype(np.int32)), pa.array(known)],
-                schema=schema)
+                [pa.array(key), pa.array(fn), pa.array(d[i]), pa.array(t[i] << 32 | s[i])], schema=schema)
 
     return run
 
@@ -116,18 +116,19 @@ def _cut(n: int):
                 for c, values in cols.items():
                     values.append(row.get(c))
 
-            for d, t, text, places in zip(*(part.column(c).to_pylist() for c in ("d", "t", "text", "places"))):
+            for d, t, text, keys, places in zip(
+                    *(part.column(c).to_pylist() for c in ("d", "t", "text", "keys", "places"))):
                 raw = text.encode()
                 spans = []
-                for p in places:
-                    s, count = p["s"], p["n"]
-                    if p["known"]:
+                for a, p in zip(keys, places):
+                    s, count = p >> 16, p >> 1 & 0x7FFF
+                    if p & 1:
                         spans.append({"first": s, "n": count + n - 1})
                     else:
-                        put(a=p["a"], d=d, t=t, s=s, n=count, left=raw[s - 1] if s else -1,
+                        put(a=a, d=d, t=t, s=s, n=count, left=raw[s - 1] if s else -1,
                             body=raw[s:s + count + n - 1])
-                if spans:
-                    put(a=p["a"], d=d, t=t, s=0, n=0, spans=merged(spans))
+                if spans:  # their key only spreads them
+                    put(a=hash((d, t)), d=d, t=t, s=0, n=0, spans=merged(spans))
             if cols["a"]:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(cols["a"], pa.int64()), pa.array(cols["d"], pa.int64()),
@@ -213,6 +214,8 @@ def _chunks(batches, limit: int):
             if row[6] is None:
                 yield None, row
                 continue
+            if rows and row[:4] == rows[-1][:4]:
+                continue  # a repeated row's place
             if size >= limit and row[0] != rows[-1][0]:
                 yield rows, None
                 rows, size = [], 0
@@ -258,17 +261,22 @@ def recurring(docs: DataFrame, n: int = N, k: int = K) -> DataFrame:
     """a, d, t, s, n, left, body, spans: the fragments to compare, dealt and sorted by anchor;
     rows without a body carry spans that are known to occur earlier."""
     rows = docs.mapInArrow(_candidates(n, k), CANDIDATE)
-    w = Window.partitionBy("a").orderBy("f", "d", "t", "s")
-    before = F.lag(F.struct("f", "d", "t", "s")).over(w)
-    rows = rows.select("*", before.alias("b"), F.lead("s").over(w).isNotNull().alias("more"))
-    equal = F.coalesce(F.col("b.f") == F.col("f"), F.lit(False))
-    place = F.struct("d", "t", "s") == F.struct("b.d", "b.t", "b.s")
-    rows = rows.where(F.col("known") | F.col("more") | F.col("b").isNotNull())
-    rows = rows.where(F.col("known") | ~equal | ~place)  # a repeated row is the same place
-    places = F.collect_list(F.struct("a", "s", "n", (F.col("known") | equal).alias("known")))
-    found = rows.groupBy("d", "t").agg(places.alias("places"))
-    one = docs.dropDuplicates(["d", "t"])
-    cut = one.join(found, ["d", "t"]).mapInArrow(_cut(n), FRAGMENT)
+    w = Window.partitionBy("a").orderBy("fn", "d", "ts")
+    before = F.lag(F.struct("fn", "d", "ts")).over(w)
+    rows = rows.select("*", before.alias("b"), F.lead("fn").over(w).isNotNull().alias("more"))
+    known = F.col("fn") % 2 == 1
+    equal = F.coalesce(F.col("b.fn") == F.col("fn"), F.lit(False))
+    place = (F.col("d") == F.col("b.d")) & (F.col("ts") == F.col("b.ts"))
+    rows = rows.where(known | F.col("more") | F.col("b").isNotNull())
+    rows = rows.where(known | ~equal | ~place)  # a repeated row is the same place
+    known = known | equal
+    size = F.shiftright("fn", 1).bitwiseAND(0x7FFF)
+    start = F.col("ts").bitwiseAND(0xFFFFFFFF)
+    rows = rows.select(
+        "d", F.shiftright("ts", 32).cast("int").alias("t"), F.when(known, 0).otherwise(F.col("a")).alias("a"),
+        F.shiftleft(start, 16).bitwiseOR(F.shiftleft(size, 1)).bitwiseOR(known.cast("long")).alias("p"))
+    found = rows.groupBy("d", "t").agg(F.collect_list("a").alias("keys"), F.collect_list("p").alias("places"))
+    cut = docs.join(found, ["d", "t"]).mapInArrow(_cut(n), FRAGMENT)
     return cut.repartition("a").sortWithinPartitions("a", "d", "t", "s")
 
 
