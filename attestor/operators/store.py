@@ -95,7 +95,7 @@ def abstract_status(triples: DataFrame, store: DataFrame) -> DataFrame:
     out = with_bare_pmid(triples).join(meta, "bare_pmid", "left")
     status = (
         F.when(F.col("_valid").isNull(), F.lit(NOT_IN_RESULTS))
-        .when(F.col("_error").isNotNull() & (F.col("_error") != ""),
+        .when(F.coalesce(F.col("_error"), F.lit("")) != "",
               F.concat(F.lit("Error: "), F.col("_error")))
         .when(F.col("_blank"), F.lit(NO_ABSTRACT))
         .otherwise(F.lit("valid"))
@@ -129,7 +129,8 @@ def upsert(store: DataFrame, new: DataFrame, order_col: str | None = None) -> Da
     and only the batch itself is reduced to one row per pmid.
     """
     cols = list(STORE_COLUMNS)
-    pos = F.col(order_col).cast("long") if order_col else F.lit(0).cast("long")
+    # without an order column the rows' own order counts
+    pos = F.col(order_col).cast("long") if order_col else F.monotonically_increasing_id()
     latest = (
         new.select(*cols, pos.alias("_pos"))
         .groupBy("bare_pmid")

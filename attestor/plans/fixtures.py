@@ -258,17 +258,15 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     """A derived input table (e.g. recorded responses) written once per session
     and folder under the shared checkpoint folder, then read back like any
     other table. ``build()`` returns the DataFrame to write."""
-    from ..session import materialize
+    from ..session import write_stage
 
     from .tables import spread
 
     key = (id(spark), sf_dir, name)
     path = _STORED.get(key)
     if path is None:
-        df = materialize(build(), f"fixture-{name}")
-        path = df.inputFiles()[0].rsplit("/", 1)[0] if df.inputFiles() else ""
-        _STORED[key] = path
-    return spread(spark, spark.read.parquet(path), path)
+        path = _STORED[key] = write_stage(build(), f"fixture-{name}")
+    return spread(spark, spark.read.parquet(path))
 
 
 # V: one quote per document cut from its first sentence in six ways: exact,

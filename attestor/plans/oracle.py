@@ -660,3 +660,41 @@ FROM results
 """
 
 ORACLE["stream_evaluate"] = ORACLE["evaluate_results"]
+
+
+def _hostile() -> str:
+    # the answers to each form are stated beside it; two more forms follow the list
+    from .queries import HOSTILE
+
+    n = len(HOSTILE) + 2
+    rows = ", ".join(f"({i}, {lit(h[1])}, {lit(h[2])}, {lit(h[3]) if h[3] else 'NULL'})" for i, h in enumerate(HOSTILE))
+    return f"""
+WITH form(k, support, sentences, failure) AS (VALUES {rows},
+  ({n - 2}, 'no', '', 'too large'), ({n - 1}, 'yes', '', NULL))
+SELECT doc_id AS prompt_key, support, sentences, failure FROM documents JOIN form ON k = doc_id % {n}
+"""
+
+
+ORACLE["parse_hostile"] = _hostile()
+
+ORACLE["live_evaluate"] = f"""
+WITH {NAMES_CTE}, {ENT_CTE}, {PROMPT_CTE},
+one AS (SELECT length(prompt) AS n FROM prompts),
+judged AS (SELECT CASE WHEN n % 3 = 2 THEN 'no' WHEN n % 5 = 0 THEN 'maybe'
+    WHEN n % 2 = 0 THEN 'maybe' ELSE 'no' END AS support,
+  n % 3 < 2 AND n % 5 <> 0 AS asked_again, n % 3 < 2 AND n % 5 = 0 AS failed_again FROM one)
+SELECT support, asked_again, failed_again, count(*) AS n_rows FROM judged GROUP BY ALL
+"""
+
+ORACLE["evaluate_many"] = f"""
+WITH st AS (SELECT bare_pmid,
+    CASE WHEN CAST(bare_pmid AS BIGINT) % 5 = 0 THEN '' WHEN CAST(bare_pmid AS BIGINT) % 5 = 1 THEN 'down' ELSE error END AS error,
+    CASE WHEN CAST(bare_pmid AS BIGINT) % 7 = 0 THEN ' ' WHEN CAST(bare_pmid AS BIGINT) % 7 = 1 THEN NULL ELSE abstract END AS abstract
+  FROM fx_store),
+req AS (SELECT line_id, 0 AS pmid_index, PMID FROM fx_triples UNION ALL SELECT line_id, 1, 'PMID:none' FROM fx_triples
+  UNION ALL SELECT line_id, 2, PMID FROM fx_triples)
+SELECT line_id, pmid_index, PMID, 'no' AS support,
+  CASE WHEN s.bare_pmid IS NULL THEN 'PMID not found in results' WHEN coalesce(error, '') <> '' THEN 'Error: ' || error
+       WHEN {strip("coalesce(abstract, '')")} = '' THEN 'No abstract available' ELSE 'ok' END AS reasoning
+FROM req LEFT JOIN st s ON s.bare_pmid = {norm('req.PMID')}
+"""

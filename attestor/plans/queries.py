@@ -380,6 +380,79 @@ def evaluate_results(spark, sf_dir):
     return _results(spark, sf_dir)
 
 
+#: Answers that no careful model gives, by doc_id: (content, support, sentences, failure).
+HOSTILE = [
+    ('{"support": "yes", "sentences": 3}', "no", "", "'int' object is not iterable"),
+    ('{"support": "yes", "sentences": true}', "no", "", "'bool' object is not iterable"),
+    ('{"support": "yes", "sentences": ["a", 5]}', "no", "", "'int' object has no attribute 'strip'"),
+    ('{"support": 1.5}', "no", "", "'float' object has no attribute 'lower'"),
+    ('{"support": "maybe", "reasoning": null, "sentences": ["\\ud800 x"]}', "maybe", "? x", None),
+    ("```json\n[1]\n```", "no", "", "'list' object has no attribute 'get'"),
+    ("```json\n```", "no", "", "Empty JSON content extracted."),
+    ('"support": "Yes", "sentences": ["one \\"two\\"", " "', "yes", "", None),
+    ('"support": "Yes", "sentences": ["one \\"two\\"", " "]', "yes", 'one "two"', None),
+    ("} no braces {", "no", "", None),
+    ('{"support": "yes", "sentences": {"key": 1}}', "yes", "key", None),
+]
+
+
+@query
+def parse_hostile(spark, sf_dir):
+    """F13-F19 on answers made from every document: odd types, odd JSON, and the document's
+    own text as a reasoning string in an unclosed object."""
+    fixture(spark, sf_dir, "triples")
+    d = spark.table("documents")
+    forms = F.array(*[F.lit(h[0]) for h in HOSTILE])
+    n = len(HOSTILE)
+    content = F.when(F.col("doc_id") % (n + 2) < n, F.get(forms, (F.col("doc_id") % (n + 2)).cast("int"))) \
+        .when(F.col("doc_id") % (n + 2) == n, F.concat(F.lit('{"support": "maybe", "x": '), F.repeat(F.lit("9"), F.lit(5000)), F.lit("}"))) \
+        .otherwise(F.concat(F.lit('{"is_supported": true, "reasoning": "'), F.col("text"), F.lit('"')))
+    r = d.select(F.col("doc_id").alias("prompt_key"), content.alias("content"), F.lit(None).cast("string").alias("error"))
+    p = judge.parse_responses(r)
+    return p.select("prompt_key", "support", F.array_join("sentences", "|").alias("sentences"),
+                    F.when(F.col("failure").startswith("Exceeds the limit"), "too large").otherwise(F.col("failure"))
+                    .alias("failure"))
+
+
+def _by_length(prompts, _max_tokens):
+    """A scorer whose answer depends on the prompt's length alone."""
+    return [('{"support": "%s"}' % ("yes", "maybe", "no")[len(x) % 3], len(x) // 4, 5) for x in prompts]
+
+
+def _by_length_again(prompts, _max_tokens):
+    if any(len(x) % 5 == 0 for x in prompts):
+        raise RuntimeError("no answer")
+    return [('{"support": "%s"}' % ("maybe", "no")[len(x) % 2], len(x) // 4, 5) for x in prompts]
+
+
+@query
+def live_evaluate(spark, sf_dir):
+    """O8 + O10 + O11 live: every distinct prompt is asked once, those left at yes or maybe
+    once more; a call that fails takes no other prompt with it."""
+    t, a = fixture(spark, sf_dir, "triples"), fixture(spark, sf_dir, "store")
+    out, _ = ev.evaluate(t, a, entities=_entity_table(spark, sf_dir), predicates=_predicate_table(spark, sf_dir),
+                         scorer=_by_length, round2=True, round2_scorer=_by_length_again)
+    return out.groupBy(
+        "support", F.col("reasoning").startswith("[Round2]").alias("asked_again"),
+        F.col("reasoning").contains("[Round 2 failed: vLLM API error: no answer]").alias("failed_again"),
+    ).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query
+def evaluate_many(spark, sf_dir):
+    """O12 + F20 + W1: each triple of a document with that PMID, one unknown and the PMID
+    again; one row per request and place, whatever the store holds for it."""
+    t, a = fixture(spark, sf_dir, "triples"), fixture(spark, sf_dir, "store")
+    n = F.col("bare_pmid").cast("long")
+    a = a.withColumns({  # errors and blanks of all kinds beside good abstracts
+        "error": F.when(n % 5 == 0, "").when(n % 5 == 1, "down").otherwise(F.col("error")),
+        "abstract": F.when(n % 7 == 0, " \t").when(n % 7 == 1, None).otherwise(F.col("abstract"))})
+    req = t.select("subject_curie", "predicate", "object_curie", "line_id",
+                   F.array(F.col("PMID"), F.lit("PMID:none"), F.col("PMID")).alias("pmids"))
+    out = ev.evaluate_many(req, a, scorer=lambda prompts, _: [('{"support": "no", "reasoning": "ok"}', 1, 1)] * len(prompts))
+    return out.select("line_id", "pmid_index", "PMID", "support", "reasoning")
+
+
 @query
 def support_counts(spark, sf_dir):
     """A4: yes / maybe / no counts over the results."""
@@ -490,20 +563,21 @@ def convert_results(spark, sf_dir):
 
 @query
 def stream_evaluate(spark, sf_dir):
-    """Section 2.7: the evaluation as a file stream in two micro-batches (rows
-    split by 4-key, so repeated keys share a batch); equals the batch result."""
-    from ..session import ensure_checkpoint_dir, materialize
+    """Section 2.7: the evaluation as a file stream (rows dealt by 4-key, so repeated
+    keys share a file and a micro-batch); equals the batch result."""
+    from ..session import ensure_checkpoint_dir, write_stage
 
     t = fixture(spark, sf_dir, "triples")
-    src = materialize(t.repartition(2, *KEY_COLUMNS), "stream-source")
-    source_dir = src.inputFiles()[0].rsplit("/", 1)[0]
+    source_dir = write_stage(t.repartition(*KEY_COLUMNS), "stream-source")
+    n_files = len(spark.read.parquet(source_dir).inputFiles())
     base = ensure_checkpoint_dir(spark).rstrip("/")
     import uuid
 
     out = f"{base}/attestor-stream-results-{uuid.uuid4().hex}"
     _, r = _answers(spark, sf_dir)
     results = stream_op.stream_evaluate(
-        spark, source_dir, src.schema, fixture(spark, sf_dir, "store"), out,
+        spark, source_dir, t.schema, fixture(spark, sf_dir, "store"), out,
+        files_per_batch=max(1, -(-n_files // 2)),
         entities=_entity_table(spark, sf_dir), predicates=_predicate_table(spark, sf_dir),
         responses=r, round2=True, model_max_len=MODEL_MAX_LEN)
     return results.withColumn("line_id", F.col("line_id").cast("long"))

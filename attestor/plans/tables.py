@@ -17,26 +17,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # Tables below this size are read as they are, whatever their split count.
-SPREAD_MIN_BYTES = 1 << 20
+#: A table stored as one file with one row group is read by one task. Where that is
+#: known (the test tables), this setting deals the rows of all inputs to so many.
+INPUT_PARTITIONS = "spark.attestor.inputPartitions"
 
 
-def _size(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
+def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
+    n = spark.conf.get(INPUT_PARTITIONS, None)
+    return df.repartition(int(n)) if n else df
 
 
-def spread(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    """A table stored as fewer splits than the cluster has cores (one file with
-    one row group, as the test tables are) would put all map-side work of a
-    query in one task. Such a table, unless tiny, is spread round-robin over
-    the default parallelism. Inputs with enough splits are left alone, so at
-    scale this adds nothing."""
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores or _size(spark, path) < SPREAD_MIN_BYTES:
-        return df
-    return df.repartition(cores)
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def register_tables(spark: SparkSession, sf_dir: str) -> None:
@@ -46,6 +39,6 @@ def register_tables(spark: SparkSession, sf_dir: str) -> None:
     parquet scan then gets column pruning and filter pushdown as usual.
     """
     for name in TABLES:
-        path = os.path.join(sf_dir, f"{name}.parquet")
-        if os.path.exists(path):
-            spread(spark, spark.read.parquet(path), path).createOrReplaceTempView(name)
+        path = f"{sf_dir}/{name}.parquet"
+        if exists(spark, path):
+            spread(spark, spark.read.parquet(path)).createOrReplaceTempView(name)

@@ -60,23 +60,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return configured
     if current is not None:
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="attestor-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
 
 
-def materialize(df, name: str = "stage"):
-    """Cut lineage by writing ``df`` as Parquet under the shared checkpoint
-    folder and reading it back. Survives executor loss (the files are on the
-    shared store) and keeps iterative plans from growing level by level."""
+def write_stage(df, name: str = "stage") -> str:
+    """Write ``df`` as Parquet under the shared checkpoint folder; returns the path."""
     import uuid
 
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark)
+    base = ensure_checkpoint_dir(df.sparkSession)
     path = f"{base.rstrip('/')}/attestor-{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return path
+
+
+def materialize(df, name: str = "stage"):
+    """Cut lineage by writing ``df`` under the shared checkpoint folder and reading it
+    back. Survives executor loss (the files are on the shared store) and keeps iterative
+    plans from growing level by level."""
+    return df.sparkSession.read.parquet(write_stage(df, name))
 
 
 # Largest side we broadcast on purpose; above it the planner's shuffle join

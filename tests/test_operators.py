@@ -124,8 +124,12 @@ def test_sanitize_and_articles(spark):
            "<AbstractText Label='B'>one <sup>2</sup> two</AbstractText>"
            "<AbstractText> </AbstractText><AbstractText>three</AbstractText>"
            "</Abstract></Article></MedlineCitation></PubmedArticle></PubmedArticleSet>")
-    assert articles.parse_articles(xml) == [("5", "T x", "B: one 2 two three", None)]
-    docs = spark.createDataFrame([(xml,)], ["xml"])
-    req = spark.createDataFrame([("5",), ("PMID:6",)], ["bare_pmid"])
-    got = {r.bare_pmid: r.error for r in articles.ingest_articles(docs, req, "d").collect()}
-    assert got == {"5": None, "6": "PMID not found or could not be retrieved"}
+    old = xml.replace("three", "two")
+    docs = spark.createDataFrame([(2, "a", xml), (1, "a", old), (3, "b", "<x><PMID>7</PMID>"), (4, "c", None)],
+                                 "n int, batch string, xml string")
+    req = spark.createDataFrame([("5", "a"), ("PMID:6", "a"), ("7", "b")], ["bare_pmid", "batch"])
+    got = {r.bare_pmid: (r.title, r.abstract, r.error)
+           for r in articles.ingest_articles(docs, req, "d", request="batch", order="n").collect()}
+    assert got["5"] == ("T x", "B: one 2 two three", None)  # the later answer wins
+    assert got["6"][2] == "PMID not found or could not be retrieved"
+    assert got["7"][2].startswith("Extraction failed: ") and len(got) == 3
