@@ -33,10 +33,23 @@ def per_key(input_keys: DataFrame, results: DataFrame, no_abstract: DataFrame) -
     )
 
 
+def per_key_flagged(flagged: DataFrame, flag: str = "has_abstract") -> DataFrame:
+    """As ``per_key`` where results and no-abstract rows are the input rows with and without
+    ``flag``: one pass over them, one shuffle."""
+    has = F.col(flag).cast("int")
+    return flagged.groupBy(*[F.col(c).cast("string").alias(c) for c in KEY_COLUMNS]).agg(
+        F.count(F.lit(1)).alias("n_input"), F.sum(has).alias("n_results"),
+        F.sum(1 - has).alias("n_no_abstract"))
+
+
 def coverage(input_keys: DataFrame, results: DataFrame, no_abstract: DataFrame) -> DataFrame:
     """One row: totals, unique keys and duplicates per source, overlap,
     combined, extra, missing, matched, coverage percent, perfect flag."""
-    k = per_key(input_keys, results, no_abstract)
+    return coverage_of(per_key(input_keys, results, no_abstract))
+
+
+def coverage_of(k: DataFrame) -> DataFrame:
+    """``coverage`` from the counts per key."""
     in_in = F.col("n_input") > 0
     in_res = F.col("n_results") > 0
     in_na = F.col("n_no_abstract") > 0

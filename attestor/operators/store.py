@@ -53,6 +53,7 @@ def abstract_index(store: DataFrame) -> DataFrame:
         "bare_pmid",
         F.sha2(F.col("abstract"), 256).alias("abstract_sha"),
         F.length("abstract").cast("long").alias("abstract_len"),
+        F.lit(True).alias("has_abstract"),
     )
 
 
@@ -66,7 +67,8 @@ def flag_abstract(triples: DataFrame, store: DataFrame) -> DataFrame:
     """
     ids = abstract_index(store)
     out = with_bare_pmid(triples).join(ids, "bare_pmid", "left")
-    return out.withColumn("has_abstract", F.col("abstract_sha").isNotNull())
+    # the flag is a column of its own: a plan that needs no hash computes none
+    return out.withColumn("has_abstract", F.coalesce("has_abstract", F.lit(False)))
 
 
 def split_by_abstract(triples: DataFrame, store: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -698,3 +698,20 @@ SELECT line_id, pmid_index, PMID, 'no' AS support,
        WHEN {strip("coalesce(abstract, '')")} = '' THEN 'No abstract available' ELSE 'ok' END AS reasoning
 FROM req LEFT JOIN st s ON s.bare_pmid = {norm('req.PMID')}
 """
+
+ORACLE["timing_stats"] = """
+SELECT count(runtime_seconds) AS count, round(sum(runtime_seconds), 6) AS total,
+  round(avg(runtime_seconds), 6) AS mean, round(stddev_samp(runtime_seconds), 6) AS std,
+  round(quantile_cont(runtime_seconds, 0.5), 6) AS median, round(min(runtime_seconds), 6) AS min,
+  round(max(runtime_seconds), 6) AS max
+FROM fx_timings
+"""
+
+ORACLE["edge_stats"] = f"""
+WITH e AS ({ORACLE["edge_extract"]})
+SELECT (SELECT count(*) FROM fx_edge_rows) AS records, count(*) AS unique_keys,
+  count(*) FILTER (SemMedDB_sentences LIKE '% | %') AS multi_sentence,
+  (SELECT count(*) FROM fx_edge_rows WHERE NOT has_studies
+     AND NOT (has_legacy AND coalesce(text_legacy, '') <> '')) AS publications_without_text
+FROM e
+"""

@@ -104,8 +104,7 @@ def coverage_audit(spark, sf_dir):
     """Input vs. results (rows with abstract) and no-abstract rows."""
     t = fixture(spark, sf_dir, "triples")
     a = fixture(spark, sf_dir, "store")
-    with_abs, without = st.split_by_abstract(t, a)
-    return cov.coverage(t, with_abs, without)
+    return cov.coverage_of(cov.per_key_flagged(st.flag_abstract(t, a)))
 
 
 # ------------------------------------------------------------ store upkeep
@@ -190,6 +189,13 @@ def timing_summary(spark, sf_dir):
     return rep.timing_summary(m, wall, concurrency=24)
 
 
+@query
+def timing_stats(spark, sf_dir):
+    """Statistics of the recorded round-1 runtimes."""
+    out = rep.timing_stats(fixture(spark, sf_dir, "timings"))
+    return out.select("count", *[F.round(c, 6).alias(c) for c in out.columns if c != "count"])
+
+
 @query
 def token_stats(spark, sf_dir):
     """Token usage and cost; the system turns' non-integer rows are skipped."""
@@ -235,6 +241,13 @@ def edge_extract(spark, sf_dir):
     return edges_op.extract_edges(nested.edges(spark, sf_dir))
 
 
+@query
+def edge_stats(spark, sf_dir):
+    """A1 counts: records, keys, keys with several sentences, publications without text."""
+    records = nested.edges(spark, sf_dir)
+    return edges_op.edge_stats(records, edges_op.extract_edges(records))
+
+
 @query
 def unique_curies(spark, sf_dir):
     """A2: distinct subject and object curies."""

@@ -133,3 +133,18 @@ def test_sanitize_and_articles(spark):
     assert got["5"] == ("T x", "B: one 2 two three", None)  # the later answer wins
     assert got["6"][2] == "PMID not found or could not be retrieved"
     assert got["7"][2].startswith("Extraction failed: ") and len(got) == 3
+
+
+def test_quantiles_are_exact(spark):
+    import random
+
+    import numpy as np
+
+    rng = random.Random(1)
+    for n in (1, 2, 7, 500):
+        values = [rng.choice([1.0, 2.5, rng.random() * 9]) for _ in range(n)]
+        df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double").repartition(5)
+        got = reports.quantiles(df, "x", (0.0, 0.25, 0.5, 0.95, 1.0)).first().q
+        assert np.allclose(got, np.quantile(values, (0.0, 0.25, 0.5, 0.95, 1.0)))
+    empty = spark.createDataFrame([], "x double")
+    assert reports.quantiles(empty, "x", (0.5,)).first().q == [None]

@@ -15,7 +15,8 @@ QUICK = ["normalize_pmid", "abstract_split", "coverage_audit", "store_retry", "c
          "timing_summary", "token_stats", "unique_curies", "label_set", "node_match",
          "edge_extract", "sentence_split", "benchmark_passages", "verify_quotes",
          "tsv_sanitize", "xml_ingest", "prompt_text", "evaluate_results", "parse_hostile",
-         "live_evaluate", "evaluate_many", "stream_evaluate"]
+         "live_evaluate", "evaluate_many", "stream_evaluate",
+         "timing_stats", "edge_stats", "resume_pending"]
 
 
 def _norm(v):
