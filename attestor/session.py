@@ -100,12 +100,21 @@ def estimated_bytes(df) -> int | None:
         return None
 
 
+def measured_bytes(df) -> int:
+    """About how many bytes ``df`` holds, counted by a job over its rows."""
+    from pyspark.sql import functions as F
+
+    row = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    return df.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0]
+
+
 def checked_broadcast(df, max_bytes: int = BROADCAST_MAX_BYTES):
-    """Broadcast ``df`` only when its estimated size is within ``max_bytes``;
-    otherwise return it unchanged so the join shuffles."""
+    """Broadcast ``df`` only when its measured size is within ``max_bytes``; otherwise
+    return it unchanged so the join shuffles. The optimizer's estimate, which knows file
+    sizes but not what is computed, only saves the count where it is already too large."""
     from pyspark.sql import functions as F
 
     size = estimated_bytes(df)
-    if size is not None and size <= max_bytes:
+    if size is not None and size <= max_bytes and measured_bytes(df) <= max_bytes:
         return F.broadcast(df)
     return df
