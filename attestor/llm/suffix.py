@@ -14,6 +14,10 @@ same one.
    them ``CHUNK`` bytes at a time (and to the end of an anchor), sorts the suffixes that
    start a window, each up to its fragment's end, and takes the common prefixes of
    neighbours and the byte to the left of each.
+   An anchor with more than ``HOT`` different fragments (words that stand in very many
+   contexts) would fill a task: its windows are dealt one by one instead, by two hashes of
+   their bytes, and all but the first of equal ones are removed; a join finds them that
+   Spark can split.
 3. *Interval tree.* Runs of suffixes that share ``N`` bytes or more are scanned with a stack.
    Runs whose suffixes all have the same byte on the left hold no maximal repeat: each of
    their repeats is part of one that starts a byte earlier. In the others every interval
@@ -42,6 +46,8 @@ N = 100
 K = 32
 PIECE = 1 << 17
 CHUNK = 1 << 18
+#: An anchor with more different fragments than this is not dealt to one task.
+HOT = 50_000
 
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64))
 
@@ -121,7 +127,7 @@ def _cut(n: int):
                 raw = text.encode()
                 spans = []
                 for a, p in zip(keys, places):
-                    s, count = p >> 16, p >> 1 & 0x7FFF
+                    s, count = p >> 17, p >> 2 & 0x7FFF
                     if p & 1:
                         spans.append({"first": s, "n": count + n - 1})
                     else:
@@ -257,9 +263,10 @@ def _spans_batch(rows):
             names=["d", "t", "spans"])
 
 
-def recurring(docs: DataFrame, n: int = N, k: int = K) -> DataFrame:
-    """a, d, t, s, n, left, body, spans: the fragments to compare, dealt and sorted by anchor;
-    rows without a body carry spans that are known to occur earlier."""
+def places(docs: DataFrame, n: int = N, k: int = K, hot: int = HOT) -> DataFrame:
+    """d, t, a, p of each recurring place: its document, its anchor and, in one number, its
+    first byte, its count of windows, whether its anchor is hot, and whether it is known to
+    occur earlier."""
     rows = docs.mapInArrow(_candidates(n, k), CANDIDATE)
     w = Window.partitionBy("a").orderBy("fn", "d", "ts")
     before = F.lag(F.struct("fn", "d", "ts")).over(w)
@@ -270,16 +277,48 @@ def recurring(docs: DataFrame, n: int = N, k: int = K) -> DataFrame:
     rows = rows.where(known | F.col("more") | F.col("b").isNotNull())
     rows = rows.where(known | ~equal | ~place)  # a repeated row is the same place
     known = known | equal
+    different = F.sum(F.when(known, 0).otherwise(1)).over(Window.partitionBy("a"))
     size = F.shiftright("fn", 1).bitwiseAND(0x7FFF)
     start = F.col("ts").bitwiseAND(0xFFFFFFFF)
-    rows = rows.select(
+    flags = F.when(known, 1).when(different > hot, 2).otherwise(0)
+    return rows.select(
         "d", F.shiftright("ts", 32).cast("int").alias("t"), F.when(known, 0).otherwise(F.col("a")).alias("a"),
-        F.shiftleft(start, 16).bitwiseOR(F.shiftleft(size, 1)).bitwiseOR(known.cast("long")).alias("p"))
-    found = rows.groupBy("d", "t").agg(F.collect_list("a").alias("keys"), F.collect_list("p").alias("places"))
+        F.shiftleft(start, 17).bitwiseOR(F.shiftleft(size, 2)).bitwiseOR(flags.cast("long")).alias("p"))
+
+
+def recurring(docs: DataFrame, found: DataFrame, n: int = N) -> DataFrame:
+    """a, d, t, s, n, left, body, spans: the fragments to compare, dealt and sorted by anchor;
+    rows without a body carry spans that are known to occur earlier."""
+    found = found.where(F.col("p").bitwiseAND(2) == 0).groupBy("d", "t").agg(
+        F.collect_list("a").alias("keys"), F.collect_list("p").alias("places"))
     cut = docs.join(found, ["d", "t"]).mapInArrow(_cut(n), FRAGMENT)
     return cut.repartition("a").sortWithinPartitions("a", "d", "t", "s")
 
 
+def hot_spans(docs: DataFrame, found: DataFrame, n: int = N) -> DataFrame:
+    """d, t, spans of the windows of hot anchors that are not the first of their bytes."""
+    found = found.where(F.col("p").bitwiseAND(2) == 2).groupBy("d", "t").agg(F.collect_list("p").alias("places"))
+
+    def run(batches):
+        for part in pieces(batches, limit=PIECE):
+            data, off = utf8(part.column("text"))
+            lists = part.column("places").to_pylist()
+            at = [np.arange((p >> 2) & 0x7FFF) + off[i] + (p >> 17) for i, x in enumerate(lists) for p in x]
+            row = np.repeat([i for i, x in enumerate(lists) for _ in x], [len(x) for x in at])
+            at = np.concatenate(at)
+            h = [grams(mix(_BYTE[data] + U(salt)), n)[at].view(np.int64) for salt in (1, 2)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(h[0]), pa.array(h[1]), pa.array(part.column("d").to_numpy()[row]),
+                 pa.array(part.column("t").to_numpy()[row]), pa.array((at - off[row]).astype(np.int32))],
+                names=["h1", "h2", "d", "t", "s"])
+
+    windows = docs.join(found, ["d", "t"]).mapInArrow(run, "h1 long, h2 long, d long, t int, s int")
+    place = F.struct("d", "t", "s")
+    first = windows.groupBy("h1", "h2").agg(F.min(place).alias("f"), F.max(place).alias("l")).where("f <> l")
+    later = windows.join(first, ["h1", "h2"]).where(place != F.col("f"))
+    return later.select("d", "t", F.array(F.struct(F.col("s").alias("first"), F.lit(n).alias("n"))).alias("spans"))
+
+
 def _report(texts: bool):
     def run(batches):
         for part in pieces(batches):
@@ -302,12 +341,15 @@ def _report(texts: bool):
     return run
 
 
-def dedup_bytes(documents: DataFrame, n: int = N, k: int = K, texts: bool = True) -> DataFrame:
+def dedup_bytes(documents: DataFrame, n: int = N, k: int = K, texts: bool = True,
+                hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, ``kept`` (the bytes that are left; without
     ``texts`` their SHA-256 as ``kept_sha256``) and spans (removed runs: first byte, from 0,
     and length). One row per document row."""
     docs = keyed(documents)
-    spans = recurring(docs, n, k).mapInArrow(_scan(n, CHUNK), SPANS)
+    found = places(docs, n, k, hot)
+    spans = recurring(docs, found, n).mapInArrow(_scan(n, CHUNK), SPANS)
+    spans = spans.unionByName(hot_spans(docs, found, n))
     spans = spans.groupBy("d", "t").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     rows = docs.join(spans, ["d", "t"], "left").mapInArrow(
         _report(texts), "d long, n_bytes long, n_removed long, kept binary, "
@@ -320,8 +362,8 @@ def dedup_bytes(documents: DataFrame, n: int = N, k: int = K, texts: bool = True
 def maximal_repeats(documents: DataFrame, n: int = N, k: int = K) -> DataFrame:
     """The repeat groups themselves: ``length`` and ``occurrences`` (doc_id, start byte) of each
     interval whose occurrences have different bytes on their left. Fragments of equal
-    content appear once, as the first of them. Groups nest, so their sizes can add up to
-    more than the input."""
+    content appear once, as the first of them, and windows of hot anchors not at all. Groups
+    nest, so their sizes can add up to more than the input."""
     def run(batches):
         for rows, _ in _chunks(batches, CHUNK):
             if not rows:
@@ -341,5 +383,6 @@ def maximal_repeats(documents: DataFrame, n: int = N, k: int = K) -> DataFrame:
                     "occurrences": pa.array([[{"d": d, "start": s} for d, s in sorted(where)]],
                                             pa.list_(pa.struct([("d", pa.int64()), ("start", pa.int32())])))})
 
-    return recurring(keyed(documents), n, k).mapInArrow(
+    docs = keyed(documents)
+    return recurring(docs, places(docs, n, k), n).mapInArrow(
         run, "length int, occurrences array<struct<d:bigint,start:int>>")

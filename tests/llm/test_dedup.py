@@ -58,9 +58,10 @@ def test_automata_are_sharded(documents):
     assert not earlier.any()
 
 
-def test_suffix(odd_docs, documents):
+@pytest.mark.parametrize("hot", [suffix.HOT, 1])
+def test_suffix(odd_docs, documents, hot):
     got = Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)
-                  for r in suffix.dedup_bytes(odd_docs, texts=False).collect())
+                  for r in suffix.dedup_bytes(odd_docs, texts=False, hot=hot).collect())
     want = Counter()
     for d, u, m in masks(lambda t: t.encode(), documents, 100):
         edges = np.diff(np.concatenate(([0], np.array(m, np.int8), [0])))
