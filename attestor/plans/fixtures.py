@@ -269,7 +269,7 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     return spread(spark, spark.read.parquet(path))
 
 
-# V: one quote per document cut from its first sentence in six ways: exact,
+# V: one quote per document cut from one of its sentences (any, by doc_id) in six ways: exact,
 # upper case (ASCII only), doubled spaces, prefix + '...', invented words,
 # '...' + suffix. Only the invented one must fail verification.
 QUOTES = """
@@ -282,7 +282,7 @@ SELECT doc_id AS row_id, doc_id % 6 AS kind, text AS abstract,
             WHEN 4 THEN 'Zorblax quintessence modulates the hyperflux'
             ELSE '...' || substr(s1, CAST(floor(length(s1) / 2) AS BIGINT) + 1) END AS sentence
 FROM (SELECT doc_id, text,
-             regexp_replace(regexp_replace(split_part(text, '.', 1),
+             regexp_replace(regexp_replace(split_part(text, '.', CAST(1 + doc_id % (1 + length(text) - length(replace(text, '.', ''))) AS INT)),
                                            '^[ ' || chr(9) || chr(10) || chr(13) || ']+', ''),
                             '[ ' || chr(9) || chr(10) || chr(13) || ']+$', '') AS s1
       FROM documents) d
