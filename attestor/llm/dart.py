@@ -10,13 +10,16 @@ document's weight are thrown, so a signature costs time in proportion to the ele
 plus ``DARTS log DARTS``; where a coordinate stays empty the bound is doubled.
 
 Signatures are cut into ``BANDS`` bands. A pair of similarity 0.8 shares no band with
-probability 3e-6. Documents of equal words form a class at once; only one document of a
-class is banded. In a bucket every member is compared with the smallest, exactly, over
-the whole texts; members that are not found in one component with it are compared with
-the smallest of them in the next round, and so on until no bucket has members left to
-compare. So no round emits more than one pair per member, and hot buckets are joined on
-their key with partial aggregation first. Components come from large-star/small-star
-steps, each written to the shared checkpoint folder.
+probability 3e-6. Documents of equal words form a class at once; only one document of a class is banded. In a round every member of a
+bucket meets ``LEADS`` of its members, the firsts in as many orders; pairs whose sketches
+could belong to similar documents are compared exactly, over the whole texts. What is then
+in one component with a lead is done in that bucket; the others meet new leads in the next
+round, until no bucket has two components left that have not met, or a round adds no link.
+So a round emits ``LEADS`` pairs per member at most, however large a bucket is. A pair of
+0.8 meets in ten buckets on average and is linked as soon as each is linked to one lead;
+only a pair whose members lead in none of them, and are like none of the leads, can be
+missed. Components come from large-star/small-star steps, each written to the shared
+checkpoint folder.
 
 Defined results: documents without a word are alike to none, not even to each other; a
 text of fewer than ``SHINGLE`` words is one shingle. Rows that repeat ``doc_id`` and text
@@ -40,8 +43,13 @@ SIMILARITY = 0.8
 BANDS, ROWS = 32, 5
 DARTS = BANDS * ROWS
 PIECE = 1 << 19
+#: Members of a bucket meet so many of them in a round.
+LEADS = 4
 
-SIGNATURE = "d long, t int, c1 long, c2 long, bands array<long>"
+SIGNATURE = "d long, t int, c1 long, c2 long, bands array<long>, sketch array<tinyint>"
+#: A pair whose sketches (a byte of each dart) agree on a smaller share is not compared: at
+#: a similarity of 0.8 that is five standard deviations below what is expected.
+SKETCH_SHARE = 0.64
 
 
 def elements(column, k: int = SHINGLE):
@@ -78,47 +86,48 @@ def _uniform(x: np.ndarray) -> np.ndarray:
     return ((x >> U(11)).astype(np.float64) + 0.5) / 9007199254740992.0
 
 
+def _thrown(region: np.ndarray, doc: np.ndarray, bound: np.ndarray, darts: int, block: int):
+    """All darts on the regions before their documents' bounds: (slot, time, name). A region
+    gets ``block`` darts at a time until one is late."""
+    slots, times, names = [], [], []
+    at, number = np.zeros(len(region)), 0
+    while len(region):
+        step = mix(np.arange(number, number + block, dtype=np.uint64) * U(0x632BE59BD9B4E019) + U(1))
+        name = mix(region[:, None] + step)
+        time = np.cumsum(-np.log(_uniform(name)), axis=1) + at[:, None]
+        row, col = np.nonzero(time < bound[doc][:, None])
+        name_in = name[row, col]
+        slots.append(doc[row] * darts + (mix(name_in ^ U(0xA24BAED4963EE407)) % U(darts)).astype(np.int64))
+        times.append(time[row, col])
+        names.append(name_in)
+        on = time[:, -1] < bound[doc]
+        region, doc, at, number = region[on], doc[on], time[on, -1], number + block
+    return slots, times, names
+
+
 def dart_signatures(rows: int, row: np.ndarray, shingle: np.ndarray, count: np.ndarray,
                     darts: int = DARTS) -> np.ndarray:
     """A row of ``darts`` dart names for each of ``rows`` documents; 0 where it has none."""
     out = np.zeros(rows * darts, np.uint64)
-    earliest = np.full(rows * darts, np.inf)
-    if not len(row):
-        return out.reshape(rows, darts)
+    weight = np.bincount(row, weights=count, minlength=rows)
     unit = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
     region = mix(np.repeat(shingle, count) + unit.astype(np.uint64) * U(0x9E3779B97F4A7C15))
     doc = np.repeat(row, count)
-    weight = np.bincount(doc, minlength=rows)
     bound = darts * (np.log(darts) + 3) / np.maximum(weight, 1)
-    name = mix(region)
-    time = -np.log(_uniform(name))
-    while len(doc):
-        late = time >= bound[doc]
-        now = np.flatnonzero(~late)
-        if len(now):
-            slot = doc[now] * darts + (mix(name[now] ^ U(0xA24BAED4963EE407)) % U(darts)).astype(np.int64)
-            order = np.argsort(time[now], kind="stable")[::-1]  # the earliest is written last
-            seen = slot[order]
-            best = np.zeros(0, np.int64)
-            first = np.full(rows * darts, -1, np.int64) if len(now) > 4096 else None
-            if first is not None:
-                first[seen] = now[order]
-                best = first[np.unique(seen)]
-                cells = np.unique(seen)
-            else:
-                cells, k = np.unique(seen[::-1], return_index=True)
-                best = now[order[::-1][k]]
-            better = time[best] < earliest[cells]
-            earliest[cells[better]], out[cells[better]] = time[best[better]], name[best[better]]
-            # the next dart on the same regions
-            name[now] = mix(name[now] + U(0x632BE59BD9B4E019))
-            time[now] = time[now] - np.log(_uniform(name[now]))
-            continue
-        # all darts before the bound are thrown: documents with empty coordinates go on
-        open_rows = np.isinf(earliest.reshape(rows, darts)).any(1) & (weight > 0)
-        keep = open_rows[doc]
-        doc, name, time = doc[keep], name[keep], time[keep]
-        bound[open_rows] *= 2
+    todo = weight > 0
+    while todo.any():
+        parts = [[], [], []]
+        # the more darts a region will get, the more are made at once
+        for low, high, block in ((0, 2, 1), (2, 16, 4), (16, np.inf, 64)):
+            now = (todo & (bound >= low) & (bound < high))[doc]
+            for whole, some in zip(parts, _thrown(region[now], doc[now], bound, darts, block)):
+                whole += some
+        slot, time, name = map(np.concatenate, parts)
+        order = np.argsort(time)[::-1]
+        out[slot[order]] = name[order]  # the earliest is written last
+        # documents with an empty coordinate are thrown again with twice the bound
+        todo &= (out.reshape(rows, darts) == 0).any(1)
+        bound[todo] *= 2
     return out.reshape(rows, darts)
 
 
@@ -134,8 +143,9 @@ def _signed(batches):
         yield pa.RecordBatch.from_arrays(
             [part.column("d").filter(pa.array(some)), part.column("t").filter(pa.array(some)),
              pa.array(c1[some].view(np.int64)), pa.array(c2[some].view(np.int64)),
-             pa.array(list(key[some].view(np.int64)), pa.list_(pa.int64()))],
-            names=["d", "t", "c1", "c2", "bands"])
+             pa.array(list(key[some].view(np.int64)), pa.list_(pa.int64())),
+             pa.array(list((signature[some] & U(0xFF)).astype(np.uint8).view(np.int8)), pa.list_(pa.int8()))],
+            names=["d", "t", "c1", "c2", "bands", "sketch"])
 
 
 def similarity(a: str, b: str) -> float:
@@ -161,17 +171,13 @@ def _compared(batches):
 NODE = "struct<d:bigint,t:int>"
 
 
-def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose texts are similar enough."""
-    texts = docs.dropDuplicates(["d", "t"])
-    left = texts.select(F.col("d").alias("ud"), F.col("t").alias("ut"), F.col("text").alias("u_text"))
-    right = texts.select(F.col("d").alias("vd"), F.col("t").alias("vt"), F.col("text").alias("v_text"))
-    flat = pairs.select(F.col("u.d").alias("ud"), F.col("u.t").alias("ut"),
-                        F.col("v.d").alias("vd"), F.col("v.t").alias("vt"))
-    rows = flat.join(left, ["ud", "ut"]).join(right, ["vd", "vt"]).select(
-        F.struct(F.col("ud").alias("d"), F.col("ut").alias("t")).alias("u"),
-        F.struct(F.col("vd").alias("d"), F.col("vt").alias("t")).alias("v"), "u_text", "v_text")
-    return rows.mapInArrow(_compared, f"u {NODE}, v {NODE}")
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (u, v) whose texts are similar enough; sketches tell which to look at."""
+    left = texts.select(F.col("node").alias("u"), F.col("sketch").alias("a"), F.col("text").alias("u_text"))
+    right = texts.select(F.col("node").alias("v"), F.col("sketch").alias("b"), F.col("text").alias("v_text"))
+    same = F.size(F.filter(F.zip_with("a", "b", lambda x, y: x == y), lambda x: x))
+    rows = pairs.join(left, "u").join(right, "v").where(same >= SKETCH_SHARE * DARTS)
+    return rows.select("u", "v", "u_text", "v_text").mapInArrow(_compared, f"u {NODE}, v {NODE}")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -198,51 +204,59 @@ def clusters(documents: DataFrame):
     """(membership, links): d, t, rep (the smallest document of equal words), root (the
     smallest document of its component) of every document with a word; and the verified
     links u, v between documents of different words."""
-    docs = keyed(documents)
-    signed = materialize(docs.dropDuplicates(["d", "t"]).mapInArrow(_signed, SIGNATURE), "signed")
+    spark, docs = documents.sparkSession, keyed(documents)
+    signed = materialize(docs.mapInArrow(_signed, SIGNATURE), "signed").dropDuplicates(["d", "t"])
     node = F.struct("d", "t")
     reps = signed.groupBy("c1", "c2").agg(F.min(node).alias("rep"))
-    member = signed.select("d", "t", "c1", "c2").join(reps, ["c1", "c2"]).select("d", "t", "rep")
-    heads = signed.join(reps.select(F.col("rep.d").alias("d"), F.col("rep.t").alias("t")), ["d", "t"], "left_semi")
+    member = materialize(signed.select("d", "t", "c1", "c2").join(reps, ["c1", "c2"]).select("d", "t", "rep"), "member")
+    heads = signed.join(member.where(node == F.col("rep")).select("d", "t"), ["d", "t"], "left_semi")
     buckets = heads.select(node.alias("v"), F.explode("bands").alias("b"))
     shared = buckets.groupBy("b").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("b")
     buckets = materialize(buckets.join(shared, "b"), "buckets")
-    links, done = None, None
-    open_rows = buckets.withColumn("root", F.col("v"))
-    while True:
-        lead = open_rows.groupBy("b").agg(F.min(F.struct("v", "root")).alias("lead"))
-        asked = open_rows.join(lead, "b").where(F.col("root") != F.col("lead.root"))
-        pairs = asked.select(F.col("lead.v").alias("u"), "v").distinct()
-        if done is not None:
-            pairs = pairs.join(done, ["u", "v"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        if pairs.isEmpty():
-            found = None
-        else:
-            found = materialize(verified(pairs, docs), "links")
-        if found is not None:
-            done = pairs if done is None else done.unionByName(pairs)
-            links = found if links is None else links.unionByName(found)
-        if links is None:
-            break
-        roots = components(links)
-        # members of the lead's component, and the lead itself, are done in this bucket
-        known = open_rows.drop("root").join(roots, open_rows.v == roots.node, "left").select(
-            "b", "v", F.coalesce("root", "v").alias("root"))
-        lead = lead.select("b", F.col("lead.v").alias("l")).join(
-            roots, F.col("l") == roots.node, "left").select("b", F.coalesce("root", "l").alias("lead"))
-        rest = known.join(lead, "b").where(F.col("root") != F.col("lead")).select("b", "v", "root")
-        many = rest.groupBy("b").agg(F.min("root").alias("m"), F.max("root").alias("k")).where("m != k").select("b")
-        open_rows = materialize(rest.join(many, "b", "left_semi"), "open")
-        if open_rows.isEmpty():
+    # texts of what meets another document at all, once for all rounds
+    met = buckets.select("v.*").distinct()
+    near = signed.join(met, ["d", "t"], "left_semi").select("d", "t", "sketch")
+    texts = materialize(docs.join(near, ["d", "t"]).groupBy(node.alias("node"))
+                        .agg(F.min("text").alias("text"), F.min("sketch").alias("sketch")), "texts")
+    links = spark.createDataFrame([], f"u {NODE}, v {NODE}")
+    roots = spark.createDataFrame([], f"node {NODE}, root {NODE}")
+    rest, turn, known = buckets.withColumn("root", F.col("v")), 0, 0
+    while not rest.isEmpty():
+        lead = _leads(rest, turn)
+        asked = rest.join(lead, "b").select("v", "root", F.explode("leads").alias("l"))
+        pairs = asked.where(F.col("root") != F.col("l.root")).select(
+            F.least("l.v", "v").alias("u"), F.greatest("l.v", "v").alias("v")).distinct()
+        links = materialize(links.unionByName(verified(pairs, texts)).distinct(), "links")
+        count = links.count()
+        if count == known:
             break
-    if links is None:
-        empty = documents.sparkSession.createDataFrame([], f"u {NODE}, v {NODE}")
-        return member.select("d", "t", "rep", F.col("rep").alias("root")), empty
+        known, turn = count, turn + 1
+        roots = materialize(components(links), "roots")
+        # members of the leads' components, and the leads themselves, are done in this bucket
+        closed = _rooted(lead.select("b", F.explode("leads.v").alias("v")), roots).select("b", "root").distinct()
+        now = _rooted(rest.drop("root"), roots).join(closed, ["b", "root"], "left_anti")
+        many = now.groupBy("b").agg(F.min("root").alias("m"), F.max("root").alias("k")).where("m != k")
+        rest = materialize(now.join(many.select("b"), "b", "left_semi").select("b", "v", "root"), "rest")
     out = member.join(roots, member.rep == roots.node, "left")
     return out.select("d", "t", "rep", F.coalesce("root", "rep").alias("root")), links
 
 
+def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    out = rows.join(roots, rows.v == roots.node, "left")
+    return out.withColumn("root", F.coalesce("root", "v")).drop("node")
+
+
+def _leads(rest: DataFrame, turn: int) -> DataFrame:
+    """b and leads (v, root): each bucket's first member in each of ``LEADS`` orders. An order
+    is the same in all buckets, so members of one group meet the same leads in many."""
+    firsts = [F.min(F.struct(F.xxhash64(F.lit(turn * LEADS + k), "v").alias("h"), "v", "root"))
+              for k in range(LEADS)]
+    one = rest.groupBy("b").agg(*[f.alias(f"x{k}") for k, f in enumerate(firsts)])
+    return one.select("b", F.array_distinct(F.array(*[
+        F.struct(F.col(f"x{k}.v").alias("v"), F.col(f"x{k}.root").alias("root")) for k in range(LEADS)
+    ])).alias("leads"))
+
+
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """doc_id, class_id (smallest doc_id of equal words), cluster_id (smallest of the
     component), n_links (verified links of the class with others) and kept, for every row."""
