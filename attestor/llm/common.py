@@ -86,8 +86,9 @@ def utf8(column) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0]:off[-1]], off - off[0]
 
 
-def pieces(batches, text: str = "text", limit: int = PIECE_BYTES):
-    """Slices of Arrow batches with at most ``limit`` bytes of text, one row at least."""
+def pieces(batches, text: str = "text", limit: int = PIECE_BYTES, rows: int = 1 << 14):
+    """Slices of Arrow batches with at most ``limit`` bytes of text, one row at least and
+    ``rows`` at most."""
     for batch in batches:
         n = batch.num_rows
         if not n:
@@ -96,6 +97,6 @@ def pieces(batches, text: str = "text", limit: int = PIECE_BYTES):
         at = 0
         while at < n:
             end = int(np.searchsorted(off, off[at] + limit, "right")) - 1
-            end = min(max(end, at + 1), n)
+            end = min(max(end, at + 1), at + rows, n)
             yield batch.slice(at, end - at)
             at = end

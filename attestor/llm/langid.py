@@ -29,7 +29,7 @@ from .common import free_name, pieces, utf8
 
 DIMENSIONS = 4096
 PER_LANGUAGE = 300
-PIECE = 1 << 18
+PIECE, PIECE_ROWS = 1 << 18, 512
 
 # Common language codes by family.
 FAMILIES = {
@@ -165,7 +165,7 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
               .dropDuplicates(["lang", "h"]).select("lang", "h", "text"))
 
     def run(batches):
-        for part in pieces(batches, limit=PIECE):
+        for part in pieces(batches, limit=PIECE, rows=PIECE_ROWS):
             v = vectors(part.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [part.column("lang"), part.column("h"),
@@ -186,7 +186,7 @@ def predict(documents: DataFrame, model: Model, name: str = "lang_pred") -> Data
     kept = [c for c in rows.columns if c != flag]
 
     def run(batches):
-        for part in pieces(batches, limit=PIECE):
+        for part in pieces(batches, limit=PIECE, rows=PIECE_ROWS):
             lang, score = model.predict(vectors(part.column("text")))
             none = ~part.column(flag).to_numpy(zero_copy_only=False).astype(bool)
             lang[none], score[none] = "und", 0.0
