@@ -184,7 +184,6 @@ def components(links: DataFrame) -> DataFrame:
     """node and root (the smallest node it is linked to, however far), for linked nodes."""
     edges = materialize(links.select(F.greatest("u", "v").alias("x"), F.least("u", "v").alias("y"))
                         .distinct(), "edges")
-    state = None
     while True:
         both = edges.unionByName(edges.select(F.col("y").alias("x"), F.col("x").alias("y")))
         low = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
@@ -194,10 +193,12 @@ def components(links: DataFrame) -> DataFrame:
         low = large.groupBy("x").agg(F.min("y").alias("m"))
         small = large.join(low, "x").where("y > m").select(F.col("y").alias("x"), F.col("m").alias("y"))
         edges = materialize(small.unionByName(low.select("x", F.col("m").alias("y"))).distinct(), "small")
-        now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("x", "y").cast("decimal(38,0)"))).first())
-        if now == state:
+        # done when every node points to one root that points nowhere
+        ends = edges.select(F.col("x").alias("v"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(
+            edges.select(F.col("y").alias("v"), F.lit(0).alias("out"), F.lit(1).alias("into")))
+        ends = ends.groupBy("v").agg(F.sum("out").alias("out"), F.sum("into").alias("into"))
+        if ends.where("out > 1 or (out = 1 and into > 0)").isEmpty():
             return edges.select(F.col("x").alias("node"), F.col("y").alias("root"))
-        state = now
 
 
 def clusters(documents: DataFrame):
