@@ -19,14 +19,20 @@ PIECE_BYTES = 1 << 20
 NULL_ID = -(1 << 63)
 
 
-def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def unique_ids(docs: DataFrame, id_col: str = "doc_id") -> bool:
+    """Whether no two rows share an id; counts ids, reads no texts."""
+    return docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+
+
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unique: bool = False) -> DataFrame:
     """``d`` long and ``t`` int name a document, never null; ``text`` is its text or ''.
 
-    ``t`` hashes the text, so rows that share an id but not a text stay apart.
-    Only these three columns are kept, so no other column can clash."""
+    ``t`` hashes the text, so rows that share an id but not a text stay apart; where ids are
+    known to be ``unique`` it is 0, which is cheaper to shuffle. Only these three columns
+    are kept, so no other column can clash."""
     return docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("d"),
-        F.hash(F.col(text_col), F.col(id_col).isNull()).alias("t"),
+        F.lit(0).alias("t") if unique else F.hash(F.col(text_col), F.col(id_col).isNull()).alias("t"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
 

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import keyed, pieces, unkeyed, utf8
+from .common import keyed, pieces, unique_ids, unkeyed, utf8
 from .rolling import U, anchors, grams, mix, word_hashes, words
 
 N = 20
@@ -149,7 +149,7 @@ def passages(docs: DataFrame, linked: DataFrame, n: int = N) -> DataFrame:
     source = docs.withColumnRenamed("d", "od").withColumnRenamed("t", "ot")
     found = pairs.join(source, ["od", "ot"]).select(
         "od", "ot", "d", "t", "spans",
-        F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda x: x != "").alias("words"))
+        F.split(F.btrim("text", F.lit(" \t\n\x0b\x0c\r")), r"[\x20\x09-\x0D]+").alias("words"))
     cut = F.transform("spans", lambda x: F.struct(
         F.col("od"), F.col("ot"), x["lo"].alias("lo"),
         F.array_join(F.slice("words", x["lo"] + 1, x["hi"] - x["lo"] + n - 1), " ").alias("words")))
@@ -157,33 +157,49 @@ def passages(docs: DataFrame, linked: DataFrame, n: int = N) -> DataFrame:
     return found.groupBy("d", "t").agg(F.flatten(F.collect_list("passages")).alias("passages"))
 
 
+def joined(passages, n: int) -> list[tuple]:
+    """(od, ot, lo, words) of each stretch once: stretches of one document that overlap or
+    touch become one. Later places come first."""
+    out: list[tuple] = []
+    for od, ot, lo, ws in sorted(passages, key=lambda p: p[:3]):
+        if out and out[-1][:2] == (od, ot) and lo <= out[-1][2] + len(out[-1][3]) - n + 1:
+            known = out[-1][2] + len(out[-1][3]) - lo
+            out[-1][3].extend(ws[known:] if known < len(ws) else [])
+        else:
+            out.append((od, ot, lo, list(ws)))
+    return out[::-1]
+
+
 def covered(docs: list[tuple], n: int = N, limit: int = AUTOMATON_WINDOWS) -> list[np.ndarray]:
     """For each (d, t, words, passages) a mask of its words inside a window that occurs
     earlier. Automata of ``limit`` windows are compiled and run one after the other."""
     import ahocorasick
 
     masks = [np.zeros(len(w) + 1, np.int32) for _, _, w, _ in docs]
-    todo = [(p["od"], p["ot"], p["lo"], p["words"].encode().split()) for x in docs for p in x[3]]
-    at = 0
+    todo = joined(((p["od"], p["ot"], p["lo"], p["words"].encode().split()) for x in docs for p in x[3]), n)
+    at, skip = 0, 0
     while at < len(todo):
         number: dict[bytes, int] = {}
         machine = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
         size = 0
-        while at < len(todo) and (size == 0 or size + len(todo[at][3]) <= limit):
+        while at < len(todo) and size < limit:
             od, ot, lo, ws = todo[at]
-            ids = tuple([number.setdefault(w, len(number) + 1) for w in ws])
-            for i in range(len(ids) - n + 1):
-                key, place = ids[i:i + n], (od, ot, lo + i)
-                if place < machine.get(key, (np.inf,)):
-                    machine.add_word(key, place)
+            some = ws[skip:skip + limit + n - 1]
+            ids = tuple([number.setdefault(w, len(number) + 1) for w in some])
+            # later places first, so of equal windows the earliest stays
+            for i in range(len(ids) - n, -1, -1):
+                machine.add_word(ids[i:i + n], (od, ot, lo + skip + i))
             size += len(ids)
-            at += 1
+            if skip + limit + n - 1 < len(ws):
+                skip += limit
+            else:
+                at, skip = at + 1, 0
         if not len(machine):
             continue
         machine.make_automaton()
+        get = number.get
         for (d, t, ws, _), mask in zip(docs, masks):
-            ids = tuple([number.get(w, 0) for w in ws])
-            for end, place in machine.iter(ids):
+            for end, place in machine.iter(tuple([get(w, 0) for w in ws])):
                 if place < (d, t, end - n + 1):
                     mask[end - n + 1] += 1
                     mask[end + 1] -= 1
@@ -234,7 +250,7 @@ def dedup_substrings(documents: DataFrame, n: int = N, k: int = K, texts: bool =
     """doc_id, n_words, n_removed, spans (removed runs of words: first, from 0, and how many)
     and ``kept``, the words that are left joined by one space; without ``texts`` the
     SHA-256 of that instead, as ``kept_sha256``. One row per document row."""
-    docs = keyed(documents)
+    docs = keyed(documents, unique=unique_ids(documents))
     found = passages(docs, links(docs, n, k), n)
     rows = docs.join(found, ["d", "t"], "left").mapInArrow(_report(n, texts), REPORT)
     kept = F.col("kept").cast("string").alias("kept" if texts else "kept_sha256")

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import keyed, pieces, unkeyed, utf8
+from .common import keyed, pieces, unique_ids, unkeyed, utf8
 from .rolling import U, anchors, grams, mix
 
 N = 100
@@ -346,7 +346,7 @@ def dedup_bytes(documents: DataFrame, n: int = N, k: int = K, texts: bool = True
     """doc_id, n_bytes, n_removed, n_spans, ``kept`` (the bytes that are left; without
     ``texts`` their SHA-256 as ``kept_sha256``) and spans (removed runs: first byte, from 0,
     and length). One row per document row."""
-    docs = keyed(documents)
+    docs = keyed(documents, unique=unique_ids(documents))
     found = places(docs, n, k, hot)
     spans = recurring(docs, found, n).mapInArrow(_scan(n, CHUNK), SPANS)
     spans = spans.unionByName(hot_spans(docs, found, n))
