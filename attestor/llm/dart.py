@@ -208,7 +208,8 @@ def clusters(documents: DataFrame):
     spark, docs = documents.sparkSession, keyed(documents)
     signed = materialize(docs.mapInArrow(_signed, SIGNATURE), "signed").dropDuplicates(["d", "t"])
     node = F.struct("d", "t")
-    reps = signed.groupBy("c1", "c2").agg(F.min(node).alias("rep"))
+    # written, so that Spark can split the join with a class that holds a third of all rows
+    reps = materialize(signed.groupBy("c1", "c2").agg(F.min(node).alias("rep")), "reps")
     member = materialize(signed.select("d", "t", "c1", "c2").join(reps, ["c1", "c2"]).select("d", "t", "rep"), "member")
     heads = signed.join(member.where(node == F.col("rep")).select("d", "t"), ["d", "t"], "left_semi")
     buckets = heads.select(node.alias("v"), F.explode("bands").alias("b"))

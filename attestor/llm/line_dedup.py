@@ -71,13 +71,15 @@ def repeated_chunks(docs: DataFrame, window: int = WINDOW, modulus: int = MODULU
         F.struct("d", "t", "c").alias("at"), "first", "n_lines",
         F.xxhash64("chunk").alias("h1"), F.xxhash64(F.lit(1), "chunk").alias("h2"))
     firsts = many.groupBy("h1", "h2").agg(F.min("at").alias("first_at"), F.max("at").alias("last_at"))
-    firsts = firsts.where(F.col("first_at") != F.col("last_at")).select("h1", "h2", "first_at")
+    # written, so that nothing stands between shuffle and join and Spark can split a hot chunk
+    firsts = materialize(firsts.where(F.col("first_at") != F.col("last_at")).select("h1", "h2", "first_at"),
+                         "firsts")
     found = materialize(many.join(firsts, ["h1", "h2"]).select(
         "at.d", "at.t", "first", "n_lines", "h1", "h2", (F.col("at") != F.col("first_at")).alias("later")),
         "chunks")
     # only now texts: of the chunks that recur, and of their first occurrences
-    model = (_with_text(docs, found.where(~F.col("later"))).groupBy("h1", "h2")
-             .agg(F.min("chunk").alias("model")))
+    # (a repeated row repeats its chunks: the removed lines are a set in the end)
+    model = _with_text(docs, found.where(~F.col("later"))).select("h1", "h2", F.col("chunk").alias("model"))
     same = _with_text(docs, found.where("later")).join(model, ["h1", "h2"])
     return same.where(F.col("chunk") == F.col("model")).select("d", "t", "first", "n_lines")
 
