@@ -14,6 +14,20 @@ def _rolled(window: int) -> str:
         f"(coalesce(lag(h, {k}) OVER w, 0) * {pow(_P, k + 1, 1 << 31)}) % {_MOD}" for k in range(window))
 
 
+OP1 = r"""
+WITH doc AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, w[i:i + 19] AS g FROM
+  (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM doc)),
+later AS (SELECT doc_id, i FROM
+  (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS k FROM win) WHERE k > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS j FROM later),
+word AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS j FROM doc),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY j) AS kept, count(*) AS n
+  FROM word ANTI JOIN gone USING (doc_id, j) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256 FROM doc LEFT JOIN kept USING (doc_id)
+"""
+
 OP2 = f"""
 WITH doc AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
 line AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS n FROM doc WHERE text IS NOT NULL),
@@ -75,4 +89,4 @@ SELECT page_id, host, path, CASE {_RULE} END AS rule,
   CASE {_VERDICT} WHEN {_LABEL} THEN 'block' ELSE 'allow' END AS verdict FROM site
 """
 
-ORACLE_SQL = {"op2_line_dedup": OP2, "op4_decontam": OP4, "op8_url_filter": OP8}
+ORACLE_SQL = {"op1_substring": OP1, "op2_line_dedup": OP2, "op4_decontam": OP4, "op8_url_filter": OP8}

@@ -19,7 +19,7 @@ URL_LABELS = ["spam-farm", "casino", "tracker", "adserver"]
 
 
 def op1_substring(spark, sf_dir):
-    return substring.dedup_substrings(table(spark, sf_dir, "documents"), texts=False)
+    return substring.dedup_substrings(table(spark, sf_dir, "documents"), texts=False).drop("spans")
 
 
 def op2_line_dedup(spark, sf_dir):
