@@ -10,16 +10,16 @@ document's weight are thrown, so a signature costs time in proportion to the ele
 plus ``DARTS log DARTS``; where a coordinate stays empty the bound is doubled.
 
 Signatures are cut into ``BANDS`` bands. A pair of similarity 0.8 shares no band with
-probability 3e-6. Documents of equal words form a class at once; only one document of a class is banded. In a round every member of a
-bucket meets ``LEADS`` of its members, the firsts in as many orders; pairs whose sketches
-could belong to similar documents are compared exactly, over the whole texts. What is then
-in one component with a lead is done in that bucket; the others meet new leads in the next
-round, until no bucket has two components left that have not met, or a round adds no link.
-So a round emits ``LEADS`` pairs per member at most, however large a bucket is. A pair of
-0.8 meets in ten buckets on average and is linked as soon as each is linked to one lead;
-only a pair whose members lead in none of them, and are like none of the leads, can be
-missed. Components come from large-star/small-star steps, each written to the shared
-checkpoint folder.
+probability 3e-6. Documents of equal words form a class at once; only one document of a class
+is banded. In a round every open member of a bucket meets the bucket's leads, those with the
+most links so far: pairs of different components whose sketches could belong to similar
+documents are compared exactly, over the whole texts, each pair once. A lead has then met the
+whole bucket and is closed there; all others stay open, linked or not. A bucket ends when its
+open members are of one component, so any two members of a bucket are in one component at the
+end or were compared. A round has ``GROWTH`` times the leads of the one before, so rounds are
+few in buckets of many unlike members too; only pairs whose sketches agree leave a task, and
+large buckets are dealt in parts of ``PART`` members. Components come from large-star/small-star
+steps, each written to the shared checkpoint folder.
 
 Defined results: documents without a word are alike to none, not even to each other; a
 text of fewer than ``SHINGLE`` words is one shingle. Rows that repeat ``doc_id`` and text
@@ -31,7 +31,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -43,10 +43,13 @@ SIMILARITY = 0.8
 BANDS, ROWS = 32, 5
 DARTS = BANDS * ROWS
 PIECE = 1 << 19
-#: Members of a bucket meet so many of them in a round.
-LEADS = 4
+#: Members of a bucket meet so many of them in the first round, and in each round so many
+#: times those of the round before.
+LEADS, GROWTH = 4, 8
+#: So many members of a bucket meet its leads in one task, and so many pairs at a time.
+PART, MEETINGS = 1024, 1 << 16
 
-SIGNATURE = "d long, t int, c1 long, c2 long, bands array<long>, sketch array<tinyint>"
+SIGNATURE = "d long, t int, c1 long, c2 long, bands array<long>, sketch binary"
 #: A pair whose sketches (a byte of each dart) agree on a smaller share is not compared: at
 #: a similarity of 0.8 that is five standard deviations below what is expected.
 SKETCH_SHARE = 0.64
@@ -144,7 +147,7 @@ def _signed(batches):
             [part.column("d").filter(pa.array(some)), part.column("t").filter(pa.array(some)),
              pa.array(c1[some].view(np.int64)), pa.array(c2[some].view(np.int64)),
              pa.array(list(key[some].view(np.int64)), pa.list_(pa.int64())),
-             pa.array(list((signature[some] & U(0xFF)).astype(np.uint8).view(np.int8)), pa.list_(pa.int8()))],
+             pa.array([x.tobytes() for x in (signature[some] & U(0xFF)).astype(np.uint8)], pa.binary())],
             names=["d", "t", "c1", "c2", "bands", "sketch"])
 
 
@@ -172,11 +175,10 @@ NODE = "struct<d:bigint,t:int>"
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose texts are similar enough; sketches tell which to look at."""
-    left = texts.select(F.col("node").alias("u"), F.col("sketch").alias("a"), F.col("text").alias("u_text"))
-    right = texts.select(F.col("node").alias("v"), F.col("sketch").alias("b"), F.col("text").alias("v_text"))
-    same = F.size(F.filter(F.zip_with("a", "b", lambda x, y: x == y), lambda x: x))
-    rows = pairs.join(left, "u").join(right, "v").where(same >= SKETCH_SHARE * DARTS)
+    """The pairs (u, v) whose texts are similar enough."""
+    left = texts.select(F.col("node").alias("u"), F.col("text").alias("u_text"))
+    right = texts.select(F.col("node").alias("v"), F.col("text").alias("v_text"))
+    rows = pairs.join(left, "u").join(right, "v")
     return rows.select("u", "v", "u_text", "v_text").mapInArrow(_compared, f"u {NODE}, v {NODE}")
 
 
@@ -212,56 +214,105 @@ def clusters(documents: DataFrame):
     reps = materialize(signed.groupBy("c1", "c2").agg(F.min(node).alias("rep")), "reps")
     member = materialize(signed.select("d", "t", "c1", "c2").join(reps, ["c1", "c2"]).select("d", "t", "rep"), "member")
     heads = signed.join(member.where(node == F.col("rep")).select("d", "t"), ["d", "t"], "left_semi")
-    buckets = heads.select(node.alias("v"), F.explode("bands").alias("b"))
-    shared = buckets.groupBy("b").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("b")
+    buckets = heads.select(node.alias("v"), "sketch", F.explode("bands").alias("b"))
+    shared = buckets.groupBy("b").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     buckets = materialize(buckets.join(shared, "b"), "buckets")
     # texts of what meets another document at all, once for all rounds
     met = buckets.select("v.*").distinct()
-    near = signed.join(met, ["d", "t"], "left_semi").select("d", "t", "sketch")
-    texts = materialize(docs.join(near, ["d", "t"]).groupBy(node.alias("node"))
-                        .agg(F.min("text").alias("text"), F.min("sketch").alias("sketch")), "texts")
-    links = spark.createDataFrame([], f"u {NODE}, v {NODE}")
-    roots = spark.createDataFrame([], f"node {NODE}, root {NODE}")
-    rest, turn, known = buckets.withColumn("root", F.col("v")), 0, 0
+    texts = materialize(docs.join(met, ["d", "t"]).groupBy(node.alias("node"))
+                        .agg(F.min("text").alias("text")), "texts")
+    links = tried = spark.createDataFrame([], f"u {NODE}, v {NODE}")
+    roots = spark.createDataFrame([], f"node {NODE}, root {NODE}, links long")
+    rest, count = buckets.withColumns({"root": F.col("v"), "links": F.lit(0)}), LEADS
     while not rest.isEmpty():
-        lead = _leads(rest, turn)
-        asked = rest.join(lead, "b").select("v", "root", F.explode("leads").alias("l"))
-        pairs = asked.where(F.col("root") != F.col("l.root")).select(
-            F.least("l.v", "v").alias("u"), F.greatest("l.v", "v").alias("v")).distinct()
-        links = materialize(links.unionByName(verified(pairs, texts)).distinct(), "links")
-        count = links.count()
-        if count == known:
+        lead = materialize(_leads(rest, count), "leads")
+        pairs = materialize(meetings(rest, lead).distinct().join(tried, ["u", "v"], "left_anti"), "pairs")
+        new = materialize(verified(pairs, texts), "links")
+        if new.isEmpty():
             break
-        known, turn = count, turn + 1
-        roots = materialize(components(links), "roots")
-        # members of the leads' components, and the leads themselves, are done in this bucket
-        closed = _rooted(lead.select("b", F.explode("leads.v").alias("v")), roots).select("b", "root").distinct()
-        now = _rooted(rest.drop("root"), roots).join(closed, ["b", "root"], "left_anti")
-        many = now.groupBy("b").agg(F.min("root").alias("m"), F.max("root").alias("k")).where("m != k")
-        rest = materialize(now.join(many.select("b"), "b", "left_semi").select("b", "v", "root"), "rest")
+        tried, links, count = tried.unionByName(pairs), links.unionByName(new), count * GROWTH
+        if not new.isEmpty():
+            ends = links.select(F.col("u").alias("node")).unionByName(links.select(F.col("v").alias("node")))
+            degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("links"))
+            roots = materialize(degree.join(components(links), "node", "left")
+                                .select("node", F.coalesce("root", "node").alias("root"), "links"), "roots")
+        # the leads have met all that was open in this bucket; nothing else is done
+        now = rest.select("b", "v", "sketch").join(lead.select("b", "v"), ["b", "v"], "left_anti")
+        now = now.join(roots, now.v == roots.node, "left").select(
+            "b", "v", "sketch", F.coalesce("root", "v").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
+        many = now.groupBy("b").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("m"),
+                                    F.max("root").alias("k")).where("m != k")
+        rest = materialize(now.join(many.select("b", "n"), "b"), "rest")
     out = member.join(roots, member.rep == roots.node, "left")
     return out.select("d", "t", "rep", F.coalesce("root", "rep").alias("root")), links
 
 
-def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
-    out = rows.join(roots, rows.v == roots.node, "left")
-    return out.withColumn("root", F.coalesce("root", "v")).drop("node")
+def _leads(rest: DataFrame, count: int) -> DataFrame:
+    """The ``count`` rows of each bucket with most links. Ties have one order in all buckets, so
+    members of one group meet the same leads in many."""
+    order = Window.partitionBy("b").orderBy(F.desc("links"), F.xxhash64("v"), "v")
+    return rest.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= count).drop("rank")
 
 
-def _leads(rest: DataFrame, turn: int) -> DataFrame:
-    """b and leads (v, root): each bucket's first member in each of ``LEADS`` orders. An order
-    is the same in all buckets, so members of one group meet the same leads in many."""
-    firsts = [F.min(F.struct(F.xxhash64(F.lit(turn * LEADS + k), "v").alias("h"), "v", "root"))
-              for k in range(LEADS)]
-    one = rest.groupBy("b").agg(*[f.alias(f"x{k}") for k, f in enumerate(firsts)])
-    return one.select("b", F.array_distinct(F.array(*[
-        F.struct(F.col(f"x{k}.v").alias("v"), F.col(f"x{k}.root").alias("root")) for k in range(LEADS)
-    ])).alias("leads"))
+def meetings(rest: DataFrame, lead: DataFrame) -> DataFrame:
+    """u, v: leads and members of one bucket and different components whose sketches could
+    belong to similar documents; a pair comes once for each bucket or more."""
+    parts = F.ceil(F.col("n") / PART)
+    columns = [F.col("v.d").alias("d"), F.col("v.t").alias("t"), F.col("root.d").alias("rd"),
+               F.col("root.t").alias("rt"), "sketch"]
+    members = rest.select("b", F.pmod(F.xxhash64("v"), parts).cast("int").alias("part"), F.lit(1).alias("own"), *columns)
+    leads = lead.select("b", F.explode(F.sequence(F.lit(0), (parts - 1).cast("int"))).alias("part"),
+                        F.lit(0).alias("own"), *columns)
+    rows = members.unionByName(leads).repartition("b", "part").sortWithinPartitions("b", "part", "own")
+    return rows.mapInArrow(_meetings, "ud long, ut int, vd long, vt int").select(
+        F.struct(F.col("ud").alias("d"), F.col("ut").alias("t")).alias("u"),
+        F.struct(F.col("vd").alias("d"), F.col("vt").alias("t")).alias("v"))
+
+
+def _meetings(batches):
+    held = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if held is None else pa.concat_tables([held, rows])
+        b, part = (rows.column(c).to_numpy() for c in ("b", "part"))
+        # the last group may go on in the next batch
+        ends = np.flatnonzero((b[1:] != b[:-1]) | (part[1:] != part[:-1])) + 1
+        end = int(ends[-1]) if len(ends) else 0
+        if end:
+            yield from _met(rows.slice(0, end), np.append(0, ends))
+        held = rows.slice(end)
+    if held is not None and held.num_rows:
+        yield from _met(held, np.array([0, held.num_rows]))
+
+
+def _met(rows: pa.Table, edges: np.ndarray):
+    """Pairs of each group's leads, which come first, with its members."""
+    own, d, t, rd, rt = (rows.column(c).to_numpy() for c in ("own", "d", "t", "rd", "rt"))
+    sketch = utf8(rows.column("sketch"))[0].reshape(-1, DARTS)
+    first, size = edges[:-1], np.diff(edges)
+    members = np.add.reduceat(own, first).astype(np.int64)
+    leads = size - members
+    until = np.cumsum(leads * members)
+    for low in range(0, int(until[-1]), MEETINGS):
+        k = np.arange(low, min(low + MEETINGS, int(until[-1])))
+        g = np.searchsorted(until, k, "right")
+        k -= until[g] - leads[g] * members[g]
+        i, j = first[g] + k // members[g], first[g] + leads[g] + k % members[g]
+        apart = (rd[i] != rd[j]) | (rt[i] != rt[j])
+        i, j = i[apart], j[apart]
+        near = (sketch[i] == sketch[j]).sum(1) >= SKETCH_SHARE * DARTS
+        i, j = i[near], j[near]
+        swap = (d[i] > d[j]) | ((d[i] == d[j]) & (t[i] > t[j]))
+        i, j = np.where(swap, j, i), np.where(swap, i, j)
+        if len(i):
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (d[i], t[i], d[j], t[j])],
+                                             names=["ud", "ut", "vd", "vt"])
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """doc_id, class_id (smallest doc_id of equal words), cluster_id (smallest of the
-    component), n_links (verified links of the class with others) and kept, for every row."""
+    component), n_links (links of the class that were verified on the way to its component, not
+    all that it has) and kept, for every row."""
     member, links = clusters(documents)
     ends = links.select("u").unionByName(links.select(F.col("v").alias("u")))
     degree = ends.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
