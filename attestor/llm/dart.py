@@ -228,8 +228,6 @@ def clusters(documents: DataFrame):
         lead = materialize(_leads(rest, count), "leads")
         pairs = materialize(meetings(rest, lead).distinct().join(tried, ["u", "v"], "left_anti"), "pairs")
         new = materialize(verified(pairs, texts), "links")
-        if new.isEmpty():
-            break
         tried, links, count = tried.unionByName(pairs), links.unionByName(new), count * GROWTH
         if not new.isEmpty():
             ends = links.select(F.col("u").alias("node")).unionByName(links.select(F.col("v").alias("node")))

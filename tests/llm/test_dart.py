@@ -42,6 +42,26 @@ def test_one_original_with_independent_copies(spark):
     assert {r.doc_id: r.cluster_id for r in rows} == dict(enumerate(want))
 
 
+def test_a_round_without_links_does_not_end_a_bucket(spark, monkeypatch):
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(200)]
+    texts = [" ".join(edited(rng, base, 1)) for _ in range(40)]
+    alike = []
+
+    def verified(pairs, texts):
+        """Only two documents are alike, which the first round has not brought together."""
+        if not alike:
+            asked = {(r.u.d, r.v.d) for r in pairs.collect()}
+            alike.append(next((i, j) for j in range(40) for i in range(j) if (i, j) not in asked))
+        i, j = alike[0]
+        return pairs.where((pairs.u.d == i) & (pairs.v.d == j))
+
+    monkeypatch.setattr(dart, "verified", verified)
+    rows = dart.near_duplicates(spark.createDataFrame(list(enumerate(texts)), SCHEMA)).collect()
+    i, j = alike[0]
+    assert {r.doc_id: r.cluster_id for r in rows} == {d: i if d == j else d for d in range(40)}
+
+
 def test_large_buckets_are_dealt_in_parts(spark):
     sketch, other = bytes(dart.DARTS), bytes([1]) * dart.DARTS
     rows = [(5, (i, 0), sketch if i % 2 else other, (i, 0), 0, 3000) for i in range(3000)]
