@@ -51,9 +51,9 @@ HOT = 50_000
 
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64))
 
-#: Of a candidate: its anchor; its content's hash, count of windows and whether it is known
+#: Of a candidate: its anchor; its content's hash; its count of windows and whether it is known
 #: to occur earlier; its document; the rest of the document's key and its first byte.
-CANDIDATE = "a long, fn long, d long, ts long"
+CANDIDATE = "a long, f long, cn int, d long, ts long"
 FRAGMENT = ("a long, d long, t int, s int, n int, left int, body binary, "
             "spans array<struct<first:int,n:int>>")
 SPANS = "d long, t int, spans array<struct<first:int,n:int>>"
@@ -85,7 +85,7 @@ def fragments(part, n: int, k: int):
 
 
 def _candidates(n: int, k: int):
-    schema = pa.schema([(c, pa.int64()) for c in ("a", "fn", "d", "ts")])
+    schema = pa.schema([(c, pa.int32() if c == "cn" else pa.int64()) for c in ("a", "f", "cn", "d", "ts")])
 
     def run(batches):
         for part in pieces(batches, limit=PIECE):
@@ -105,9 +105,9 @@ def _candidates(n: int, k: int):
             # an occurrence that is known needs no meeting, so its key spreads it
             spread = mix(a[i] + np.arange(1, len(i) + 1, dtype=np.uint64) * U(0x9E3779B97F4A7C15))
             key = np.where(known, spread, a[i]).view(np.int64)
-            fn = (f[i] >> U(32)).astype(np.int64) << 16 | count[i] << 1 | known
+            cn = (count[i] << 1 | known).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key), pa.array(fn), pa.array(d[i]), pa.array(t[i] << 32 | s[i])], schema=schema)
+                [pa.array(key), pa.array(f[i].view(np.int64)), pa.array(cn), pa.array(d[i]), pa.array(t[i] << 32 | s[i])], schema=schema)
 
     return run
 
@@ -268,17 +268,17 @@ def places(docs: DataFrame, n: int = N, k: int = K, hot: int = HOT) -> DataFrame
     first byte, its count of windows, whether its anchor is hot, and whether it is known to
     occur earlier."""
     rows = docs.mapInArrow(_candidates(n, k), CANDIDATE)
-    w = Window.partitionBy("a").orderBy("fn", "d", "ts")
-    before = F.lag(F.struct("fn", "d", "ts")).over(w)
-    rows = rows.select("*", before.alias("b"), F.lead("fn").over(w).isNotNull().alias("more"))
-    known = F.col("fn") % 2 == 1
-    equal = F.coalesce(F.col("b.fn") == F.col("fn"), F.lit(False))
+    w = Window.partitionBy("a").orderBy("f", "cn", "d", "ts")
+    before = F.lag(F.struct("f", "cn", "d", "ts")).over(w)
+    rows = rows.select("*", before.alias("b"), F.lead("f").over(w).isNotNull().alias("more"))
+    known = F.col("cn") % 2 == 1
+    equal = F.coalesce((F.col("b.f") == F.col("f")) & (F.col("b.cn") == F.col("cn")), F.lit(False))
     place = (F.col("d") == F.col("b.d")) & (F.col("ts") == F.col("b.ts"))
     rows = rows.where(known | F.col("more") | F.col("b").isNotNull())
     rows = rows.where(known | ~equal | ~place)  # a repeated row is the same place
     known = known | equal
     different = F.sum(F.when(known, 0).otherwise(1)).over(Window.partitionBy("a"))
-    size = F.shiftright("fn", 1).bitwiseAND(0x7FFF)
+    size = F.shiftright("cn", 1).cast("long")
     start = F.col("ts").bitwiseAND(0xFFFFFFFF)
     flags = F.when(known, 1).when(different > hot, 2).otherwise(0)
     return rows.select(
