@@ -89,4 +89,43 @@ SELECT page_id, host, path, CASE {_RULE} END AS rule,
   CASE {_VERDICT} WHEN {_LABEL} THEN 'block' ELSE 'allow' END AS verdict FROM site
 """
 
-ORACLE_SQL = {"op1_substring": OP1, "op2_line_dedup": OP2, "op4_decontam": OP4, "op8_url_filter": OP8}
+OP11 = r"""
+WITH doc AS (SELECT doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS u, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)),
+num AS (SELECT doc_id, t, u, len(u) + 1 AS places, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+  ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM doc),
+cut AS (SELECT doc_id, t, u, least(h1 % places, h2 % places) AS a, greatest(h1 % places, h2 % places) AS b,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+       WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM num),
+part AS (SELECT *, coalesce(array_to_string(u[1:a], ''), '') AS p, coalesce(array_to_string(u[a + 1:b], ''), '') AS m,
+  coalesce(array_to_string(u[b + 1:], ''), '') AS s FROM cut)
+SELECT doc_id, len(u)::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM part
+"""
+
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+OP13 = f"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+item AS (SELECT row_number() OVER () AS q, item_id, {_TERMS} AS w FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+word AS (SELECT q, unnest(w) AS x FROM item),
+total AS (SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS n_all FROM doc WHERE len(w) > 0),
+held AS (SELECT r, x, count(*) AS tf FROM (SELECT r, unnest(w) AS x FROM doc)
+         WHERE x IN (SELECT x FROM word) GROUP BY r, x),
+weight AS (SELECT x, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+           FROM (SELECT x, count(*) AS df FROM held GROUP BY x), total),
+size AS (SELECT r, doc_id, 100 - 25 + (25 * len(w)::BIGINT * n_docs) // n_all AS m FROM doc, total WHERE len(w) > 0),
+worth AS (SELECT r, doc_id, x, w * ((1000000000 * tf) // (1000 * tf + 12 * m)) AS v
+          FROM held JOIN weight USING (x) JOIN size USING (r)),
+scored AS (SELECT q, r, any_value(doc_id) AS doc_id, sum(v)::BIGINT AS score FROM word JOIN worth USING (x) GROUP BY q, r),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id ASC NULLS FIRST) AS rank
+           FROM scored WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked JOIN item USING (q) WHERE rank <= 20
+"""
+
+ORACLE_SQL = {"op1_substring": OP1, "op2_line_dedup": OP2, "op4_decontam": OP4, "op8_url_filter": OP8,
+              "op11_fim": OP11, "op13_search": OP13}

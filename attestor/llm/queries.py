@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, dart, decontam, langid, line_dedup, packing, substring, suffix, url_filter, winnow
+from . import bpe, dart, decontam, fim, langid, line_dedup, packing, quality, search, substring, suffix, url_filter, winnow
 
 
 def table(spark, sf_dir: str, name: str):
@@ -68,6 +68,18 @@ def op8_url_filter(spark, sf_dir):
     return out.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_fim(spark, sf_dir):
+    return fim.digests(table(spark, sf_dir, "documents"))
+
+
+def op12_quality(spark, sf_dir):
+    return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_search(spark, sf_dir):
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline  # at the top of the repository; it imports the operators
 
@@ -76,4 +88,4 @@ def pipeline(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_substring, op2_line_dedup, op3_bpe, op4_decontam, op5_language, op6_suffix,
-    op7_dart, op8_url_filter, op9_winnow, op10_packing, pipeline)}
+    op7_dart, op8_url_filter, op9_winnow, op10_packing, op11_fim, op12_quality, op13_search, pipeline)}
