@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values that must match the source pipeline.
@@ -10,31 +12,33 @@ KEY_COLUMNS = ("subject_curie", "predicate", "object_curie", "PMID")
 REQUIRED_COLUMNS = KEY_COLUMNS
 PMID_PREFIX = "PMID:"
 
-# Python's str.strip() treats the Unicode White_Space set plus the ASCII
-# separators U+001C..U+001F as whitespace; Java's (?U)\s lacks the latter.
-_WS = "[\\s\\x1c-\\x1f]"
-_STRIP_RE = f"(?U)^{_WS}+|{_WS}+$"
+# What Python's str.strip() strips: the Unicode White_Space set and U+001C to U+001F.
+WHITE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B)))
+         + "\u2028\u2029\u202f\u205f\u3000")
+
 
+def py_strip(col: Column | str) -> Column:
+    """Strip leading and trailing whitespace the way Python's ``str.strip`` does; the
+    argument is evaluated once."""
+    return F.btrim(F.col(col) if isinstance(col, str) else col, F.lit(WHITE))
 
-def _printable(ch: Column) -> Column:
-    return (ch >= F.lit("!")) & (ch <= F.lit("~"))
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
-def py_strip(col: Column | str) -> Column:
-    """Strip leading/trailing whitespace the way Python's ``str.strip`` does.
 
-    Fast path without a regex: when both end characters are printable ASCII
-    there is nothing to strip (the common case for keys and ids)."""
-    c = F.col(col) if isinstance(col, str) else col
-    clean = _printable(F.substring(c, 1, 1)) & _printable(F.substring(c, -1, 1))
-    return F.when(clean, c).otherwise(F.regexp_replace(c, _STRIP_RE, ""))
+def free_name(df: DataFrame, base: str) -> str:
+    """``base``, or it with underscores until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
 
 
 def normalize_pmid(col: Column | str) -> Column:
     """strip, then drop one leading ``PMID:`` (any case); no second strip."""
-    s = py_strip(col)
-    return F.when(F.upper(F.substring(s, 1, 5)) == F.lit(PMID_PREFIX), F.substring(s, 6, 1 << 30)) \
-        .otherwise(s)
+    return F.regexp_replace(py_strip(col), f"^(?iu:{PMID_PREFIX})", "")
 
 
 def key_columns(prefix: str = "") -> list[Column]:

@@ -4,8 +4,9 @@
 Node files are huge and the wanted curies are comparatively few, so the node
 scan is exploded to (curie, line) pairs and semi-joined against the targets
 before anything is grouped; only survivors reach the shuffle on ``curie``.
-Lookups of the (small) entity table into triples go through
-``checked_broadcast``: broadcast below a size bound, a shuffle join above it.
+They are written once, so the node files are scanned once (the stop line needs a second
+look at the survivors). Lookups of the (small) entity table into triples are broadcast
+below a size bound, a shuffle join above it.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import KEY_COLUMNS
-from ..session import checked_broadcast
+from ..session import BROADCAST_MAX_BYTES, STORED_FACTOR, materialize, small_side, stored_bytes
 
 ENTITY_INFO = "struct<name:string,category:string,description:string>"
 
@@ -65,12 +66,14 @@ def load_entities(nodes: DataFrame, targets: DataFrame | None = None) -> DataFra
         hits = info.select(F.col("id").alias("curie"), "line", "name", "category",
                            "description", "all_names")
         return _winner(hits, None)
-    t = targets.select(F.col("curie")).distinct()
+    t = materialize(targets.select("curie").distinct(), "targets")
+    few = F.broadcast(t) if stored_bytes(t) * STORED_FACTOR <= BROADCAST_MAX_BYTES else t
     pairs = info.select(
         F.explode(F.array_distinct(F.concat(F.array("id"), "equiv"))).alias("curie"),
         "line", "name", "category", "description", "all_names",
     )
-    hits = pairs.join(checked_broadcast(t), "curie", "left_semi")
+    # the one scan of the nodes; all that follows reads the survivors
+    hits = materialize(pairs.join(few, "curie", "left_semi"), "node-hits")
     first = hits.groupBy("curie").agg(F.min("line").alias("first"))
     n_targets = t.select(F.count(F.lit(1))).scalar()
     stop = first.select(
@@ -80,6 +83,7 @@ def load_entities(nodes: DataFrame, targets: DataFrame | None = None) -> DataFra
 
 
 def _winner(hits: DataFrame, stop: Column | None) -> DataFrame:
+    """Of each curie the row of the last line up to ``stop``."""
     kept = hits if stop is None else hits.filter(stop.isNull() | (F.col("line") <= stop))
     row = F.struct("name", "category", "description", "all_names")
     return kept.groupBy("curie").agg(F.max_by(row, "line").alias("r")).select(
@@ -110,21 +114,14 @@ def collect_names(curies: DataFrame, answers: DataFrame) -> DataFrame:
     ).select("curie_id", F.coalesce("n", F.array().cast("array<string>")).alias("all_names"))
 
 
-def names_from_tsv(names: DataFrame) -> DataFrame:
-    """Pipe-delimited text to an array, empty pieces dropped."""
-    return names.select(
-        "curie_id",
-        F.filter(F.split(F.coalesce(F.col("all_names"), F.lit("")), "\\|"), lambda x: x != "")
-        .alias("all_names"),
-    )
-
-
 def merge_names(entities: DataFrame, names: DataFrame) -> DataFrame:
     """A non-empty names list replaces ``all_names`` of a loaded curie
-    (per curie, see Q2); names for unknown curies are ignored."""
-    n = names.filter(F.size("all_names") > 0).select(
-        F.col("curie_id").alias("curie"), F.col("all_names").alias("_n")
-    ).dropDuplicates(["curie"])
+    (per curie, see Q2); names for unknown curies are ignored. Of several lists for one
+    curie the one with the largest ``line`` (the place in the file, as ``read_names_tsv``
+    gives it) wins; without such a column the largest list, so that every run takes the same."""
+    order = "line" if "line" in names.columns else "all_names"
+    n = names.filter(F.size("all_names") > 0).groupBy(F.col("curie_id").alias("curie")).agg(
+        F.max_by("all_names", order).alias("_n"))
     return entities.join(n, "curie", "left").select(
         "curie", "name", "category", "description",
         F.coalesce("_n", "all_names").alias("all_names"),
@@ -152,6 +149,9 @@ def with_entities(triples: DataFrame, entities: DataFrame | None) -> DataFrame:
     from ..functions.prompt import entity_section
 
     out = triples
+    fits = False
+    if entities is not None:  # written once for both sides
+        entities, fits = small_side(entities.select("curie", "name", "category", "description", "all_names"))
     for side in ("subject", "object"):
         given = F.col(side) if side in triples.columns else F.lit(None).cast("string")
         disp = F.coalesce(F.when(given != "", given), F.col(f"{side}_curie"))
@@ -171,7 +171,8 @@ def with_entities(triples: DataFrame, entities: DataFrame | None) -> DataFrame:
         if side not in triples.columns:
             cols.append(entity_section(side.capitalize(), F.col("curie"), info, names)
                         .alias(f"_{side}_section"))
-        e = checked_broadcast(entities.select(*cols))
+        e = entities.select(*cols)
+        e = F.broadcast(e) if fits else e
         out = out.join(e, f"{side}_curie", "left").withColumns({
             f"{side}_name": F.coalesce(F.col(f"{side}_info.name"), F.lit("")),
             f"_{side}_display": disp,
@@ -181,22 +182,26 @@ def with_entities(triples: DataFrame, entities: DataFrame | None) -> DataFrame:
     return out
 
 
+def named(columns: list[str]) -> list[str]:
+    """``columns`` with each name column right after its curie column."""
+    order: list[str] = []
+    for c in columns:
+        if c in ("subject_name", "object_name"):
+            continue
+        order.append(c)
+        if c in ("subject_curie", "object_curie"):
+            order.append(c.replace("_curie", "_name"))
+    return order
+
+
 def named_columns(triples: DataFrame, entities: DataFrame) -> DataFrame:
     """F32: the input columns with ``subject_name`` right after ``subject_curie``
     and ``object_name`` right after ``object_curie``."""
     cols = [c for c in triples.columns if c not in ("subject_name", "object_name")]
-    e = with_entities(triples.select(*cols), entities)
-    order: list[str] = []
-    for c in cols:
-        order.append(c)
-        if c == "subject_curie":
-            order.append("subject_name")
-        elif c == "object_curie":
-            order.append("object_name")
-    return e.select(*order)
+    return with_entities(triples.select(*cols), entities).select(*named(cols))
 
 
 __all__ = [
-    "KEY_COLUMNS", "load_entities", "collect_names", "merge_names", "names_from_tsv",
-    "unique_curies", "with_entities", "named_columns", "answer_labels",
+    "KEY_COLUMNS", "load_entities", "collect_names", "merge_names",
+    "unique_curies", "with_entities", "named", "named_columns", "answer_labels",
 ]

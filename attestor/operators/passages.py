@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import py_strip
-from .judge import verify
+from ..functions.quotes import stands
 
 
 def sentences(text: Column) -> Column:
@@ -30,9 +30,7 @@ def sentence_stats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 def verify_table(quotes: DataFrame, quote: str = "sentence", abstract: str = "abstract") -> DataFrame:
     """O7 on a table of (…, quote, abstract): adds ``verified`` (boolean)."""
-    out = verify(quotes.withColumn("_q", F.array(F.col(quote))), quotes="_q",
-                 abstract=abstract, out="_v")
-    return out.withColumn("verified", F.size("_v") > 0).drop("_q", "_v")
+    return stands(quotes, quote, abstract, "verified")
 
 
 ANCHOR_WORDS = 3

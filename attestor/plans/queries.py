@@ -333,14 +333,15 @@ def _per_prompt(df):
     )
 
 
-def _round1(spark, sf_dir):
+def _judged(spark, sf_dir, round2=False):
+    """Judged answers per prompt; identical prompts (copied documents) report their
+    smallest PMID."""
     p, r = _answers(spark, sf_dir)
-    parsed = judge.parse_responses(score.replay(r, 1))
-    # identical prompts (copied documents) report their smallest PMID
     keys = p.groupBy("prompt_key").agg(
         *[F.min(c).alias(c) for c in ("bare_pmid", "subject_curie", "predicate", "object_curie")])
-    rows = st.attach_abstracts(keys.join(parsed, "prompt_key"), fixture(spark, sf_dir, "store"))
-    return judge.judge_round1(rows), r
+    answers = ev.parsed_answers(keys, score.replay(r, 1), score.replay(r, 2) if round2 else None)
+    return judge.judged(answers.where(F.col("failure").isNull() | (F.col("failure") != judge.NO_RESPONSE)),
+                        fixture(spark, sf_dir, "store"), round2)
 
 
 @query
@@ -358,23 +359,19 @@ def parse_responses(spark, sf_dir):
 @query
 def judge_round1(spark, sf_dir):
     """O7 + O9: quotes verified against the abstract; unverified yes -> maybe."""
-    r1, _ = _round1(spark, sf_dir)
-    return _per_prompt(r1)
+    return _per_prompt(_judged(spark, sf_dir))
 
 
 @query
 def rules(spark, sf_dir):
     """F18 on round-1 answers."""
-    r1, _ = _round1(spark, sf_dir)
-    return _per_prompt(judge.apply_rules(r1))
+    return _per_prompt(judge.apply_rules(_judged(spark, sf_dir)))
 
 
 @query
 def second_round(spark, sf_dir):
     """O10 + F18: yes/maybe answers re-asked; round 2 replaces or annotates."""
-    r1, r = _round1(spark, sf_dir)
-    parsed2 = judge.parse_responses(score.replay(r, 2))
-    return _per_prompt(judge.apply_rules(judge.second_round(r1, parsed2)))
+    return _per_prompt(judge.apply_rules(_judged(spark, sf_dir, round2=True)))
 
 
 def _results(spark, sf_dir):
@@ -522,8 +519,7 @@ _CATEGORY = {"yes": "Direct support", "maybe": "Missing qualifier", "no": "Not s
 def legacy_log(spark, sf_dir):
     """F28 + F29 + F30: judged answers written as legacy text logs (a draft line
     then the final one) and parsed back; also the 13-field TSV line."""
-    r1, _ = _round1(spark, sf_dir)
-    fin = judge.apply_rules(r1)
+    fin = judge.apply_rules(_judged(spark, sf_dir))
     cat = F.when(F.col("support") == "yes", F.lit(_CATEGORY["yes"])) \
         .when(F.col("support") == "maybe", F.lit(_CATEGORY["maybe"])) \
         .otherwise(F.lit(_CATEGORY["no"]))

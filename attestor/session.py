@@ -100,21 +100,36 @@ def estimated_bytes(df) -> int | None:
         return None
 
 
-def measured_bytes(df) -> int:
-    """About how many bytes ``df`` holds, counted by a job over its rows."""
-    from pyspark.sql import functions as F
+def stored_bytes(df) -> int:
+    """Bytes of the files that ``df`` reads, as the file systems report them."""
+    spark = df.sparkSession
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for name in df.inputFiles():
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+        total += path.getFileSystem(conf).getFileStatus(path).getLen()
+    return total
+
+
+# Parquet is smaller than the rows in memory: a stored side counts this many times its files.
+STORED_FACTOR = 8
 
-    row = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
-    return df.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0]
+
+def small_side(df, max_bytes: int = BROADCAST_MAX_BYTES):
+    """``df`` written once under the checkpoint folder (an action), and whether its stored
+    size shows it fit to be broadcast. A side that the optimizer's estimate already puts
+    beyond ``max_bytes`` is not written but returned as it is."""
+    size = estimated_bytes(df)
+    if size is None or size > max_bytes:
+        return df, False
+    stored = materialize(df, "small-side")
+    return stored, stored_bytes(stored) * STORED_FACTOR <= max_bytes
 
 
 def checked_broadcast(df, max_bytes: int = BROADCAST_MAX_BYTES):
-    """Broadcast ``df`` only when its measured size is within ``max_bytes``; otherwise
-    return it unchanged so the join shuffles. The optimizer's estimate, which knows file
-    sizes but not what is computed, only saves the count where it is already too large."""
+    """``df`` for a join: written once and broadcast when its stored size is within
+    ``max_bytes``; otherwise unchanged, so the join shuffles."""
     from pyspark.sql import functions as F
 
-    size = estimated_bytes(df)
-    if size is not None and size <= max_bytes and measured_bytes(df) <= max_bytes:
-        return F.broadcast(df)
-    return df
+    stored, fits = small_side(df, max_bytes)
+    return F.broadcast(stored) if fits else stored

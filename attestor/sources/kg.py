@@ -61,10 +61,11 @@ def read_nodes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_names_tsv(spark: SparkSession, path: str) -> DataFrame:
-    """``curie_id, all_names`` with the pipe list split, empty pieces dropped."""
-    df = spark.read.csv(path, sep="\t", header=True, escape='"')
+    """``curie_id, all_names`` with the pipe list split, empty pieces dropped, and
+    ``line``, the place in the file: a later row replaces an earlier one."""
+    df = _position(spark.read.csv(path, sep="\t", header=True, escape='"'))
     return df.select(
-        "curie_id",
+        "curie_id", "line",
         F.filter(F.split(F.coalesce("all_names", F.lit("")), "\\|"), lambda x: x != "")
         .alias("all_names"),
     )
