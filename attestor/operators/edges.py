@@ -2,10 +2,11 @@
 (subject, predicate, object, PMID) with the distinct evidence sentences in
 first-seen order, joined by `` | `` ('' when none).
 
-Per record the PMID -> sentences pairing is a per-row array transform (no
-shuffle). Sentences are first reduced to distinct (key, sentence) pairs with
-their first position (map-side partial aggregation absorbs a hot key's
-repeats), then one group per key orders and joins them.
+Per record publications and texts meet in a per-row multimap (no shuffle, no comparison
+of every publication with every text). Sentences are first reduced to distinct (key,
+sentence) pairs with their first position (map-side partial aggregation absorbs a hot key's
+repeats), then one group per key orders and joins them; the counts of A1 come from the same
+pass.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.keys import let
+
 SEP = " | "
 EDGE_SCHEMA = T.StructType([
     T.StructField("subject", T.StringType()),
@@ -71,23 +74,65 @@ def _pairs(record_studies: Column, legacy: Column) -> Column:
         .otherwise(F.coalesce(legacy_pairs, empty))
 
 
-def edge_texts(edges: DataFrame, pos: str = "_pos") -> DataFrame:
-    """Per (key, publication) the texts with their first-seen order; rows with
-    no text keep the key with a null text."""
-    rec = edges.select(
-        "subject", "predicate", "object", F.col(pos).alias("_rec"),
-        F.coalesce("publications", F.array().cast("array<string>")).alias("pubs"),
-        _pairs(F.col("has_supporting_studies"), F.col("publications_info")).alias("pairs"),
-    )
-    pubs = rec.select("subject", "predicate", "object", "_rec", "pairs",
-                      F.posexplode("pubs").alias("_pub", "PMID"))
-    texts = pubs.select(
-        "subject", "predicate", "object", "PMID", "_rec", "_pub",
-        F.posexplode_outer(F.transform(
-            F.filter("pairs", lambda p: p.getField("pmid") == F.col("PMID")),
-            lambda p: p.getField("text"))).alias("_t", "text"),
-    )
-    return texts
+def _by_pmid(entries: Column) -> Column:
+    """A multimap: the entries (structs with ``pmid``) of each pmid, in their order, null for
+    none. Sorted once and cut into runs, so its cost does not grow with pmids × entries."""
+    numbered = F.transform(F.filter(entries, lambda e: e["pmid"].isNotNull()),
+                           lambda e, i: F.struct(e["pmid"].alias("pmid"), i.alias("at"), e.alias("entry")))
+
+    def runs(s: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(s) - 1),
+                          lambda i: (i == 0) | (F.get(s, i)["pmid"] != F.get(s, i - 1)["pmid"]))
+        return let(starts, lambda at: F.map_from_arrays(
+            F.transform(at, lambda i: F.get(s, i)["pmid"]),
+            F.transform(at, lambda i, k: F.slice(s, i + 1, F.coalesce(F.get(at, k + 1), F.size(s)) - i))))
+
+    return let(F.array_sort(numbered), lambda s: F.when(F.size(s) > 0, runs(s)))
+
+
+def _cited(publications: Column, pairs: Column) -> Column:
+    """Per distinct publication of a record: PMID, its first place, how often it stands
+    there, and its texts in reading order."""
+    places = F.transform(F.coalesce(publications, F.array().cast("array<string>")),
+                         lambda p, i: F.struct(p.alias("pmid"), i.alias("place")))
+    none = F.array().cast("array<string>")
+    kind = "map<string, array<struct<pmid: string, at: int, entry: struct<pmid: string, text: string>>>>"
+    matched = F.map_zip_with(_by_pmid(places), F.coalesce(_by_pmid(pairs), F.create_map().cast(kind)),
+                             lambda _, pubs, texts: F.struct(pubs.alias("pubs"), texts.alias("texts")))
+    found = F.transform(F.filter(F.map_entries(matched), lambda e: e["value"]["pubs"].isNotNull()), lambda e: F.struct(
+        e["key"].alias("PMID"), F.get(e["value"]["pubs"], F.lit(0))["at"].alias("pub"),
+        F.size(e["value"]["pubs"]).alias("n"),
+        F.coalesce(F.filter(F.transform(e["value"]["texts"], lambda t: t["entry"]["text"]),
+                            lambda t: t.isNotNull()), none).alias("texts")))
+    nulls = F.filter(places, lambda p: p["pmid"].isNull())
+    unnamed = F.struct(F.lit(None).cast("string").alias("PMID"), F.lit(0).alias("pub"), F.size(nulls).alias("n"),
+                       none.alias("texts"))
+    kind = "array<struct<PMID: string, pub: int, n: int, texts: array<string>>>"
+    return F.concat(F.coalesce(found, F.array().cast(kind)), F.when(F.size(nulls) > 0, F.array(unnamed)).otherwise(F.array().cast(kind)))
+
+
+def edge_keys(edges: DataFrame, pos: str = "_pos") -> DataFrame:
+    """One pass over the records: per key its distinct texts in first-seen order
+    (``texts``), and counts: ``n_records`` that are counted at this key (each record at one
+    key), ``n_no_text`` publications without text. Records without publications are counted
+    in a group with ``cited`` false.
+
+    Texts are first made distinct per key, which spreads a hot key over all tasks; each of
+    those gathers its own part of a key's texts, and only the parts are merged and ordered."""
+    rec = edges.select("subject", "predicate", "object", F.col(pos).alias("rec"), F.posexplode_outer(
+        _cited(F.col("publications"), _pairs(F.col("has_supporting_studies"), F.col("publications_info")))).alias("j", "c"))
+    rows = rec.select("subject", "predicate", "object", "rec", "j", "c.PMID", "c.pub", "c.n",
+                      F.col("c").isNotNull().alias("cited"), F.posexplode_outer("c.texts").alias("t", "text"))
+    rows = rows.withColumns({
+        "first": ((F.coalesce("j", F.lit(0)) == 0) & (F.coalesce("t", F.lit(0)) == 0)).cast("int"),
+        "bare": F.when(F.col("cited") & F.col("text").isNull(), F.col("n")).otherwise(0)})
+    key = ["subject", "predicate", "object", "PMID", "cited"]
+    distinct = rows.groupBy(*key, "text").agg(
+        F.min(F.struct("rec", "pub", "t")).alias("o"), F.sum("first").alias("first"), F.sum("bare").alias("bare"))
+    return distinct.groupBy(*key).agg(
+        F.collect_list(F.when(F.col("text").isNotNull(), F.struct("o", "text"))).alias("l"),
+        F.sum("first").alias("n_records"), F.sum("bare").alias("n_no_text"),
+    ).withColumn("texts", F.transform(F.array_sort("l"), lambda x: x["text"])).drop("l")
 
 
 def extract_edges(edges: DataFrame, pos: str = "_pos", limit: int | None = None) -> DataFrame:
@@ -97,32 +142,26 @@ def extract_edges(edges: DataFrame, pos: str = "_pos", limit: int | None = None)
     """
     if limit is not None:
         edges = edges.orderBy(pos).limit(limit)
-    texts = edge_texts(edges, pos)
-    key = ["subject", "predicate", "object", "PMID"]
-    order = F.struct("_rec", "_pub", "_t")
-    firsts = texts.groupBy(*key, "text").agg(F.min(order).alias("_o"))
-    grouped = firsts.groupBy(*key).agg(
-        F.collect_list(F.when(F.col("text").isNotNull(), F.struct("_o", "text"))).alias("_l")
-    )
-    return grouped.select(
+    return _extracted(edge_keys(edges, pos))
+
+
+def _extracted(keys: DataFrame) -> DataFrame:
+    return keys.where("cited").select(
         F.col("subject").alias("subject_curie"),
         "predicate",
         F.col("object").alias("object_curie"),
         "PMID",
-        F.array_join(F.transform(F.array_sort("_l"), lambda x: x.getField("text")), SEP)
-        .alias("SemMedDB_sentences"),
+        F.array_join("texts", SEP).alias("SemMedDB_sentences"),
     )
 
 
-def edge_stats(edges: DataFrame, extracted: DataFrame, pos: str = "_pos") -> DataFrame:
+def edge_stats(edges: DataFrame, pos: str = "_pos") -> DataFrame:
     """A1 counts: records, unique keys, keys with several sentences,
-    publications without any text."""
-    texts = edge_texts(edges, pos)
-    no_text = texts.filter(F.col("text").isNull()).select(F.count(F.lit(1))).scalar()
-    return extracted.agg(
-        F.count(F.lit(1)).alias("unique_keys"),
-        F.count_if(F.size(F.split("SemMedDB_sentences", " \\| ")) > 1).alias("multi_sentence"),
-    ).select(
-        edges.select(F.count(F.lit(1))).scalar().alias("records"),
-        "unique_keys", "multi_sentence", no_text.alias("publications_without_text"),
+    publications without any text; from one pass over the records."""
+    zero = F.lit(0).cast("long")
+    return edge_keys(edges, pos).agg(
+        F.coalesce(F.sum("n_records"), zero).alias("records"),
+        F.count_if("cited").alias("unique_keys"),
+        F.count_if(F.col("cited") & (F.size("texts") > 1)).alias("multi_sentence"),
+        F.coalesce(F.sum("n_no_text"), zero).alias("publications_without_text"),
     )

@@ -244,8 +244,7 @@ def edge_extract(spark, sf_dir):
 @query
 def edge_stats(spark, sf_dir):
     """A1 counts: records, keys, keys with several sentences, publications without text."""
-    records = nested.edges(spark, sf_dir)
-    return edges_op.edge_stats(records, edges_op.extract_edges(records))
+    return edges_op.edge_stats(nested.edges(spark, sf_dir))
 
 
 @query

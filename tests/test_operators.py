@@ -4,6 +4,7 @@ import json
 import os
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from attestor.functions.keys import normalize_pmid
 from attestor.functions.legacy import parse_legacy_log
@@ -79,6 +80,46 @@ def test_edge_reader_and_extract(spark, tmpdir_path):
     assert got == {"P1": "t1 | t2 | t0", "P2": ""}
 
 
+def test_edges_equal_plain_version(spark):
+    """Many publications a record, repeated and unknown ones, hot keys, no texts at all."""
+    import random
+    from collections import OrderedDict
+
+    rng = random.Random(2)
+    recs = []
+    for i in range(120):
+        pubs = [f"P{rng.randrange(6 if i % 3 else 400)}" for _ in range(rng.choice([0, 1, 3, 300]))]
+        result = lambda: {"xref": rng.choice([[], ["P1"], [f"P{rng.randrange(9)}", "P2"]]),
+                          "supporting_text": rng.choice([[], [f"t{rng.randrange(5)}"], ["u", "no"], [""]])}
+        studies = {"a": {"has_study_results": [result() for _ in range(rng.choice([0, 2, 200]))]}, "b": {}}
+        legacy = {f"P{rng.randrange(9)}": {"sentence": rng.choice(["", "l1", "l2"])} for _ in range(3)}
+        recs.append({"subject": f"S{i % 2}", "predicate": "p", "object": "O", "publications": pubs,
+                     **({"has_supporting_studies": studies} if i % 4 else {}), "publications_info": legacy, "_pos": i})
+    want, without = OrderedDict(), 0
+    for r in recs:
+        texts = {}
+        for study in r.get("has_supporting_studies", {}).values():
+            for x in study.get("has_study_results", []):
+                if x["xref"] and x["supporting_text"]:
+                    texts.setdefault(x["xref"][0], []).append(x["supporting_text"][0])
+        if not r.get("has_supporting_studies"):
+            for p, x in r["publications_info"].items():
+                if x["sentence"]:
+                    texts.setdefault(p, []).append(x["sentence"])
+        for p in r["publications"]:
+            row = want.setdefault((r["subject"], p), [])
+            row += [t for t in dict.fromkeys(texts.get(p, [])) if t not in row]
+            without += p not in texts
+    schema = T.StructType([*edges.EDGE_SCHEMA.fields, T.StructField("_pos", T.LongType())])
+    df = spark.createDataFrame(recs, schema).repartition(5)
+    got = {(r.subject_curie, r.PMID): r.SemMedDB_sentences for r in edges.extract_edges(df).collect()}
+    assert got == {k: " | ".join(v) for k, v in want.items()}
+    assert tuple(edges.edge_stats(df).first()) == (120, len(want), sum(len(v) > 1 for v in want.values()), without)
+    assert tuple(edges.edge_stats(df.where("false")).first()) == (0, 0, 0, 0)
+    first = {r.PMID for r in edges.extract_edges(df, limit=7).collect()}
+    assert first == {p for r in recs[:7] for p in r["publications"]}
+
+
 def test_node_match_stop_line(spark):
     nodes = spark.createDataFrame(
         [(1, "A", "a1", "c", "d", None, ["X"], None),
