@@ -152,31 +152,6 @@ def predicate_section(predicate: Column, description: Column) -> Column:
     ).otherwise(F.lit(""))
 
 
-def evaluation_prompt(subject: Column, predicate: Column, obj: Column,
-                      subject_info: Column, object_info: Column,
-                      subject_names: Column, object_names: Column,
-                      predicate_description: Column, abstract: Column) -> Column:
-    """F9 + preamble: the complete user message sent for one (triple, abstract)."""
-    return F.concat(
-        F.lit(PREAMBLE + INTRO + "**TRIPLE**: "),
-        triple_text(subject, predicate, obj),
-        F.lit("\n\n"),
-        entity_section("Subject", subject, subject_info, subject_names),
-        F.lit("\n"),
-        entity_section("Object", obj, object_info, object_names),
-        F.lit("\n"),
-        predicate_section(predicate, predicate_description),
-        F.lit("**ABSTRACT**:\n"),
-        abstract,
-        F.lit("\n\n" + MATCHING_RULES + INSTRUCTIONS + OUTPUT_FORMAT),
-    )
-
-
-def estimated_tokens(prompt: Column) -> Column:
-    """``len(system + prompt) // 4``."""
-    return F.floor((F.length(prompt) + len(SYSTEM_MESSAGE)) / CHARS_PER_TOKEN).cast("long")
-
-
 def answer_budget(est_tokens: Column, model_max_len: int | None) -> Column:
     """4096 when the model length is unknown, else clamp to [512, 4096]."""
     if not model_max_len:

@@ -1,10 +1,9 @@
 """Predicate closure (O4, F5): slots reachable from a root through ``is_a``.
 
-Breadth-first over the slot table: each level is one semi-join of the slots
-against the current frontier, minus everything already reached. The loop runs
-one small job per level to test for an empty frontier; every level is written
-to the session's checkpoint folder so a deep hierarchy does not grow an
-unbounded lineage.
+Pointer doubling: every slot knows the slot 2^k steps above it and whether the root lies on
+the way there. One join with the same table doubles the step, so a hierarchy of any depth
+takes log2(depth) jobs instead of one per level. Each state is written to the session's
+checkpoint folder, so plans stay flat.
 """
 
 from __future__ import annotations
@@ -31,33 +30,33 @@ def collapse_ws(desc: Column) -> Column:
 
 
 def descendants(slots: DataFrame, root: str = "related to") -> DataFrame:
-    """Names reachable from ``root`` (root included). Raises KeyError when the
-    root is not a slot.
-
-    Each level is written to the session's checkpoint folder and read back,
-    so the plan of level k is one scan, not a tree that doubles per level; the
-    reached set is a union of those checkpointed levels.
-    """
-    edges = slots.select("name", "is_a").filter(F.col("is_a").isNotNull())
-    frontier = materialize(slots.filter(F.col("name") == root).select("name").distinct(), "closure")
-    if frontier.isEmpty():
+    """Names reachable from ``root`` (root included). Raises KeyError when the root is not a
+    slot.
+
+    Slots whose way is settled (the root was met, or nothing lies further up) are not joined
+    again: a parent with very many children, such as the root, costs no step. Cycles end
+    when steps are longer than the table."""
+    named = slots.where(F.col("name").isNotNull())
+    up = F.when(F.col("name") != root, F.col("is_a"))
+    # from each name the slot 2^k above; hit: the root is the name itself or on the way
+    state = materialize(named.select(
+        "name", up.alias("up"), ((F.col("name") == root) | F.coalesce(up == root, F.lit(False))).alias("hit")
+    ).distinct(), "closure")
+    counts = state.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("name") == root).alias("roots")).first()
+    if not counts.roots:
         raise KeyError(root)
-    levels = [frontier]
-    while True:
-        reached = levels[0]
-        for lvl in levels[1:]:
-            reached = reached.unionByName(lvl)
-        step = materialize(
-            edges.join(frontier.select(F.col("name").alias("is_a")), "is_a", "left_semi")
-            .select("name")
-            .distinct()
-            .join(reached, "name", "left_anti"),
-            "closure",
-        )
-        if step.isEmpty():
-            return reached
-        levels.append(step)
-        frontier = step
+    step = 1
+    while step <= counts.n:
+        open_ = state.where(~F.col("hit") & F.col("up").isNotNull())
+        if open_.isEmpty():
+            break
+        above = state.select(F.col("name").alias("up"), F.col("up").alias("higher"), F.col("hit").alias("met"))
+        moved = open_.join(above, "up", "left").select(
+            "name", F.col("higher").alias("up"), F.coalesce("met", F.lit(False)).alias("hit"))
+        settled = state.where(F.col("hit") | F.col("up").isNull())
+        state = materialize(settled.unionByName(moved).distinct(), "closure")
+        step *= 2
+    return state.where("hit").select("name").distinct()
 
 
 def predicate_closure(slots: DataFrame, root: str = "related to") -> DataFrame:
@@ -70,9 +69,8 @@ def predicate_closure(slots: DataFrame, root: str = "related to") -> DataFrame:
     )
 
 
-def predicate_descriptions(table: DataFrame, pos: str) -> DataFrame:
-    """``predicate, description``; for a repeated predicate the row with the
-    larger ``pos`` (later in the file) wins."""
-    return table.groupBy("predicate").agg(
-        F.max_by("description", F.col(pos)).alias("description")
-    )
+def sorted_predicates(slots: DataFrame, root: str = "related to") -> DataFrame:
+    """The closure in the order of its slots' names, as the predicates file has it."""
+    names = descendants(slots, root)
+    return slots.join(names, "name", "left_semi").orderBy("name").select(
+        predicate_name(F.col("name")).alias("predicate"), collapse_ws(F.col("description")).alias("description"))

@@ -59,6 +59,28 @@ def test_predicate_closure(spark):
     assert got == {"biolink:related_to": "root", "biolink:a": "x y", "biolink:b": ""}
 
 
+def test_deep_closure_takes_few_steps(spark, monkeypatch):
+    steps = []
+    write = predicates.materialize
+    monkeypatch.setattr(predicates, "materialize", lambda df, name: steps.append(1) or write(df, name))
+    n = 10_000
+    slots = spark.range(n + 1).select(
+        F.when(F.col("id") == 0, "related to").otherwise(F.concat(F.lit("s"), "id")).alias("name"),
+        F.when(F.col("id") == 1, "related to").when(F.col("id") > 1, F.concat(F.lit("s"), F.col("id") - 1)).alias("is_a"))
+    off = spark.createDataFrame([("c1", "c2"), ("c2", "c1"), ("lost", "nowhere"), ("lone", None), (None, "related to")],
+                                "name string, is_a string")
+    assert predicates.descendants(slots.unionByName(off)).count() == n + 1
+    assert len(steps) < 20
+    branch = spark.createDataFrame([("r", None), ("r", "up"), ("a", "r"), ("b", "x"), ("b", "a"), ("c", "b")],
+                                   "name string, is_a string")
+    assert sorted(x.name for x in predicates.descendants(branch, "r").collect()) == ["a", "b", "c", "r"]
+    try:
+        predicates.descendants(slots, "none")
+    except KeyError:
+        return
+    raise AssertionError("a root that is no slot")
+
+
 def test_edge_reader_and_extract(spark, tmpdir_path):
     recs = [
         {"subject": "S", "predicate": "p", "object": "O", "publications": ["P1", "P2"],

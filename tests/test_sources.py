@@ -48,6 +48,69 @@ def test_request_batches(spark):
     assert b["000"] == 0 and b["009"] == 0 and b["010"] == 1 and b["024"] == 2
 
 
+def test_request_batches_with_equal_ids(spark):
+    ids = spark.createDataFrame([("same",)] * 500 + [(f"k{i}",) for i in range(500)], ["pmid"]).repartition(5)
+    got = sorted((r.pmid, r.batch) for r in kg.request_batches(ids, "pmid", 7).collect())
+    want = sorted(r.pmid for r in ids.collect())
+    assert got == [(x, i // 7) for i, x in enumerate(want)]
+
+
+def test_dict_file_cut_across_blocks(spark, tmpdir_path):
+    """Braces, quotes and escapes in texts, nested objects, nulls, lists, several objects in
+    a file; blocks far smaller than the file."""
+    import random
+
+    rng = random.Random(6)
+    odd = ['a {b} "c" \\\\', "}{", '\\"', "x,y", "", "é} 日本", "{{{", "}}", "back\\\\", 'q"}"']
+    data = {f"C:{i}{rng.choice(odd)}": {"name": rng.choice(odd), "category": rng.choice(["k", ["l}", "m"], None]),
+                                        "description": rng.choice(odd) * rng.randrange(4),
+                                        "more": {"deep": [{"er": rng.choice(odd)}]}} for i in range(400)}
+    data["nothing"] = None
+    data["empty"] = {}
+    text = json.dumps(data, ensure_ascii=False, indent=1) + "\n" + json.dumps({"second": {"name": "z"}, "last": None}) + "\n\n"
+    path = os.path.join(tmpdir_path, "dict.json")
+    with open(path, "w") as f:
+        f.write(text)
+    want = [(k, None if v is None else v.get("name")) for k, v in data.items()] + [("second", "z"), ("last", None)]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in (700, 128 << 20):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+            rows = kg.read_nodes(spark, path).orderBy("line").collect()
+            assert [(r.id, r.name) for r in rows] == want
+        by_id = {r.id: r for r in rows}
+        for k, v in data.items():
+            if v:
+                c = by_id[k].category
+                assert v["description"] == by_id[k].description
+                assert (json.loads(c) if isinstance(v["category"], list) else c) == v["category"]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_token_file_headers(spark, tmpdir_path):
+    """The first line of each file is its header, also one of two fields."""
+    from attestor.operators.reports import token_lines
+
+    d = os.path.join(tmpdir_path, "tokens")
+    os.makedirs(d)
+    for i, header in enumerate(("id\tusage", "a\tb\tc\td\te\tf\tg", "h")):
+        with open(os.path.join(d, f"{i}.tsv"), "w") as f:
+            f.write(f"{header}\nr{i}\t1\t2\t3\t4\t5\nshort\t1\ns{i}\t\"1\t2\t3\t4\t5\textra \n\n")
+    got = sorted((r.id, r.prompt, r.uncached) for r in token_lines(spark, d).collect())
+    assert got == sorted([(f"r{i}", "1", "5") for i in range(3)] + [(f"s{i}", '"1', "5") for i in range(3)])
+
+
+def test_later_names_replace_earlier_ones(spark, tmpdir_path):
+    n = os.path.join(tmpdir_path, "names.tsv")
+    with open(n, "w") as f:
+        f.write("curie_id\tall_names\nA\tz|first\nB\tb\nA\ta|second\nA\t\nQ\tq\n")
+    ents = spark.createDataFrame([("A", "n", "c", "d", ["n"]), ("B", "n", "c", "d", ["n"]), ("C", "n", "c", "d", ["n"])],
+                                 "curie string, name string, category string, description string, all_names array<string>")
+    got = {r.curie: r.all_names for r in entities.merge_names(ents, kg.read_names_tsv(spark, n)).collect()}
+    assert got == {"A": ["a", "second"], "B": ["b"], "C": ["n"]}
+
+
 def _store(spark):
     return spark.createDataFrame(
         [("1", "t", "Aspirin lowers fever. Dose matters.", "d", None),
