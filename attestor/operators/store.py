@@ -1,9 +1,8 @@
 """Abstract store (O5) and abstract availability.
 
 The store is a table with one row per ``bare_pmid``:
-``bare_pmid, title, abstract, fetch_date, error``. It is kept as versioned
-Parquet: every change writes a new version and the caller switches to it, so a
-reader never sees a half-written table and a lost executor only reruns tasks.
+``bare_pmid, title, abstract, fetch_date, error``. A stored one is Parquet in parts by the
+hash of the pmid; a change rewrites the parts it touches (``upsert_stored``).
 
 Only ``bare_pmid`` travels through shuffles until the last join that needs the
 abstract text; the store key is renamed from ``pmid`` so it cannot collide with
@@ -16,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import normalize_pmid, py_strip
+from ..session import materialize, replace_parts
 
 STORE_COLUMNS = ("bare_pmid", "title", "abstract", "fetch_date", "error")
 
@@ -60,9 +60,7 @@ def abstract_index(store: DataFrame) -> DataFrame:
 def flag_abstract(triples: DataFrame, store: DataFrame) -> DataFrame:
     """Add ``bare_pmid``, ``has_abstract`` and the abstract's hash/length.
 
-    One left join against the valid-abstract index; its aggregate is
-    hash-partitioned on ``bare_pmid`` and the join reuses that partitioning.
-    AQE turns the join into a broadcast when the index is small at runtime and
+    One left join against the valid-abstract index. AQE turns the join into a broadcast when the index is small at runtime and
     splits a hot PMID on the triple side otherwise.
     """
     ids = abstract_index(store)
@@ -143,6 +141,34 @@ def upsert(store: DataFrame, new: DataFrame, order_col: str | None = None) -> Da
     return kept.unionByName(latest)
 
 
+#: Parts that a stored table is dealt to by the hash of its key.
+PARTS = 256
+
+
+def _part(parts: int) -> Column:
+    return F.pmod(F.xxhash64("bare_pmid"), F.lit(parts)).cast("int").alias("part")
+
+
+def write_store(store: DataFrame, path: str, parts: int = PARTS) -> None:
+    """A store as a table in ``parts`` parts by hash of the pmid, one file each."""
+    rows = store.select(*STORE_COLUMNS, _part(parts))
+    rows.repartition("part").write.mode("overwrite").partitionBy("part").parquet(path)
+
+
+def read_store(spark, path: str) -> DataFrame:
+    return spark.read.parquet(path).select(*STORE_COLUMNS)
+
+
+def upsert_stored(spark, path: str, new: DataFrame, order_col: str | None = None, parts: int = PARTS) -> None:
+    """S6 on a table of ``write_store`` (with the same ``parts``): only the parts that the
+    batch falls into are read and rewritten; the files of all others stay."""
+    new = materialize(new.select(*STORE_COLUMNS, *([order_col] if order_col else [])), "batch")
+    touched = [r.part for r in new.select(_part(parts)).distinct().collect()]  # at most ``parts`` numbers
+    old = spark.read.parquet(path).where(F.col("part").isin(touched))
+    merged = upsert(old, new, order_col)
+    replace_parts(merged.select(*STORE_COLUMNS, _part(parts)), path, "part")
+
+
 def clear(store: DataFrame) -> DataFrame:
     """An empty store with the same schema."""
     return store.limit(0)

@@ -307,3 +307,59 @@ SELECT 'PMID:' || CAST(doc_id + 1000000 AS STRING) FROM documents WHERE doc_id %
 """
 FLAT["xml_rows"] = XML_ROWS
 FLAT["xml_requests"] = XML_REQUESTS
+
+# Output of a faulty run: some results are missing, some belong to no input, some keys are
+# both evaluated and without an abstract.
+_KEYED = """SELECT t.subject_curie, t.predicate, t.object_curie, t.PMID, t.line_id,
+       a.bare_pmid IS NOT NULL AS has
+FROM fx_triples t LEFT JOIN (SELECT bare_pmid FROM fx_store WHERE error IS NULL AND abstract <> '') a
+  ON 'PMID:' || a.bare_pmid = t.PMID"""
+FLAT["audit_results"] = f"""
+SELECT subject_curie, predicate, object_curie, PMID FROM ({_KEYED}) k WHERE has AND line_id % 11 <> 0
+UNION ALL
+SELECT subject_curie, predicate, 'EXTRA:' || object_curie, PMID FROM ({_KEYED}) k WHERE has AND line_id % 13 = 0
+"""
+FLAT["audit_no_abstract"] = f"""
+SELECT subject_curie, predicate, object_curie, PMID FROM ({_KEYED}) k
+WHERE (NOT has AND line_id % 7 <> 0) OR (has AND line_id % 17 = 0)
+"""
+
+# Labels as people and programs write them.
+FLAT["spoken_labels"] = """
+SELECT CAST(doc_id AS STRING) AS row_id,
+       CASE WHEN quality = 1 THEN CASE doc_id % 4 WHEN 0 THEN 'True' WHEN 1 THEN ' yes' WHEN 2 THEN '1' ELSE 'TRUE ' END
+            ELSE CASE doc_id % 3 WHEN 0 THEN 'False' WHEN 1 THEN 'no' ELSE '0' END END AS ground_truth,
+       CASE WHEN doc_id % 19 = 0 THEN 'Unknown' WHEN doc_id % 23 = 0 THEN 'Error' WHEN doc_id % 29 = 0 THEN ''
+            WHEN toxic = 0 THEN CASE doc_id % 5 WHEN 0 THEN 'yes' WHEN 1 THEN '1' ELSE 'true' END
+            ELSE CASE doc_id % 2 WHEN 0 THEN 'false' ELSE 'NO' END END AS predicted
+FROM labels
+"""
+
+# Name rows in file order: curies that appear twice or have an empty list at the end.
+FLAT["name_lines"] = """
+SELECT 10 * p_partkey + 1 AS line, 'PART:' || CAST(p_partkey AS STRING) AS curie_id, 'old ' || p_name || '|older' AS all_names
+FROM part WHERE p_partkey % 3 = 0
+UNION ALL
+SELECT 10 * p_partkey + 2, 'PART:' || CAST(p_partkey AS STRING), p_name || '||' || p_brand FROM part WHERE p_partkey % 2 = 0
+UNION ALL
+SELECT 10 * p_partkey + 3, 'PART:' || CAST(p_partkey AS STRING), '|' FROM part WHERE p_partkey % 5 = 0
+"""
+
+# Quotes that leave out inner words, or differ from a sentence in a letter or more. Sentences
+# are of one line, with plain words only, and long enough for a letter to be a small part.
+FLAT["altered_quotes"] = """
+SELECT doc_id AS row_id, doc_id % 5 AS kind, text AS abstract,
+       CASE doc_id % 5
+            WHEN 0 THEN substr(s1, 1, CAST(floor(length(s1) / 3) AS BIGINT)) || ' ... '
+                        || substr(s1, length(s1) - CAST(floor(length(s1) / 3) AS BIGINT))
+            WHEN 1 THEN substr(s1, 1, CAST(floor(length(s1) / 2) AS BIGINT)) || '#'
+                        || substr(s1, CAST(floor(length(s1) / 2) AS BIGINT) + 2)
+            WHEN 2 THEN substr(s1, 1, 20) || '#######' || substr(s1, 28)
+            WHEN 3 THEN substr(s1, 1, 12) || '...~~absent~~...' || substr(s1, length(s1) - 12)
+            ELSE substr(s1, 1, 15) || '...' || substr(s1, 17, 8) || '...' || substr(s1, length(s1) - 9) END AS sentence
+FROM (SELECT doc_id, text,
+             regexp_replace(regexp_replace(split_part(text, '.', CAST(1 + doc_id % (1 + length(text) - length(replace(text, '.', ''))) AS INT)),
+                                           '^[ ' || chr(10) || ']+', ''), '[ ' || chr(10) || ']+$', '') AS s1
+      FROM documents) d
+WHERE length(s1) BETWEEN 60 AND 130 AND regexp_replace(s1, '[^A-Za-z ]', '') = s1
+"""

@@ -715,3 +715,109 @@ SELECT (SELECT count(*) FROM fx_edge_rows) AS records, count(*) AS unique_keys,
      AND NOT (has_legacy AND coalesce(text_legacy, '') <> '')) AS publications_without_text
 FROM e
 """
+
+
+# ------------------------------------------------------------ files, batches, faulty runs
+
+ORACLE["request_batches"] = """
+SELECT bare_pmid, (row_number() OVER (ORDER BY bare_pmid) - 1) // 200 AS batch FROM fx_xml_requests
+"""
+
+_AUDIT = """
+inp AS (SELECT DISTINCT subject_curie, predicate, object_curie, PMID FROM fx_triples),
+res AS (SELECT DISTINCT * FROM fx_audit_results),
+na AS (SELECT DISTINCT * FROM fx_audit_no_abstract),
+comb AS (SELECT * FROM res UNION SELECT * FROM na),
+missing AS (SELECT * FROM inp EXCEPT SELECT * FROM comb),
+extra AS (SELECT * FROM comb EXCEPT SELECT * FROM inp)"""
+
+ORACLE["coverage_gaps"] = f"""
+WITH {_AUDIT},
+c AS (
+  SELECT (SELECT count(*) FROM fx_triples) AS input_rows, (SELECT count(*) FROM inp) AS input_unique,
+         (SELECT count(*) FROM fx_audit_results) AS results_rows, (SELECT count(*) FROM res) AS results_unique,
+         (SELECT count(*) FROM fx_audit_no_abstract) AS no_abstract_rows, (SELECT count(*) FROM na) AS no_abstract_unique,
+         (SELECT count(*) FROM (SELECT * FROM res INTERSECT SELECT * FROM na) x) AS overlap,
+         (SELECT count(*) FROM comb) AS combined_unique,
+         (SELECT count(*) FROM extra) AS in_results_not_input, (SELECT count(*) FROM missing) AS in_input_not_results,
+         (SELECT count(*) FROM (SELECT * FROM inp INTERSECT SELECT * FROM comb) x) AS matched)
+SELECT input_rows, input_unique, input_rows - input_unique AS input_duplicates,
+       results_rows, results_unique, results_rows - results_unique AS results_duplicates,
+       no_abstract_rows, no_abstract_unique, no_abstract_rows - no_abstract_unique AS no_abstract_duplicates,
+       overlap, combined_unique, in_results_not_input, in_input_not_results, matched,
+       round(matched * 100.0 / input_unique, 4) AS coverage_pct, false AS perfect
+FROM c
+"""
+
+ORACLE["coverage_samples"] = f"""
+WITH {_AUDIT}
+SELECT *, 'missing' AS side FROM (SELECT * FROM missing ORDER BY 1, 2, 3, 4 LIMIT 10) a
+UNION ALL
+SELECT *, 'extra' FROM (SELECT * FROM extra ORDER BY 1, 2, 3, 4 LIMIT 10) b
+"""
+
+ORACLE["metric_modes"] = """
+WITH l AS (SELECT lower(trim(ground_truth)) AS g, lower(trim(predicted)) AS p, predicted AS raw FROM fx_spoken_labels),
+b AS (
+  SELECT 'strict' AS mode, CASE WHEN g IN ('true', 'yes') THEN 1 WHEN g IN ('false', 'no') THEN 0 END AS y,
+         CASE WHEN p IN ('true', 'yes') THEN 1 WHEN p IN ('false', 'no') THEN 0 END AS x FROM l
+  UNION ALL
+  SELECT 'eval_script', CASE g WHEN 'true' THEN 1 WHEN 'false' THEN 0 END,
+         CASE p WHEN 'true' THEN 1 WHEN 'false' THEN 0 END FROM l WHERE raw NOT IN ('Unknown', 'Error')
+  UNION ALL
+  SELECT 'lenient', CASE WHEN g IN ('true', '1', 'yes') THEN 1 ELSE 0 END,
+         CASE WHEN p IN ('true', '1', 'yes') THEN 1 ELSE 0 END FROM l),
+c AS (SELECT mode, count(*) FILTER (y IS NOT NULL AND x IS NOT NULL) AS valid_predictions,
+             count(*) FILTER (y = 0 AND x = 0) AS tn, count(*) FILTER (y = 0 AND x = 1) AS fp,
+             count(*) FILTER (y = 1 AND x = 0) AS fn, count(*) FILTER (y = 1 AND x = 1) AS tp FROM b GROUP BY mode)
+SELECT mode, CAST(tp + tn AS DOUBLE) / valid_predictions AS accuracy, (SELECT count(*) FROM l) AS total_samples,
+       valid_predictions, tn, fp, fn, tp FROM c
+"""
+
+ORACLE["altered_quotes"] = "SELECT row_id, kind, kind IN (0, 1, 4) AS verified FROM fx_altered_quotes"
+
+ORACLE["names_file"] = """
+WITH n AS (SELECT curie_id, arg_max(names, line) AS names FROM (
+    SELECT line, curie_id, array_to_string(list_filter(string_split(all_names, '|'), lambda x: x <> ''), '|') AS names
+    FROM fx_name_lines) x WHERE names <> '' GROUP BY curie_id)
+SELECT 'PART:' || CAST(p_partkey AS VARCHAR) AS curie, coalesce(names, p_name) AS all_names
+FROM part LEFT JOIN n ON curie_id = 'PART:' || CAST(p_partkey AS VARCHAR)
+"""
+
+ORACLE["predicates_file"] = """
+WITH RECURSIVE r(name) AS (
+  SELECT name FROM fx_slots WHERE name = 'related to'
+  UNION
+  SELECT s.name FROM fx_slots s JOIN r ON s.is_a = r.name)
+SELECT 'biolink:' || replace(s.name, ' ', '_') AS predicate,
+       coalesce(trim(regexp_replace(s.description, '\\s+', ' ', 'g')), '') AS description,
+       row_number() OVER (ORDER BY s.name) AS place
+FROM fx_slots s WHERE s.name IN (SELECT name FROM r)
+"""
+
+ORACLE["edges_file"] = ORACLE["edge_extract"]
+
+ORACLE["nodes_file"] = ORACLE["node_match"]
+
+ORACLE["nodes_dict_file"] = """
+SELECT 'DOC:' || CAST(doc_id AS VARCHAR) AS id, coalesce(source, '') AS name, coalesce(lang, '') AS category,
+       sha256('"{' || coalesce(text, '') || '}\\') AS description_sha
+FROM documents
+"""
+
+ORACLE["token_file"] = ORACLE["token_stats"]
+
+ORACLE["triples_file"] = """
+SELECT subject_curie, predicate, object_curie, PMID, 'say "' || predicate || '"' || chr(9) || 'and go' AS note,
+       CASE WHEN line_id % 2 = 0 THEN 'True' ELSE 'False' END AS ground_truth
+FROM fx_triples
+"""
+
+ORACLE["no_abstract_sink"] = f"""
+SELECT t.* FROM fx_triples t
+WHERE {norm('t.PMID')} NOT IN (SELECT bare_pmid FROM fx_store WHERE {VALID})
+"""
+
+ORACLE["report_file"] = ORACLE["class_metrics"]
+
+ORACLE["store_upsert_stored"] = ORACLE["store_upsert"]

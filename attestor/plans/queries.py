@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import KEY_COLUMNS, key_columns, normalize_pmid as normalize
@@ -27,7 +27,8 @@ from ..operators import resume
 from ..operators import store as st
 from ..functions import legacy
 from ..sources import articles as articles_src
-from ..sources import sinks
+from ..sources import kg, sinks
+from ..sources import triples as triples_src
 from ..sources.triples import prepare_triples
 from ..streaming import evaluate_stream as stream_op
 from . import nested
@@ -113,9 +114,16 @@ def coverage_audit(spark, sf_dir):
 @query
 def store_upsert(spark, sf_dir):
     """The second batch replaces its pmids, everything else stays."""
-    a = fixture(spark, sf_dir, "store")
-    b = fixture(spark, sf_dir, "store_batch")
-    return st.upsert(a, b)
+    return st.upsert(fixture(spark, sf_dir, "store"), fixture(spark, sf_dir, "store_batch"))
+
+
+@query
+def store_upsert_stored(spark, sf_dir):
+    """S6 on a stored table: only the parts that the batch falls into are rewritten."""
+    path = _folder(spark, "store")
+    st.write_store(fixture(spark, sf_dir, "store"), path)
+    st.upsert_stored(spark, path, fixture(spark, sf_dir, "store_batch"))
+    return st.read_store(spark, path)
 
 
 @query
@@ -402,6 +410,7 @@ HOSTILE = [
     ('"support": "Yes", "sentences": ["one \\"two\\"", " "]', "yes", 'one "two"', None),
     ("} no braces {", "no", "", None),
     ('{"support": "yes", "sentences": {"key": 1}}', "yes", "key", None),
+    ('{"support": "yes", "sentences": ["The cat sat.", null, 0, false]}', "yes", "The cat sat.|||", None),
 ]
 
 
@@ -589,3 +598,161 @@ def stream_evaluate(spark, sf_dir):
         entities=_entity_table(spark, sf_dir), predicates=_predicate_table(spark, sf_dir),
         responses=r, round2=True, model_max_len=MODEL_MAX_LEN)
     return results.withColumn("line_id", F.col("line_id").cast("long"))
+
+
+# ------------------------------------------------------------ files and batches
+
+
+def _folder(spark, name: str) -> str:
+    """A new folder under the shared checkpoint folder."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/attestor-{name}-{uuid.uuid4().hex}"
+
+
+@query
+def request_batches(spark, sf_dir):
+    """Batches of 200 of the sorted ids to ask for."""
+    return kg.request_batches(fixture(spark, sf_dir, "xml_requests"), "bare_pmid", 200)
+
+
+@query
+def coverage_gaps(spark, sf_dir):
+    """A15 + X2 + X3 on the output of a faulty run."""
+    return cov.coverage(*[fixture(spark, sf_dir, x) for x in ("triples", "audit_results", "audit_no_abstract")])
+
+
+@query
+def coverage_samples(spark, sf_dir):
+    """X2 + X3 + W4: the first ten keys that are missing, and that are too many."""
+    missing, extra = cov.coverage_samples(
+        *[fixture(spark, sf_dir, x) for x in ("triples", "audit_results", "audit_no_abstract")])
+    return missing.withColumn("side", F.lit("missing")).unionByName(extra.withColumn("side", F.lit("extra")))
+
+
+@query
+def metric_modes(spark, sf_dir):
+    """F31 + A6 + A7: the three ways to read labels."""
+    labels = fixture(spark, sf_dir, "spoken_labels")
+    out = None
+    for mode in ("strict", "eval_script", "lenient"):
+        m = rep.class_metrics(labels, mode=mode).select(
+            F.lit(mode).alias("mode"), "accuracy", "total_samples", "valid_predictions", "tn", "fp", "fn", "tp")
+        out = m if out is None else out.unionByName(m)
+    return out
+
+
+@query
+def altered_quotes(spark, sf_dir):
+    """F24 + F26: quotes with gaps, with a letter changed, and with more than that."""
+    return pas.verify_table(fixture(spark, sf_dir, "altered_quotes")).select("row_id", "kind", "verified")
+
+
+@query
+def names_file(spark, sf_dir):
+    """S4 + S15 + J5: a names file with repeated curies, written, read back and merged."""
+    path = _folder(spark, "names")
+    lines = fixture(spark, sf_dir, "name_lines").orderBy("line").select("curie_id", "all_names")
+    lines.write.csv(path, sep="\t", header=True)
+    parts = spark.table("part").select(
+        F.concat(F.lit("PART:"), F.col("p_partkey").cast("string")).alias("curie"), F.col("p_name").alias("name"),
+        F.lit("c").alias("category"), F.lit("").alias("description"), F.array("p_name").alias("all_names"))
+    return _joined(en.merge_names(parts, kg.read_names_tsv(spark, path))).select("curie", "all_names")
+
+
+@query
+def predicates_file(spark, sf_dir):
+    """S5 + W3: the sorted predicates file, written and read back; place in the file."""
+    path = _folder(spark, "predicates")
+    kg.write_predicates_tsv(preds.sorted_predicates(fixture(spark, sf_dir, "slots")), path)
+    place = F.row_number().over(Window.orderBy("line"))
+    lines = kg.positioned(spark.read.csv(path, sep="\t", header=True, escape='"')).select("predicate", place.alias("place"))
+    return kg.read_predicates_tsv(spark, path).join(lines, "predicate")
+
+
+@query
+def edges_file(spark, sf_dir):
+    """S2 + S14 + O1: edge records as JSON lines, read, extracted, stored and read back."""
+    path, out = _folder(spark, "edges"), _folder(spark, "edges-out")
+    nested.edges(spark, sf_dir).orderBy("_pos").drop("_pos").write.json(path)
+    sinks.write_edges(edges_op.extract_edges(edges_op.read_edges(spark, path)), out)
+    return spark.read.parquet(out)
+
+
+@query
+def nodes_file(spark, sf_dir):
+    """S3 + O2: node records as JSON lines with both forms of category, matched."""
+    path = _folder(spark, "nodes") + ".jsonl"
+    rows = nested.nodes(spark, sf_dir).orderBy("line")
+
+    def record(category):
+        return F.to_json(F.struct("id", "name", category.alias("category"), "description", "equivalent_curies",
+                                  "equivalent_identifiers", "all_names"))
+
+    text = F.when(F.col("category").startswith("["), record(F.from_json("category", "array<string>"))) \
+        .otherwise(record(F.col("category")))
+    rows.select(text.alias("value")).write.text(path)
+    targets = en.unique_curies(fixture(spark, sf_dir, "triples"))
+    return _joined(en.load_entities(kg.read_nodes(spark, path), targets))
+
+
+@query
+def nodes_dict_file(spark, sf_dir):
+    """S3: entities as pre-built {curie: {...}} files, their entries cut apart again."""
+    path = _folder(spark, "dict") + ".json"
+    d = spark.table("documents").select(
+        F.concat(F.lit("DOC:"), F.col("doc_id").cast("string")).alias("curie"), "doc_id",
+        F.struct(F.coalesce("source", F.lit("")).alias("name"), F.coalesce("lang", F.lit("")).alias("category"),
+                 F.concat(F.lit('"{'), F.coalesce("text", F.lit("")), F.lit('}\\')).alias("description")).alias("info"))
+    one = d.groupBy(F.floor(F.col("doc_id") / 100).alias("block")).agg(F.to_json(F.map_from_entries(
+        F.array_sort(F.collect_list(F.struct("curie", "info"))))).alias("value"))
+    one.select("value").write.text(path)
+    return kg.read_nodes(spark, path).select(
+        "id", "name", "category", F.sha2("description", 256).alias("description_sha"))
+
+
+@query
+def token_file(spark, sf_dir):
+    """A12's file reader: a token file with a header and short lines, written and read."""
+    path = _folder(spark, "tokens")
+    t = fixture(spark, sf_dir, "tokens")
+    cols = ["id", "prompt", "completion", "total", "cached", "uncached"]
+    t.select(F.array_join(F.array(*cols), "\t").alias("id\tusage")) \
+        .unionByName(t.select(F.concat_ws("\t", "id", "prompt").alias("id\tusage"))) \
+        .write.csv(path, sep="\x01", quote="", header=True)
+    return rep.token_stats(rep.token_lines(spark, path))
+
+
+@query
+def triples_file(spark, sf_dir):
+    """S1 + F2: triples as a quoted TSV with blanks and quotes in a further column."""
+    path = _folder(spark, "triples")
+    t = fixture(spark, sf_dir, "triples")
+    t.select(*KEY_COLUMNS, F.concat(F.lit('say "'), F.col("predicate"), F.lit('"\tand go')).alias("note"),
+             F.when(F.col("line_id") % 2 == 0, "True").otherwise("False").alias("Supported")) \
+        .write.csv(path, sep="\t", header=True, escape='"')
+    return triples_src.read_triples(spark, path)
+
+
+@query
+def no_abstract_sink(spark, sf_dir):
+    """S10 + S7: rows without an abstract, replaced in their sink; a store that was cleared
+    has none for any row."""
+    t, a = fixture(spark, sf_dir, "triples"), fixture(spark, sf_dir, "store")
+    path = _folder(spark, "no-abstract")
+    _, all_of_them = st.split_by_abstract(t, st.clear(a))
+    sinks.write_no_abstract(all_of_them, path)
+    _, without = st.split_by_abstract(t, a)
+    sinks.write_no_abstract(without, path)
+    sinks.write_no_abstract(without.limit(0), path)
+    return spark.read.parquet(path).drop("bare_pmid")
+
+
+@query
+def report_file(spark, sf_dir):
+    """A report as JSON at its companion path, read back."""
+    path = sinks.companion_paths(_folder(spark, "out") + "_results.parquet")["metrics"]
+    sinks.write_report(rep.class_metrics(fixture(spark, sf_dir, "labels")), path)
+    return spark.read.json(path)

@@ -85,6 +85,16 @@ def materialize(df, name: str = "stage"):
     return df.sparkSession.read.parquet(write_stage(df, name))
 
 
+def replace_parts(rows, path: str, column: str) -> None:
+    """Write ``rows``, which may come from ``path`` itself, over the partitions of the table
+    there that they belong to (``column=``); files of other partitions stay as they are. The
+    rows are written under the checkpoint folder first, so nothing that is read is deleted
+    before it has been read, and each partition becomes one file."""
+    stored = materialize(rows, "parts")
+    (stored.repartition(column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(column).parquet(path))
+
+
 # Largest side we broadcast on purpose; above it the planner's shuffle join
 # (with AQE's own runtime broadcast/skew handling) takes over.
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024

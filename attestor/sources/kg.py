@@ -28,7 +28,7 @@ NODE_DICT = "map<string, struct<name:string, category:string, description:string
 SUFFIXES = (".jsonl", ".jsonl.gz", ".json", ".json.gz")
 
 
-def _position(df: DataFrame) -> DataFrame:
+def positioned(df: DataFrame) -> DataFrame:
     """File-order position: (file, block start, id within the split)."""
     return df.withColumn("line", F.struct(
         F.col("_metadata.file_path").alias("f"),
@@ -46,7 +46,7 @@ def read_nodes(spark: SparkSession, path: str) -> DataFrame:
         raise ValueError(f"Unsupported file format: {path}. "
                          "Expected .jsonl, .jsonl.gz, .json.gz, or .json")
     if path.endswith((".jsonl", ".jsonl.gz")):
-        df = _position(spark.read.schema(NODE_SCHEMA).json(path))
+        df = positioned(spark.read.schema(NODE_SCHEMA).json(path))
         if path.endswith(".gz"):
             df = df.repartition(spark.sparkContext.defaultParallelism)
         return df
@@ -115,7 +115,7 @@ def dict_entries(spark: SparkSession, path: str) -> DataFrame:
 def read_names_tsv(spark: SparkSession, path: str) -> DataFrame:
     """``curie_id, all_names`` with the pipe list split, empty pieces dropped, and
     ``line``, the place in the file: a later row replaces an earlier one."""
-    df = _position(spark.read.csv(path, sep="\t", header=True, escape='"'))
+    df = positioned(spark.read.csv(path, sep="\t", header=True, escape='"'))
     return df.select(
         "curie_id", "line",
         F.filter(F.split(F.coalesce("all_names", F.lit("")), "\\|"), lambda x: x != "")
@@ -130,7 +130,7 @@ def read_predicates_tsv(spark: SparkSession, path: str) -> DataFrame:
     p = jvm.org.apache.hadoop.fs.Path(path)
     if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
         return spark.createDataFrame([], "predicate string, description string")
-    df = _position(spark.read.csv(path, sep="\t", header=True, escape='"'))
+    df = positioned(spark.read.csv(path, sep="\t", header=True, escape='"'))
     return df.groupBy("predicate").agg(
         F.coalesce(F.max_by("description", "line"), F.lit("")).alias("description"))
 

@@ -16,7 +16,10 @@ QUICK = ["normalize_pmid", "abstract_split", "coverage_audit", "store_retry", "c
          "edge_extract", "sentence_split", "benchmark_passages", "verify_quotes",
          "tsv_sanitize", "xml_ingest", "prompt_text", "evaluate_results", "parse_hostile",
          "live_evaluate", "evaluate_many", "stream_evaluate",
-         "timing_stats", "edge_stats", "resume_pending"]
+         "timing_stats", "edge_stats", "resume_pending", "store_upsert_stored", "request_batches",
+         "coverage_gaps", "coverage_samples", "metric_modes", "altered_quotes", "names_file",
+         "predicates_file", "nodes_file", "nodes_dict_file", "token_file", "triples_file",
+         "no_abstract_sink"]
 
 
 def _norm(v):

@@ -154,3 +154,52 @@ def test_scorer_failure_becomes_row(spark):
 
     r = score.score(prompts, broken).collect()[0]
     assert r.error == "down" and r.content is None
+
+
+def _files(folder):
+    return {os.path.join(d, f) for d, _, names in os.walk(folder) for f in names if f.endswith(".parquet")}
+
+
+def test_upsert_rewrites_only_the_parts_it_touches(spark, tmpdir_path):
+    from attestor.operators import store as st
+
+    path = os.path.join(tmpdir_path, "store")
+    rows = [(str(i), f"t{i}", f"a{i}", "d", None) for i in range(400)]
+    schema = "bare_pmid string, title string, abstract string, fetch_date string, error string"
+    st.write_store(spark.createDataFrame(rows, schema), path, parts=32)
+    before = _files(path)
+    assert 20 < len(before) <= 32
+    batch = spark.createDataFrame([("7", "new", "x", "d2", None), ("9999", "", "", "d2", "down"), ("7", "newest", "y", "d3", None)], schema)
+    st.upsert_stored(spark, path, batch.coalesce(1), parts=32)
+    after = _files(path)
+    assert len(before - after) in (1, 2) and len(after - before) in (1, 2)
+    got = {r.bare_pmid: r.title for r in st.read_store(spark, path).collect()}
+    assert got == {**{str(i): f"t{i}" for i in range(400)}, "7": "newest", "9999": ""}
+    st.upsert_stored(spark, path, batch.limit(0), parts=32)
+    assert _files(path) == after
+
+
+def test_stream_reads_only_its_own_keys(spark, tmpdir_path):
+    """Repeated keys in later files are evaluated once; a replayed batch doubles nothing; the
+    files of finished keys do not grow in number with the batches."""
+    from attestor.streaming import evaluate_stream as es
+
+    source, out = os.path.join(tmpdir_path, "in"), os.path.join(tmpdir_path, "out")
+    keys = ["subject_curie", "predicate", "object_curie", "PMID"]
+    schema = "subject_curie string, predicate string, object_curie string, PMID string"
+    for i in range(4):
+        rows = [(f"S{k}", "p", "o", "PMID:1") for k in range(i * 30, i * 30 + 60)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+    scorer = lambda prompts, _: [('{"support": "no"}', 1, 1)] * len(prompts)
+    from pyspark.sql.types import _parse_datatype_string
+
+    got = es.stream_evaluate(spark, source, _parse_datatype_string(schema), _store(spark), out, scorer=scorer)
+    assert sorted(r.subject_curie for r in got.collect()) == sorted(f"S{k}" for k in range(150))
+    assert len(_files(f"{out}_keys")) <= es.KEY_PARTS
+    few = spark.createDataFrame([(" S3", "p", "o", "PMID:1 ")], keys)
+    found = es.finished_keys(spark, f"{out}_keys", few, batch_id=-1)
+    assert found.where("subject_curie = 'S3'").count() == 1
+    assert found.select("part").distinct().count() == 1
+    last = spark.read.parquet(out).where("batch_id = 3")
+    es.add_finished(spark, f"{out}_keys", last, 3)
+    assert spark.read.parquet(f"{out}_keys").count() == 150
