@@ -14,9 +14,10 @@ probability 3e-6. Documents of equal words form a class at once; only one docume
 is banded. In a round every open member of a bucket meets the bucket's leads, those with the
 most links so far: pairs of different components whose sketches could belong to similar
 documents are compared exactly, over the whole texts, each pair once. A lead has then met the
-whole bucket and is closed there; all others stay open, linked or not. A bucket ends when its
-open members are of one component, so any two members of a bucket are in one component at the
-end or were compared. A round has ``GROWTH`` times the leads of the one before, so rounds are
+whole bucket and is closed there; all others stay open, linked or not. A pair that shares
+many bands is met in the first ``FIRST_BANDS`` of them only. A bucket ends when its open members
+are of one component, so any two documents that share a band are in one component at the end or
+were compared. A round has ``GROWTH`` times the leads of the one before, so rounds are
 few in buckets of many unlike members too; only pairs whose sketches agree leave a task, and
 large buckets are dealt in parts of ``PART`` members. Components come from large-star/small-star
 steps, each written to the shared checkpoint folder.
@@ -45,7 +46,7 @@ DARTS = BANDS * ROWS
 PIECE = 1 << 19
 #: Members of a bucket meet so many of them in the first round, and in each round so many
 #: times those of the round before.
-LEADS, GROWTH = 4, 8
+LEADS, GROWTH = 1, 8
 #: So many members of a bucket meet its leads in one task, and so many pairs at a time.
 PART, MEETINGS = 1024, 1 << 16
 
@@ -53,6 +54,10 @@ SIGNATURE = "d long, t int, c1 long, c2 long, bands array<long>, sketch binary"
 #: A pair whose sketches (a byte of each dart) agree on a smaller share is not compared: at
 #: a similarity of 0.8 that is five standard deviations below what is expected.
 SKETCH_SHARE = 0.64
+#: A pair is met in so many of the bands that it shares. Sketches hold a byte of each dart, so a
+#: band may seem shared that is not (for a pair of 0.8 one band in 600); that so many of these
+#: come before the first one truly shared, and the pair is missed, has a probability of 1e-7.
+FIRST_BANDS = 3
 
 
 def elements(column, k: int = SHINGLE):
@@ -214,7 +219,7 @@ def clusters(documents: DataFrame):
     reps = materialize(signed.groupBy("c1", "c2").agg(F.min(node).alias("rep")), "reps")
     member = materialize(signed.select("d", "t", "c1", "c2").join(reps, ["c1", "c2"]).select("d", "t", "rep"), "member")
     heads = signed.join(member.where(node == F.col("rep")).select("d", "t"), ["d", "t"], "left_semi")
-    buckets = heads.select(node.alias("v"), "sketch", F.explode("bands").alias("b"))
+    buckets = heads.select(node.alias("v"), "sketch", F.posexplode("bands").alias("band", "b"))
     shared = buckets.groupBy("b").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     buckets = materialize(buckets.join(shared, "b"), "buckets")
     # texts of what meets another document at all, once for all rounds
@@ -235,9 +240,9 @@ def clusters(documents: DataFrame):
             roots = materialize(degree.join(components(links), "node", "left")
                                 .select("node", F.coalesce("root", "node").alias("root"), "links"), "roots")
         # the leads have met all that was open in this bucket; nothing else is done
-        now = rest.select("b", "v", "sketch").join(lead.select("b", "v"), ["b", "v"], "left_anti")
+        now = rest.select("b", "band", "v", "sketch").join(lead.select("b", "v"), ["b", "v"], "left_anti")
         now = now.join(roots, now.v == roots.node, "left").select(
-            "b", "v", "sketch", F.coalesce("root", "v").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
+            "b", "band", "v", "sketch", F.coalesce("root", "v").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
         many = now.groupBy("b").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("m"),
                                     F.max("root").alias("k")).where("m != k")
         rest = materialize(now.join(many.select("b", "n"), "b"), "rest")
@@ -254,9 +259,10 @@ def _leads(rest: DataFrame, count: int) -> DataFrame:
 
 def meetings(rest: DataFrame, lead: DataFrame) -> DataFrame:
     """u, v: leads and members of one bucket and different components whose sketches could
-    belong to similar documents; a pair comes once for each bucket or more."""
+    belong to similar documents. A pair is met in the first ``FIRST_BANDS`` bands that it
+    shares, so it comes a few times at most, however many those are."""
     parts = F.ceil(F.col("n") / PART)
-    columns = [F.col("v.d").alias("d"), F.col("v.t").alias("t"), F.col("root.d").alias("rd"),
+    columns = ["band", F.col("v.d").alias("d"), F.col("v.t").alias("t"), F.col("root.d").alias("rd"),
                F.col("root.t").alias("rt"), "sketch"]
     members = rest.select("b", F.pmod(F.xxhash64("v"), parts).cast("int").alias("part"), F.lit(1).alias("own"), *columns)
     leads = lead.select("b", F.explode(F.sequence(F.lit(0), (parts - 1).cast("int"))).alias("part"),
@@ -285,7 +291,7 @@ def _meetings(batches):
 
 def _met(rows: pa.Table, edges: np.ndarray):
     """Pairs of each group's leads, which come first, with its members."""
-    own, d, t, rd, rt = (rows.column(c).to_numpy() for c in ("own", "d", "t", "rd", "rt"))
+    own, band, d, t, rd, rt = (rows.column(c).to_numpy() for c in ("own", "band", "d", "t", "rd", "rt"))
     sketch = utf8(rows.column("sketch"))[0].reshape(-1, DARTS)
     first, size = edges[:-1], np.diff(edges)
     members = np.add.reduceat(own, first).astype(np.int64)
@@ -298,7 +304,10 @@ def _met(rows: pa.Table, edges: np.ndarray):
         i, j = first[g] + k // members[g], first[g] + leads[g] + k % members[g]
         apart = (rd[i] != rd[j]) | (rt[i] != rt[j])
         i, j = i[apart], j[apart]
-        near = (sketch[i] == sketch[j]).sum(1) >= SKETCH_SHARE * DARTS
+        same = sketch[i] == sketch[j]
+        # how many bands up to this one the two share; a band's darts follow each other
+        shared = np.cumsum(same.reshape(-1, BANDS, ROWS).all(2), axis=1)[np.arange(len(i)), band[i]]
+        near = (same.sum(1) >= SKETCH_SHARE * DARTS) & (shared <= FIRST_BANDS)
         i, j = i[near], j[near]
         swap = (d[i] > d[j]) | ((d[i] == d[j]) & (t[i] > t[j]))
         i, j = np.where(swap, j, i), np.where(swap, i, j)

@@ -67,7 +67,7 @@ def url_filter(pages: DataFrame, rules: DataFrame, default: str = "allow",
     host, path = split_url(F.col(url_col))
     kept = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
     site = F.struct(host.alias("host"), path.alias("path"))
-    s, rid = free_name(pages, "_site"), free_name(pages, "_row")
+    s, rid, won = (free_name(pages, x) for x in ("_site", "_row", "_best"))
     rows = pages.select(*kept, site.alias(s))
     text = F.concat(F.col(f"{s}.host"), F.col(f"{s}.path"))
     tokens = F.array_distinct(F.concat(F.split(F.lower(text), TOKEN), F.array(F.lit(""))))
@@ -90,13 +90,13 @@ def url_filter(pages: DataFrame, rules: DataFrame, default: str = "allow",
     sites = sites.select(s, text.alias("_text"), F.explode(tokens).alias("token"))
     hits = sites.join(bound(rarest), "token").where(F.expr("rlike(_text, r.pattern)"))
     best = hits.groupBy(s).agg(F.max(F.struct(
-        "r.weight", "r.rule", "r.verdict", "r.named")).alias("_best"))
+        "r.weight", "r.rule", "r.verdict", "r.named")).alias(won))
     best = best.withColumnRenamed(s, rid)
     out = rows.join(best, F.col(s) == F.col(rid), "left")
     return out.select(
         *kept, F.col(f"{s}.host").alias("host"), F.col(f"{s}.path").alias("path"),
-        F.when(F.col("_best.named"), F.col("_best.rule")).alias("rule"),
-        F.coalesce("_best.verdict", F.lit(default)).alias("verdict"))
+        F.when(F.col(f"{won}.named"), F.col(f"{won}.rule")).alias("rule"),
+        F.coalesce(f"{won}.verdict", F.lit(default)).alias("verdict"))
 
 
 def _bounded(index: DataFrame):

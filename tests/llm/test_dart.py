@@ -64,8 +64,8 @@ def test_a_round_without_links_does_not_end_a_bucket(spark, monkeypatch):
 
 def test_large_buckets_are_dealt_in_parts(spark):
     sketch, other = bytes(dart.DARTS), bytes([1]) * dart.DARTS
-    rows = [(5, (i, 0), sketch if i % 2 else other, (i, 0), 0, 3000) for i in range(3000)]
-    rest = spark.createDataFrame(rows, f"b long, v {dart.NODE}, sketch binary, root {dart.NODE}, links int, n long")
+    rows = [(5, 0, (i, 0), sketch if i % 2 else other, (i, 0), 0, 3000) for i in range(3000)]
+    rest = spark.createDataFrame(rows, f"b long, band int, v {dart.NODE}, sketch binary, root {dart.NODE}, links int, n long")
     lead = dart._leads(rest, 3)
     leads = {r.v.d for r in lead.collect()}
     got = {(r.u.d, r.v.d) for r in dart.meetings(rest, lead).collect()}

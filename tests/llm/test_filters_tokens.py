@@ -122,6 +122,10 @@ def test_url_filter(spark, broadcast, monkeypatch):
     assert Counter((r.page_id, r.host, r.path, r.rule, r.verdict) for r in out.collect()) == Counter(
         (i, *judged(u)) for i, u, _ in rows)
     assert url_filter.url_filter(pages.limit(0), url_filter.rules_frame(spark, rules)).count() == 0
+    clash = pages.withColumnsRenamed({"verdict": "_best"}).withColumns({"_site": pages.url, "_row": pages.url, "token": pages.url})
+    out = url_filter.url_filter(clash, url_filter.rules_frame(spark, rules))
+    assert Counter((r.page_id, r.host, r.path, r.rule, r.verdict) for r in out.collect()) == Counter(
+        (i, *judged(u)) for i, u, _ in rows)
 
 
 def test_bpe_equals_the_library(odd_docs, documents, library):
