@@ -6,11 +6,13 @@ same one.
 
 1. *Candidates.* Each task hashes its words and gives each window an anchor, the smallest
    hash of its runs of ``K`` words (``rolling.anchors``). Neighbouring windows with one
-   anchor travel as one row, keyed by the anchor. Where an anchor recurs, its windows are
-   sorted by hash and place, and every later window is linked to the first one of its hash.
-   Rows that are equal within a task's piece are linked there to their first, so a passage
-   that a third of all documents share is shuffled once for each piece, not once for each
-   document.
+   anchor are a run; it travels as one row of its anchor, a 64-bit hash of its windows and
+   its place. Where an anchor recurs, a run is linked to the first equal one. If an anchor
+   has different runs, the windows of the first of each are hashed in a second pass over
+   their documents, dealt by 96 bits of their content, and every later window is linked to
+   the first one of its hash. Runs that are equal within a task's piece are linked there to
+   their first, so a passage that a third of all documents share is shuffled once for each
+   piece, not once for each document.
 2. *Passages.* Links become passages of the earlier document, cut from its text.
 3. *Automata.* Every task compiles the passages that its documents are linked to into
    Aho-Corasick automata of at most ``AUTOMATON_WINDOWS`` windows of words, one after the
@@ -46,8 +48,10 @@ PIECE = 1 << 19
 #: Passages are cut from the earlier document in stretches of this many window starts.
 STRETCH = 64
 
-CANDIDATE = ("a long, d long, t int, s int, n int, w array<int>, "
-             "od long, ot int, os int")
+#: Of a run: its anchor, the hash of its windows, its first word and its count of windows in one
+#: number, its document; and the document and first word of an equal run that is known.
+CANDIDATE = "a long, f long, sn long, d long, t int, od long, ot int, os int"
+WINDOW = "h long, g int, d long, t int, p int"
 
 
 def candidate_rows(part, n: int, k: int):
@@ -70,9 +74,8 @@ def candidate_rows(part, n: int, k: int):
 
 
 def _candidates(n: int, k: int):
-    schema = pa.schema([("a", pa.int64()), ("d", pa.int64()), ("t", pa.int32()), ("s", pa.int32()),
-                        ("n", pa.int32()), ("w", pa.list_(pa.int32())), ("od", pa.int64()),
-                        ("ot", pa.int32()), ("os", pa.int32())])
+    schema = pa.schema([("a", pa.int64()), ("f", pa.int64()), ("sn", pa.int64()), ("d", pa.int64()),
+                        ("t", pa.int32()), ("od", pa.int64()), ("ot", pa.int32()), ("os", pa.int32())])
 
     def run(batches):
         for part in pieces(batches, limit=PIECE):
@@ -85,33 +88,46 @@ def _candidates(n: int, k: int):
             begin = np.cumsum(size) - size
             whole = np.add.reduceat(mix(w + np.arange(len(w), dtype=np.uint64)
                                         - np.repeat(begin, size).astype(np.uint64)), begin)
-            # equal rows: the first by place stands for all, the others are linked to it
+            # equal runs: the first by place stands for all, the others are linked to it
             order = np.lexsort((s, t, d, whole, a))
             same = np.zeros(len(a), bool)
             same[1:] = (a[order[1:]] == a[order[:-1]]) & (whole[order[1:]] == whole[order[:-1]])
             head = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(a))))]
-            twin = (d[order] == d[head]) & (t[order] == t[head]) & (s[order] == s[head])
-            alone = order[~same]
-            later, owner = order[same & ~twin], head[same & ~twin]
-            kept = size[alone]
-            picked = np.repeat(begin[alone] - (np.cumsum(kept) - kept), kept) + np.arange(kept.sum())
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.append(0, np.cumsum(kept)).astype(np.int32)),
-                pa.array((w[picked] & U(0xFFFFFFFF)).astype(np.uint32).view(np.int32)))
-            none = pa.nulls
+            known = same & ((d[order] != d[head]) | (t[order] != t[head]) | (s[order] != s[head]))
+            i, owner, known = order[known | ~same], head[known | ~same], known[known | ~same]
+            # a known run needs no meeting, so its key spreads it
+            spread = mix(a[i] + np.arange(1, len(i) + 1, dtype=np.uint64) * U(0x9E3779B97F4A7C15))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(a[alone].view(np.int64)), pa.array(d[alone]), pa.array(t[alone]),
-                 pa.array(s[alone].astype(np.int32)), pa.array(kept.astype(np.int32)), lists,
-                 none(len(alone), pa.int64()), none(len(alone), pa.int32()), none(len(alone), pa.int32())],
-                schema=schema)
-            if len(later):
-                # these need no meeting, so their key spreads them
-                key = mix(a[later] + np.arange(1, len(later) + 1, dtype=np.uint64) * U(0x9E3779B97F4A7C15))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), pa.array(d[later]), pa.array(t[later]),
-                     pa.array(s[later].astype(np.int32)), pa.array(size[later].astype(np.int32)),
-                     none(len(later), pa.list_(pa.int32())), pa.array(d[owner]), pa.array(t[owner]),
-                     pa.array(s[owner].astype(np.int32))], schema=schema)
+                [pa.array(np.where(known, spread, a[i]).view(np.int64)), pa.array(whole[i].view(np.int64)),
+                 pa.array(s[i].astype(np.int64) << 16 | size[i]), pa.array(d[i]), pa.array(t[i]),
+                 pa.array(d[owner], mask=~known), pa.array(t[owner], mask=~known),
+                 pa.array(s[owner].astype(np.int32), mask=~known)], schema=schema)
+
+    return run
+
+
+def _windows(n: int):
+    """Documents with some of their runs -> two hashes and the place of each window in them."""
+    schema = pa.schema([("h", pa.int64()), ("g", pa.int32()), ("d", pa.int64()), ("t", pa.int32()), ("p", pa.int32())])
+
+    def run(batches):
+        for part in pieces(batches, limit=PIECE):
+            data, off = utf8(part.column("text"))
+            starts, ends, first = words(data, off)
+            h = word_hashes(data, starts, ends)
+            lists = part.column("runs").combine_chunks() if isinstance(
+                part.column("runs"), pa.ChunkedArray) else part.column("runs")
+            row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+            runs = lists.flatten().to_numpy()
+            size = runs & 0xFFFF
+            inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            p, row = np.repeat(runs >> 16, size) + inside, np.repeat(row, size)
+            at = first[row] + p
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(grams(h, n)[at].view(np.int64)),
+                 pa.array((grams(mix(h), n)[at] >> U(32)).astype(np.uint32).view(np.int32)),
+                 pa.array(part.column("d").to_numpy()[row]), pa.array(part.column("t").to_numpy()[row]),
+                 pa.array(p.astype(np.int32))], schema=schema)
 
     return run
 
@@ -120,24 +136,28 @@ def links(docs: DataFrame, n: int = N, k: int = K) -> DataFrame:
     """od, ot, lo, hi, d, t: document (d, t) has windows that (od, ot) has earlier, at window
     starts from lo to hi - 1 there (with some that are not shared between them)."""
     rows = docs.mapInArrow(_candidates(n, k), CANDIDATE)
-    by_anchor = Window.partitionBy("a").orderBy("d", "t", "s")
-    rows = rows.withColumn("twin", F.lag("s").over(by_anchor).isNotNull()
-                           | F.lead("s").over(by_anchor).isNotNull())
-    rows = rows.where(F.col("od").isNotNull() | F.col("twin"))
-    cells = F.when(F.col("od").isNull(), F.transform("w", lambda x, i: F.struct(
-        x.alias("h"), (F.col("s") + i).alias("p")))).otherwise(
-        F.array(F.struct(F.lit(0).alias("h"), F.col("s").alias("p"))))
-    cells = rows.select("a", "d", "t", "n", "od", "ot", "os", F.explode(cells).alias("c"))
-    cells = cells.select("a", "d", "t", "n", "od", "ot", "os", "c.h", "c.p")
+    by_anchor = Window.partitionBy("a").orderBy("f", "d", "t", "sn")
+    all_of_it = by_anchor.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # a partition by anchor is one by anchor and hash as well: no second shuffle
-    first = F.first(F.struct("d", "t", "p")).over(Window.partitionBy("a", "h").orderBy("d", "t", "p"))
-    cells = cells.withColumn("f", first)
-    later = cells.where(F.col("od").isNotNull() | (F.struct("d", "t", "p") != F.col("f")))
-    own = F.col("od").isNotNull()
-    later = later.select(
-        F.coalesce("od", "f.d").alias("od"), F.coalesce("ot", "f.t").alias("ot"),
-        F.when(own, F.col("os")).otherwise(F.col("f.p")).alias("lo"),
-        F.when(own, F.col("n")).otherwise(1).alias("n"), "d", "t")
+    equal = Window.partitionBy("a", "f").orderBy("d", "t", "sn")
+    place = F.struct("d", "t", "sn")
+    rows = rows.select(
+        "*", F.lag("f").over(by_anchor).alias("before"), F.lead("f").over(by_anchor).alias("after"),
+        (F.first("f").over(all_of_it) != F.last("f").over(all_of_it)).alias("differ"))
+    rows = rows.where(F.col("od").isNotNull() | F.col("before").isNotNull() | F.col("after").isNotNull())
+    rows = rows.select("*", F.first(place).over(equal).alias("e"))
+    own, start = F.col("od").isNotNull(), F.shiftright("e.sn", 16).cast("int")
+    later = rows.where(own | (place != F.col("e"))).select(
+        F.coalesce("od", "e.d").alias("od"), F.coalesce("ot", "e.t").alias("ot"),
+        F.coalesce("os", start).alias("lo"), F.col("sn").bitwiseAND(0xFFFF).cast("int").alias("n"), "d", "t")
+    # the first of each of several different runs: which of their windows are equal?
+    mixed = rows.where(~own & F.col("differ") & (place == F.col("e"))).groupBy("d", "t").agg(
+        F.collect_set("sn").alias("runs"))
+    windows = docs.join(mixed, ["d", "t"]).mapInArrow(_windows(n), WINDOW)
+    first = F.first(F.struct("d", "t", "p")).over(Window.partitionBy("h", "g").orderBy("d", "t", "p"))
+    windows = windows.select("d", "t", "p", first.alias("e")).where(F.struct("d", "t", "p") != F.col("e"))
+    later = later.unionByName(windows.select(
+        F.col("e.d").alias("od"), F.col("e.t").alias("ot"), F.col("e.p").alias("lo"), F.lit(1).alias("n"), "d", "t"))
     stretch = F.floor(F.col("lo") / STRETCH).alias("stretch")
     return (later.groupBy("od", "ot", "d", "t", stretch)
             .agg(F.min("lo").alias("lo"), F.max(F.col("lo") + F.col("n")).alias("hi")).drop("stretch"))
