@@ -13,7 +13,8 @@ same one.
    the first one of its hash. Runs that are equal within a task's piece are linked there to
    their first, so a passage that a third of all documents share is shuffled once for each
    piece, not once for each document.
-2. *Passages.* Links become passages of the earlier document, cut from its text.
+2. *Passages.* Links become passages of the earlier document, cut from its text. Recurring
+   runs are written to the checkpoint folder when the operator is called.
 3. *Automata.* Every task compiles the passages that its documents are linked to into
    Aho-Corasick automata of at most ``AUTOMATON_WINDOWS`` windows of words, one after the
    other, and streams those documents through them. An occurrence is confirmed word by
@@ -38,6 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .common import keyed, pieces, unique_ids, unkeyed, utf8
 from .rolling import U, anchors, grams, mix, word_hashes, words
 
@@ -147,12 +149,16 @@ def links(docs: DataFrame, n: int = N, k: int = K) -> DataFrame:
     rows = rows.where(F.col("od").isNotNull() | F.col("before").isNotNull() | F.col("after").isNotNull())
     rows = rows.select("*", F.first(place).over(equal).alias("e"))
     own, start = F.col("od").isNotNull(), F.shiftright("e.sn", 16).cast("int")
-    later = rows.where(own | (place != F.col("e"))).select(
-        F.coalesce("od", "e.d").alias("od"), F.coalesce("ot", "e.t").alias("ot"),
-        F.coalesce("os", start).alias("lo"), F.col("sn").bitwiseAND(0xFFFF).cast("int").alias("n"), "d", "t")
-    # the first of each of several different runs: which of their windows are equal?
-    mixed = rows.where(~own & F.col("differ") & (place == F.col("e"))).groupBy("d", "t").agg(
-        F.collect_set("sn").alias("runs"))
+    # links to equal runs; and, without a document, the first of each of several different runs
+    linked = own | (place != F.col("e"))
+    rows = materialize(rows.where(linked | F.col("differ")).select(
+        F.when(linked, F.coalesce("od", "e.d")).alias("od"), F.when(linked, F.coalesce("ot", "e.t")).alias("ot"),
+        F.when(linked, F.coalesce("os", start)).alias("lo"),
+        F.col("sn").bitwiseAND(0xFFFF).cast("int").alias("n"), "d", "t",
+        F.when(~linked, F.col("sn")).alias("sn")), "op1-runs")
+    later = rows.where("sn IS NULL").drop("sn")
+    # which windows of different runs are equal?
+    mixed = rows.where("sn IS NOT NULL").groupBy("d", "t").agg(F.collect_set("sn").alias("runs"))
     windows = docs.join(mixed, ["d", "t"]).mapInArrow(_windows(n), WINDOW)
     first = F.first(F.struct("d", "t", "p")).over(Window.partitionBy("h", "g").orderBy("d", "t", "p"))
     windows = windows.select("d", "t", "p", first.alias("e")).where(F.struct("d", "t", "p") != F.col("e"))
