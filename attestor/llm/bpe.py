@@ -29,7 +29,6 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -102,6 +101,7 @@ class Coder:
 
     def __init__(self, ranks_file: bytes, pattern: str, memory: str = "500MB"):
         import duckdb
+        import regex
 
         rows = (line.split() for line in ranks_file.splitlines() if line.strip())
         self.ranks = {base64.b64decode(a): int(b) for a, b in rows}

@@ -24,7 +24,6 @@ import base64
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -92,6 +91,7 @@ def best_fit(sizes, length: int) -> list[list[int]]:
 
 class Tokens:
     def __init__(self, ranks_file: bytes, pattern: str):
+        import regex
         import tiktoken
 
         lines = (x.split() for x in ranks_file.splitlines() if x.strip())
