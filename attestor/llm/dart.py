@@ -11,15 +11,23 @@ plus ``DARTS log DARTS``; where a coordinate stays empty the bound is doubled.
 
 Signatures are cut into ``BANDS`` bands. A pair of similarity 0.8 shares no band with
 probability 3e-6. Documents of equal words form a class at once; only one document of a class
-is banded. In a round every open member of a bucket meets the bucket's leads, those with the
-most links so far: pairs of different components whose sketches could belong to similar
-documents are compared exactly, over the whole texts, each pair once. A lead has then met the
-whole bucket and is closed there; all others stay open, linked or not. A bucket ends when its
-open members are of one component, so any two members of a bucket are in one component at the
-end or were compared. A round has ``GROWTH`` times the leads of the one before, so rounds are
-few in buckets of many unlike members too; only pairs whose sketches agree leave a task, and
-large buckets are dealt in parts of ``PART`` members. Components come from large-star/small-star
-steps, each written to the shared checkpoint folder.
+is banded. In a round every open member of a bucket meets the bucket's leads, those that share
+most buckets with others: the original of a group comes before its edited copies. Pairs of
+different components that may be alike are compared exactly, over the whole texts, each pair
+once, in the first band that it shares. A lead has then met the whole bucket and is closed
+there; all others stay open, linked or not. A bucket ends when its open members are of one
+component, so any two documents that share a band are in one component at the end, or were
+compared, or were shown to be unlike. A round has ``GROWTH`` times the leads of the one before,
+so rounds are few in buckets of many unlike members too; large buckets are dealt in parts of
+``PART`` members. Components come from large-star/small-star steps, each written to the shared
+checkpoint folder.
+
+Two sketches show that a pair is unlike, within a task. One is a byte of each dart. The
+other is an odd sketch: each unit of an element flips one of ``ODD_BITS`` bits, so the bits in
+which two documents differ are at most as many as the units in which they differ, whatever the
+hashes. That number bounds their similarity from above, so no alike pair is lost by it; for
+texts up to a few thousand words it leaves few pairs that are not alike, and a group whose
+members are alike at 0.65 to 0.75 costs no comparisons of texts.
 
 Defined results: documents without a word are alike to none, not even to each other; a
 text of fewer than ``SHINGLE`` words is one shingle. Rows that repeat ``doc_id`` and text
@@ -45,11 +53,13 @@ DARTS = BANDS * ROWS
 PIECE = 1 << 19
 #: Members of a bucket meet so many of them in the first round, and in each round so many
 #: times those of the round before.
-LEADS, GROWTH = 4, 8
+LEADS, GROWTH = 1, 16
 #: So many members of a bucket meet its leads in one task, and so many pairs at a time.
-PART, MEETINGS = 1024, 1 << 16
+PART, MEETINGS = 512, 1 << 15
+ODD_BITS = 2048
 
-SIGNATURE = "d long, t int, c1 long, c2 long, bands array<long>, sketch binary"
+SIGNATURE = ("d long, t int, c1 long, c2 long, bands array<long>, tags binary, sketch binary, "
+             "size int, odd binary")
 #: A pair whose sketches (a byte of each dart) agree on a smaller share is not compared: at
 #: a similarity of 0.8 that is five standard deviations below what is expected.
 SKETCH_SHARE = 0.64
@@ -108,14 +118,29 @@ def _thrown(region: np.ndarray, doc: np.ndarray, bound: np.ndarray, darts: int,
     return slots, times, names
 
 
+def units(row: np.ndarray, shingle: np.ndarray, count: np.ndarray):
+    """The document and a hash of each unit of weight."""
+    unit = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    region = mix(np.repeat(shingle, count) + unit.astype(np.uint64) * U(0x9E3779B97F4A7C15))
+    return np.repeat(row, count), region
+
+
+def odd_sketches(rows: int, row: np.ndarray, shingle: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """A row of bytes for each of ``rows`` documents: the bits that an odd number of units hit."""
+    doc, region = units(row, shingle, count)
+    place = doc * ODD_BITS + (mix(region ^ U(0x8CB92BA72F3D8DD7)) % U(ODD_BITS)).astype(np.int64)
+    place, hits = np.unique(place, return_counts=True)
+    bits = np.zeros(rows * ODD_BITS, np.uint8)
+    bits[place[hits % 2 == 1]] = 1
+    return np.packbits(bits.reshape(rows, ODD_BITS), axis=1)
+
+
 def dart_signatures(rows: int, row: np.ndarray, shingle: np.ndarray, count: np.ndarray,
                     darts: int = DARTS) -> np.ndarray:
     """A row of ``darts`` dart names for each of ``rows`` documents; 0 where it has none."""
     out = np.zeros(rows * darts, np.uint64)
     weight = np.bincount(row, weights=count, minlength=rows)
-    unit = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    region = mix(np.repeat(shingle, count) + unit.astype(np.uint64) * U(0x9E3779B97F4A7C15))
-    doc = np.repeat(row, count)
+    doc, region = units(row, shingle, count)
     bound = darts * (np.log(darts) + 3) / np.maximum(weight, 1)
     todo = weight > 0
     while todo.any():
@@ -134,21 +159,32 @@ def dart_signatures(rows: int, row: np.ndarray, shingle: np.ndarray, count: np.n
     return out.reshape(rows, darts)
 
 
+def _binary(rows: np.ndarray) -> pa.Array:
+    """Rows of bytes as a binary column."""
+    ends = np.arange(len(rows) + 1, dtype=np.int32) * np.int32(rows.shape[1])
+    return pa.Array.from_buffers(pa.binary(), len(rows), [
+        None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(rows).tobytes())])
+
+
 def _signed(batches):
     for part in pieces(batches, limit=PIECE):
         row, shingle, count, c1, c2 = elements(part.column("text"))
-        signature = dart_signatures(part.num_rows, *weighted(row, shingle))
+        bag = weighted(row, shingle)
+        signature = dart_signatures(part.num_rows, *bag)
         bands = signature.reshape(part.num_rows, BANDS, ROWS)
         key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), bands.shape[:2])
         for i in range(ROWS):
             key = mix(key * U(0x9E3779B97F4A7C15) + bands[:, :, i])
         some = count > 0
+        size = np.bincount(bag[0], weights=bag[2], minlength=part.num_rows).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
             [part.column("d").filter(pa.array(some)), part.column("t").filter(pa.array(some)),
              pa.array(c1[some].view(np.int64)), pa.array(c2[some].view(np.int64)),
              pa.array(list(key[some].view(np.int64)), pa.list_(pa.int64())),
-             pa.array([x.tobytes() for x in (signature[some] & U(0xFF)).astype(np.uint8)], pa.binary())],
-            names=["d", "t", "c1", "c2", "bands", "sketch"])
+             _binary((key[some] & U(0xFFFF)).astype(np.uint16).view(np.uint8)),
+             _binary((signature[some] & U(0xFF)).astype(np.uint8)),
+             pa.array(size[some]), _binary(odd_sketches(part.num_rows, *bag)[some])],
+            names=["d", "t", "c1", "c2", "bands", "tags", "sketch", "size", "odd"])
 
 
 def similarity(a: str, b: str) -> float:
@@ -208,60 +244,68 @@ def clusters(documents: DataFrame):
     smallest document of its component) of every document with a word; and the verified
     links u, v between documents of different words."""
     spark, docs = documents.sparkSession, keyed(documents)
-    signed = materialize(docs.mapInArrow(_signed, SIGNATURE), "signed").dropDuplicates(["d", "t"])
+    signed = materialize(docs.mapInArrow(_signed, SIGNATURE), "signed")
     node = F.struct("d", "t")
-    # written, so that Spark can split the join with a class that holds a third of all rows
+    # aggregates are written before their joins, so that Spark can split a join with a class or
+    # a bucket that holds a third of all rows
     reps = materialize(signed.groupBy("c1", "c2").agg(F.min(node).alias("rep")), "reps")
-    member = materialize(signed.select("d", "t", "c1", "c2").join(reps, ["c1", "c2"]).select("d", "t", "rep"), "member")
-    heads = signed.join(member.where(node == F.col("rep")).select("d", "t"), ["d", "t"], "left_semi")
-    buckets = heads.select(node.alias("v"), "sketch", F.explode("bands").alias("b"))
-    shared = buckets.groupBy("b").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    buckets = materialize(buckets.join(shared, "b"), "buckets")
-    # texts of what meets another document at all, once for all rounds
-    met = buckets.select("v.*").distinct()
-    texts = materialize(docs.join(met, ["d", "t"]).groupBy(node.alias("node"))
+    member = materialize(signed.select("d", "t", "c1", "c2").distinct().join(reps, ["c1", "c2"])
+                         .select("d", "t", "rep"), "member")
+    heads = member.where(node == F.col("rep")).select("d", "t")
+    # only keys are shuffled until it is known which documents meet another at all
+    banded = materialize(
+        signed.select("d", "t", "bands").join(heads, ["d", "t"], "left_semi").dropDuplicates(["d", "t"])
+        .select(node.alias("v"), F.posexplode("bands").alias("band", "b")), "banded")
+    shared = materialize(banded.groupBy("b").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
+    buckets = materialize(banded.join(shared, "b"), "buckets")
+    score = materialize(buckets.groupBy("v").agg(F.sum("n").alias("score")), "score")
+    met = score.select("v.*")
+    sketches = materialize(
+        signed.select("d", "t", "tags", "sketch", "size", "odd").join(met, ["d", "t"], "left_semi")
+        .dropDuplicates(["d", "t"]).select(node.alias("v"), "tags", "sketch", "size", "odd"), "sketches")
+    texts = materialize(docs.join(met, ["d", "t"], "left_semi").groupBy(node.alias("node"))
                         .agg(F.min("text").alias("text")), "texts")
-    links = tried = spark.createDataFrame([], f"u {NODE}, v {NODE}")
-    roots = spark.createDataFrame([], f"node {NODE}, root {NODE}, links long")
-    rest, count = buckets.withColumns({"root": F.col("v"), "links": F.lit(0)}), LEADS
+    links = spark.createDataFrame([], f"u {NODE}, v {NODE}")
+    roots = spark.createDataFrame([], f"node {NODE}, root {NODE}")
+    rest, count = buckets.join(score, "v").withColumn("root", F.col("v")), LEADS
     while not rest.isEmpty():
         lead = materialize(_leads(rest, count), "leads")
-        pairs = materialize(meetings(rest, lead).distinct().join(tried, ["u", "v"], "left_anti"), "pairs")
+        pairs = materialize(meetings(rest, lead, sketches), "pairs")
         new = materialize(verified(pairs, texts), "links")
-        tried, links, count = tried.unionByName(pairs), links.unionByName(new), count * GROWTH
+        links, count = links.unionByName(new), count * GROWTH
         if not new.isEmpty():
-            ends = links.select(F.col("u").alias("node")).unionByName(links.select(F.col("v").alias("node")))
-            degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("links"))
-            roots = materialize(degree.join(components(links), "node", "left")
-                                .select("node", F.coalesce("root", "node").alias("root"), "links"), "roots")
+            roots = components(links)
         # the leads have met all that was open in this bucket; nothing else is done
-        now = rest.select("b", "v", "sketch").join(lead.select("b", "v"), ["b", "v"], "left_anti")
-        now = now.join(roots, now.v == roots.node, "left").select(
-            "b", "v", "sketch", F.coalesce("root", "v").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
-        many = now.groupBy("b").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("m"),
-                                    F.max("root").alias("k")).where("m != k")
-        rest = materialize(now.join(many.select("b", "n"), "b"), "rest")
+        now = rest.drop("root", "n").join(lead.select("b", "v"), ["b", "v"], "left_anti")
+        now = materialize(now.join(roots, now.v == roots.node, "left").select(
+            "b", "band", "v", "score", F.coalesce("root", "v").alias("root")), "open")
+        many = materialize(now.groupBy("b").agg(
+            F.count(F.lit(1)).alias("n"), F.min("root").alias("m"), F.max("root").alias("k"))
+            .where("m != k").select("b", "n"), "many")
+        rest = materialize(now.join(many, "b"), "rest")
     out = member.join(roots, member.rep == roots.node, "left")
     return out.select("d", "t", "rep", F.coalesce("root", "rep").alias("root")), links
 
 
 def _leads(rest: DataFrame, count: int) -> DataFrame:
-    """The ``count`` rows of each bucket with most links. Ties have one order in all buckets, so
-    members of one group meet the same leads in many."""
-    order = Window.partitionBy("b").orderBy(F.desc("links"), F.xxhash64("v"), "v")
+    """The ``count`` rows of each bucket with the highest score. Ties have one order in all
+    buckets, so members of one group meet the same leads in many."""
+    order = Window.partitionBy("b").orderBy(F.desc("score"), F.xxhash64("v"), "v")
     return rest.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= count).drop("rank")
 
 
-def meetings(rest: DataFrame, lead: DataFrame) -> DataFrame:
-    """u, v: leads and members of one bucket and different components whose sketches could
-    belong to similar documents; a pair comes once for each bucket or more."""
+def meetings(rest: DataFrame, lead: DataFrame, sketches: DataFrame) -> DataFrame:
+    """u, v: leads and members of one bucket and different components that may be alike, in the
+    first band that they share; so each pair comes once in all rounds."""
     parts = F.ceil(F.col("n") / PART)
-    columns = [F.col("v.d").alias("d"), F.col("v.t").alias("t"), F.col("root.d").alias("rd"),
-               F.col("root.t").alias("rt"), "sketch"]
-    members = rest.select("b", F.pmod(F.xxhash64("v"), parts).cast("int").alias("part"), F.lit(1).alias("own"), *columns)
-    leads = lead.select("b", F.explode(F.sequence(F.lit(0), (parts - 1).cast("int"))).alias("part"),
-                        F.lit(0).alias("own"), *columns)
-    rows = members.unionByName(leads).repartition("b", "part").sortWithinPartitions("b", "part", "own")
+    columns = ["b", "band", "v", "root"]
+    members = rest.select(*columns, F.pmod(F.xxhash64("v"), parts).cast("int").alias("part"), F.lit(1).alias("own"))
+    leads = lead.select(*columns, F.explode(F.sequence(F.lit(0), (parts - 1).cast("int"))).alias("part"),
+                        F.lit(0).alias("own"))
+    rows = members.unionByName(leads).join(sketches, "v").select(
+        "b", "part", "own", "band", F.col("v.d").alias("d"), F.col("v.t").alias("t"), F.col("root.d").alias("rd"),
+        F.col("root.t").alias("rt"), "tags", "sketch", "size", "odd")
+    rows = rows.repartition("b", "part").sortWithinPartitions("b", "part", "own")
     return rows.mapInArrow(_meetings, "ud long, ut int, vd long, vt int").select(
         F.struct(F.col("ud").alias("d"), F.col("ut").alias("t")).alias("u"),
         F.struct(F.col("vd").alias("d"), F.col("vt").alias("t")).alias("v"))
@@ -285,8 +329,11 @@ def _meetings(batches):
 
 def _met(rows: pa.Table, edges: np.ndarray):
     """Pairs of each group's leads, which come first, with its members."""
-    own, d, t, rd, rt = (rows.column(c).to_numpy() for c in ("own", "d", "t", "rd", "rt"))
-    sketch = utf8(rows.column("sketch"))[0].reshape(-1, DARTS)
+    own, band, d, t, rd, rt, size_of = (
+        rows.column(c).to_numpy() for c in ("own", "band", "d", "t", "rd", "rt", "size"))
+    size_of = size_of.astype(np.int64)
+    sketch, odd, tags = (utf8(rows.column(c))[0].reshape(rows.num_rows, -1) for c in ("sketch", "odd", "tags"))
+    odd, tags = odd.view(np.uint64), tags.view(np.uint16)
     first, size = edges[:-1], np.diff(edges)
     members = np.add.reduceat(own, first).astype(np.int64)
     leads = size - members
@@ -298,7 +345,14 @@ def _met(rows: pa.Table, edges: np.ndarray):
         i, j = first[g] + k // members[g], first[g] + leads[g] + k % members[g]
         apart = (rd[i] != rd[j]) | (rt[i] != rt[j])
         i, j = i[apart], j[apart]
-        near = (sketch[i] == sketch[j]).sum(1) >= SKETCH_SHARE * DARTS
+        # the units in which two differ are these at least
+        differ = np.bitwise_count(odd[i] ^ odd[j]).sum(1, dtype=np.int64)
+        both = size_of[i] + size_of[j]
+        near = both - differ >= SIMILARITY * (both + differ) - 1e-6
+        i, j = i[near], j[near]
+        same = sketch[i] == sketch[j]
+        shared = same.reshape(-1, BANDS, ROWS).all(2) & (tags[i] == tags[j])
+        near = (same.sum(1) >= SKETCH_SHARE * DARTS) & (shared.argmax(1) == band[i])
         i, j = i[near], j[near]
         swap = (d[i] > d[j]) | ((d[i] == d[j]) & (t[i] > t[j]))
         i, j = np.where(swap, j, i), np.where(swap, i, j)
@@ -309,20 +363,15 @@ def _met(rows: pa.Table, edges: np.ndarray):
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """doc_id, class_id (smallest doc_id of equal words), cluster_id (smallest of the
-    component), n_links (links of the class that were verified on the way to its component, not
-    all that it has) and kept, for every row."""
-    member, links = clusters(documents)
-    ends = links.select("u").unionByName(links.select(F.col("v").alias("u")))
-    degree = ends.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
-    member = member.join(degree, member.rep == degree.u, "left")
-    rows = keyed(documents).drop("text").join(member.drop("u"), ["d", "t"], "left")
+    component) and kept, for every row."""
+    member, _ = clusters(documents)
+    rows = keyed(documents).drop("text").join(member, ["d", "t"], "left")
     own = F.struct("d", "t")
 
     def id_of(column):
         return F.when(F.col(column).isNull(), unkeyed()).otherwise(unkeyed(f"{column}.d"))
 
     return rows.select(unkeyed(), id_of("rep").alias("class_id"), id_of("root").alias("cluster_id"),
-                       F.coalesce("n", F.lit(0)).alias("n_links"),
                        F.coalesce(F.col("root") == own, F.lit(True)).alias("kept"))
 
 

@@ -2,6 +2,9 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
+
 from attestor.llm import dart
 
 SCHEMA = "doc_id long, text string"
@@ -63,10 +66,63 @@ def test_a_round_without_links_does_not_end_a_bucket(spark, monkeypatch):
 
 
 def test_large_buckets_are_dealt_in_parts(spark):
-    sketch, other = bytes(dart.DARTS), bytes([1]) * dart.DARTS
-    rows = [(5, (i, 0), sketch if i % 2 else other, (i, 0), 0, 3000) for i in range(3000)]
-    rest = spark.createDataFrame(rows, f"b long, v {dart.NODE}, sketch binary, root {dart.NODE}, links int, n long")
+    def sketches(i):
+        """Two kinds that no dart joins but the first band; none has an odd unit."""
+        kind = bytes([i % 2]) * (dart.DARTS - dart.ROWS)
+        return (i, 0), bytes(2 * dart.BANDS), bytes(dart.ROWS) + kind, 100, bytes(dart.ODD_BITS // 8)
+
+    rest = spark.createDataFrame(
+        [(5, 0, (i, 0), (i, 0), 7, 3000) for i in range(3000)],
+        f"b long, band int, v {dart.NODE}, root {dart.NODE}, score long, n long")
+    seen = spark.createDataFrame([sketches(i) for i in range(3000)],
+                                 f"v {dart.NODE}, tags binary, sketch binary, size int, odd binary")
     lead = dart._leads(rest, 3)
     leads = {r.v.d for r in lead.collect()}
-    got = {(r.u.d, r.v.d) for r in dart.meetings(rest, lead).collect()}
-    assert got == {(min(i, j), max(i, j)) for i in leads for j in range(3000) if i != j and (i - j) % 2 == 0}
+    got = [(r.u.d, r.v.d) for r in dart.meetings(rest, lead, seen).collect()]
+    want = {(min(i, j), max(i, j)) for i in leads for j in range(3000) if i != j and (i - j) % 2 == 0}
+    assert set(got) == want
+
+
+def test_odd_sketches_never_exclude_an_alike_pair():
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(300)}" for _ in range(400)]
+    texts = [" ".join(edited(rng, base, rng.randrange(12))) for _ in range(60)] + ["a b", "a a a a a a a"]
+    row, shingle, *_ = dart.elements(pa.array(texts))
+    bag = dart.weighted(row, shingle)
+    odd = dart.odd_sketches(len(texts), *bag).view(np.uint64)
+    size = np.bincount(bag[0], weights=bag[2], minlength=len(texts))
+    excluded = 0
+    for i in range(len(texts)):
+        for j in range(i):
+            differ, both = int(np.bitwise_count(odd[i] ^ odd[j]).sum()), size[i] + size[j]
+            bound = (both - differ) / (both + differ)
+            assert dart.similarity(texts[i], texts[j]) <= bound + 1e-9
+            excluded += bound < dart.SIMILARITY
+    assert excluded > 500
+
+
+def test_a_template_group_of_unlike_members_costs_no_comparisons(spark, monkeypatch):
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(300)]
+    texts = [" ".join(edited(rng, base, 10)) for _ in range(120)]  # alike at about 0.7
+    asked = []
+    true = dart.verified
+
+    def verified(pairs, texts):
+        asked.append(pairs.count())
+        return true(pairs, texts)
+
+    monkeypatch.setattr(dart, "verified", verified)
+    rows = dart.near_duplicates(spark.createDataFrame(list(enumerate(texts)), SCHEMA)).collect()
+    assert {r.doc_id: r.cluster_id for r in rows} == dict(enumerate(roots(texts)))
+    assert sum(asked) < 120
+
+
+def test_a_chain_is_one_component(spark):
+    rng = random.Random(6)
+    texts, words = [], [f"w{i}" for i in range(400)]
+    for _ in range(40):
+        texts.append(" ".join(words))
+        words = edited(rng, words, 6)
+    rows = dart.near_duplicates(spark.createDataFrame(list(enumerate(texts)), SCHEMA)).collect()
+    assert {r.doc_id: r.cluster_id for r in rows} == dict(enumerate(roots(texts)))
