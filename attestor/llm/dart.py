@@ -13,14 +13,15 @@ Signatures are cut into ``BANDS`` bands. A pair of similarity 0.8 shares no band
 probability 3e-6. Documents of equal words form a class at once; only one document of a class
 is banded. In a round every open member of a bucket meets the bucket's leads, those that share
 most buckets with others: the original of a group comes before its edited copies. Pairs of
-different components that may be alike are compared exactly, over the whole texts, each pair
+different labels that may be alike are compared exactly, over the whole texts, each pair
 once, in the first band that it shares. A lead has then met the whole bucket and is closed
-there; all others stay open, linked or not. A bucket ends when its open members are of one
-component, so any two documents that share a band are in one component at the end, or were
-compared, or were shown to be unlike. A round has ``GROWTH`` times the leads of the one before,
-so rounds are few in buckets of many unlike members too; large buckets are dealt in parts of
-``PART`` members. Components come from large-star/small-star steps, each written to the shared
-checkpoint folder.
+there; all others stay open, linked or not. A linked document's label is the one of highest
+score among itself and those it is linked to, so documents of one label are of one component.
+A bucket ends when its open members have one label, so any two documents that share a band are
+in one component at the end, or were compared, or were shown to be unlike. A round has
+``GROWTH`` times the leads of the one before, so rounds are few in buckets of many unlike
+members too; large buckets are dealt in parts of ``PART`` members. The components of all links
+come last, from large-star/small-star steps, each written to the shared checkpoint folder.
 
 Two sketches show that a pair is unlike, within a task. One is a byte of each dart. The
 other is an odd sketch: each unit of an element flips one of ``ODD_BITS`` bits, so the bits in
@@ -53,7 +54,7 @@ DARTS = BANDS * ROWS
 PIECE = 1 << 19
 #: Members of a bucket meet so many of them in the first round, and in each round so many
 #: times those of the round before.
-LEADS, GROWTH = 1, 16
+LEADS, GROWTH = 1, 64
 #: So many members of a bucket meet its leads in one task, and so many pairs at a time.
 PART, MEETINGS = 512, 1 << 15
 ODD_BITS = 2048
@@ -204,10 +205,13 @@ def _compared(batches):
         near = np.array([similarity(a, b) >= SIMILARITY for a, b in zip(u, v)], bool)
         keep = pa.array(near)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(c).filter(keep) for c in ("u", "v")], names=["u", "v"])
+            [batch.column(c).filter(keep) for c in LINK], names=list(LINK))
 
 
 NODE = "struct<d:bigint,t:int>"
+#: The columns of pairs and links: two documents and their scores.
+LINK = {"u": NODE, "v": NODE, "us": "long", "vs": "long"}
+_LINK = ", ".join(f"{c} {kind}" for c, kind in LINK.items())
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -215,7 +219,16 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     left = texts.select(F.col("node").alias("u"), F.col("text").alias("u_text"))
     right = texts.select(F.col("node").alias("v"), F.col("text").alias("v_text"))
     rows = pairs.join(left, "u").join(right, "v")
-    return rows.select("u", "v", "u_text", "v_text").mapInArrow(_compared, f"u {NODE}, v {NODE}")
+    return rows.select(*LINK, "u_text", "v_text").mapInArrow(_compared, _LINK)
+
+
+def labels(links: DataFrame) -> DataFrame:
+    """node and root, the one of highest score among itself and those it is linked to."""
+    ends = links.select("u", "us", "v", "vs").unionByName(
+        links.select(F.col("v").alias("u"), F.col("vs").alias("us"), F.col("u").alias("v"), F.col("us").alias("vs")))
+    best = ends.groupBy("u").agg(F.max(F.greatest(F.struct(F.col("vs").alias("score"), F.col("v").alias("root")),
+                                                  F.struct(F.col("us").alias("score"), F.col("u").alias("root")))).alias("m"))
+    return best.select(F.col("u").alias("node"), "m.root")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -265,26 +278,25 @@ def clusters(documents: DataFrame):
         .dropDuplicates(["d", "t"]).select(node.alias("v"), "tags", "sketch", "size", "odd"), "sketches")
     texts = materialize(docs.join(met, ["d", "t"], "left_semi").groupBy(node.alias("node"))
                         .agg(F.min("text").alias("text")), "texts")
-    links = spark.createDataFrame([], f"u {NODE}, v {NODE}")
-    roots = spark.createDataFrame([], f"node {NODE}, root {NODE}")
+    links = spark.createDataFrame([], _LINK)
     rest, count = buckets.join(score, "v").withColumn("root", F.col("v")), LEADS
     while not rest.isEmpty():
         lead = materialize(_leads(rest, count), "leads")
         pairs = materialize(meetings(rest, lead, sketches), "pairs")
         new = materialize(verified(pairs, texts), "links")
         links, count = links.unionByName(new), count * GROWTH
-        if not new.isEmpty():
-            roots = components(links)
+        label = labels(links)
         # the leads have met all that was open in this bucket; nothing else is done
         now = rest.drop("root", "n").join(lead.select("b", "v"), ["b", "v"], "left_anti")
-        now = materialize(now.join(roots, now.v == roots.node, "left").select(
+        now = materialize(now.join(label, now.v == label.node, "left").select(
             "b", "band", "v", "score", F.coalesce("root", "v").alias("root")), "open")
         many = materialize(now.groupBy("b").agg(
             F.count(F.lit(1)).alias("n"), F.min("root").alias("m"), F.max("root").alias("k"))
             .where("m != k").select("b", "n"), "many")
         rest = materialize(now.join(many, "b"), "rest")
+    roots = components(links)
     out = member.join(roots, member.rep == roots.node, "left")
-    return out.select("d", "t", "rep", F.coalesce("root", "rep").alias("root")), links
+    return out.select("d", "t", "rep", F.coalesce("root", "rep").alias("root")), links.select("u", "v")
 
 
 def _leads(rest: DataFrame, count: int) -> DataFrame:
@@ -295,20 +307,20 @@ def _leads(rest: DataFrame, count: int) -> DataFrame:
 
 
 def meetings(rest: DataFrame, lead: DataFrame, sketches: DataFrame) -> DataFrame:
-    """u, v: leads and members of one bucket and different components that may be alike, in the
+    """u, v: leads and members of one bucket and different labels that may be alike, in the
     first band that they share; so each pair comes once in all rounds."""
     parts = F.ceil(F.col("n") / PART)
-    columns = ["b", "band", "v", "root"]
+    columns = ["b", "band", "v", "root", "score"]
     members = rest.select(*columns, F.pmod(F.xxhash64("v"), parts).cast("int").alias("part"), F.lit(1).alias("own"))
     leads = lead.select(*columns, F.explode(F.sequence(F.lit(0), (parts - 1).cast("int"))).alias("part"),
                         F.lit(0).alias("own"))
     rows = members.unionByName(leads).join(sketches, "v").select(
         "b", "part", "own", "band", F.col("v.d").alias("d"), F.col("v.t").alias("t"), F.col("root.d").alias("rd"),
-        F.col("root.t").alias("rt"), "tags", "sketch", "size", "odd")
+        F.col("root.t").alias("rt"), "score", "tags", "sketch", "size", "odd")
     rows = rows.repartition("b", "part").sortWithinPartitions("b", "part", "own")
-    return rows.mapInArrow(_meetings, "ud long, ut int, vd long, vt int").select(
+    return rows.mapInArrow(_meetings, "ud long, ut int, us long, vd long, vt int, vs long").select(
         F.struct(F.col("ud").alias("d"), F.col("ut").alias("t")).alias("u"),
-        F.struct(F.col("vd").alias("d"), F.col("vt").alias("t")).alias("v"))
+        F.struct(F.col("vd").alias("d"), F.col("vt").alias("t")).alias("v"), "us", "vs")
 
 
 def _meetings(batches):
@@ -329,8 +341,8 @@ def _meetings(batches):
 
 def _met(rows: pa.Table, edges: np.ndarray):
     """Pairs of each group's leads, which come first, with its members."""
-    own, band, d, t, rd, rt, size_of = (
-        rows.column(c).to_numpy() for c in ("own", "band", "d", "t", "rd", "rt", "size"))
+    own, band, d, t, rd, rt, score, size_of = (
+        rows.column(c).to_numpy() for c in ("own", "band", "d", "t", "rd", "rt", "score", "size"))
     size_of = size_of.astype(np.int64)
     sketch, odd, tags = (utf8(rows.column(c))[0].reshape(rows.num_rows, -1) for c in ("sketch", "odd", "tags"))
     odd, tags = odd.view(np.uint64), tags.view(np.uint16)
@@ -357,8 +369,8 @@ def _met(rows: pa.Table, edges: np.ndarray):
         swap = (d[i] > d[j]) | ((d[i] == d[j]) & (t[i] > t[j]))
         i, j = np.where(swap, j, i), np.where(swap, i, j)
         if len(i):
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (d[i], t[i], d[j], t[j])],
-                                             names=["ud", "ut", "vd", "vt"])
+            yield pa.RecordBatch.from_arrays([pa.array(x[k]) for k in (i, j) for x in (d, t, score)],
+                                             names=["ud", "ut", "us", "vd", "vt", "vs"])
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
