@@ -211,3 +211,65 @@ def test_quantiles_are_exact(spark):
         assert np.allclose(got, np.quantile(values, (0.0, 0.25, 0.5, 0.95, 1.0)))
     empty = spark.createDataFrame([], "x double")
     assert reports.quantiles(empty, "x", (0.5,)).first().q == [None]
+
+
+def test_broadcasts_are_measured_in_memory(spark):
+    """Texts that files store once count for every row."""
+    from attestor import session
+
+    rows = spark.range(4000).select(F.col("id").cast("string").alias("curie"), F.lit("x" * 2000).alias("name"))
+    stored, fit = session.small_side(rows, max_bytes=4 << 20)
+    assert session.stored_bytes(stored) * 8 < 4 << 20 and not fit
+    assert session.small_side(rows, max_bytes=16 << 20)[1]
+    assert not session.fits(stored, stored, max_bytes=16 << 20)  # together beyond it
+    assert stored.agg(F.sum(session.row_bytes(stored))).first()[0] >= 4000 * 2000
+
+
+def test_entities_are_named_with_and_without_broadcasts(spark, monkeypatch):
+    from attestor import session
+
+    t = spark.createDataFrame([("s1", "p", "o1"), ("s1", "p", "none"), (None, "p", "o1")],
+                              "subject_curie string, predicate string, object_curie string")
+    e = spark.createDataFrame([("s1", "S", "c", "", ["a"]), ("o1", "O", "c", "d", None)],
+                              "curie string, name string, category string, description string, all_names array<string>")
+    few = sorted(map(repr, entities.with_entities(t, e).collect()))
+    monkeypatch.setattr(session.fits, "__kwdefaults__", {"max_bytes": 0})
+    assert "Broadcast" not in entities.named_columns(t, e)._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(repr, entities.with_entities(t, e).collect())) == few
+
+
+def test_one_answer_per_prompt_with_one_shuffle(spark):
+    from attestor.operators import score
+
+    r = spark.createDataFrame([("a", 1, "m", c, None, 1.0, 1, 1) for c in ("x", "z", "y")] + [("b", 1, "m", None, "e", 1.0, 1, 1)],
+                              score.RESPONSE_SCHEMA)
+    got = score.replay(r)
+    assert sorted((x.prompt_key, x.content) for x in got.collect()) == [("a", "z"), ("b", None)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[-1].count("Exchange hashpartitioning") == 1
+
+
+def test_driver_tables_of_a_new_session_and_repeated_keys(spark, tmpdir_path):
+    """A query that reads a driver table is the first one to run, on rows that repeat."""
+    import __spark_entry__ as entry
+
+    rows = [(i, "en", "web", f'text {i} "}}{{ \\') for i in (1, 2, 2, 150)] + [(2, "fr", None, None)]
+    spark.createDataFrame(rows, "doc_id long, lang string, source string, text string").write.parquet(
+        f"{tmpdir_path}/documents.parquet")
+    fresh = spark.newSession()
+    import attestor.plans.fixtures as fx
+    kept, fx.FLAT = fx.FLAT, {}
+    try:
+        got = entry.queries()["nodes_dict_file"](fresh, tmpdir_path).select("id", "name", "category").collect()
+    finally:
+        fx.FLAT = kept
+        fx._REGISTERED.clear()
+    assert sorted(map(tuple, got)) == [("DOC:1", "web", "en"), ("DOC:150", "web", "en"), ("DOC:2", "", "fr"),
+                                       ("DOC:2", "web", "en"), ("DOC:2", "web", "en")]
+
+
+def test_quotes_are_decomposed_row_by_row(spark):
+    from attestor.functions import quotes as q
+
+    df = spark.createDataFrame([(["ﬁne", "é"],), (None,), ([],), (["x"] * 600,)], "t array<string>").coalesce(1)
+    assert [r[0] for r in df.select(q.decomposed("t")).collect()] == [["fine", "é"], None, [], ["x"] * 600]
