@@ -256,3 +256,28 @@ def test_plan_adds_shared_sets_once():
     got = plan.scores(doc.ravel(), term.ravel(), value.ravel(), n)
     want = [[sum(value[number[w], d] for w in words) for d in range(n)] for words in lists]
     assert got.tolist() == want
+
+
+def test_quality_fits_all_labels(judged, monkeypatch):
+    """Labels beyond one group count too, the rarer kind meets every group, and the
+    threshold is the exact quantile."""
+    docs, labels = judged
+    whole = quality.fit(docs, labels)
+    seen = []
+    kept = quality._quantile
+    monkeypatch.setattr(quality, "_quantile", lambda values, *a: seen.append(values.count()) or kept(values, *a))
+    monkeypatch.setattr(quality, "VALUES", 7)
+    split = quality.fit(docs, labels, per_group=20)
+    with_text = docs.select("doc_id").distinct().join(labels.where("quality IN (0, 1)").select("doc_id", "quality").distinct(), "doc_id").count()
+    assert seen == [with_text]
+    assert np.allclose(whole.middle, split.middle) and np.allclose(whole.scale, split.scale)
+    assert np.corrcoef(whole.weights, split.weights)[0, 1] > 0.8
+
+
+def test_quantile_is_exact(spark, monkeypatch):
+    monkeypatch.setattr(quality, "VALUES", 3)
+    u = [float(x) for x in (5, 1, 1, 1, 2, 3, 8, 9, 4, 7)]
+    values = spark.createDataFrame([(x, i % 2) for i, x in enumerate(u)], "u double, y int")
+    for k in range(1, 10):
+        got = quality._quantile(values, {0: 0.1, 1: 0.1}, k / 10)
+        assert got == (sorted(u)[k - 1] + sorted(u)[k]) / 2
