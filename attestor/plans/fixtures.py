@@ -251,6 +251,12 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.table(f"fx_{name}")
 
 
+def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table of ``sf_dir``, also where no fixture has been asked for before."""
+    register_fixtures(spark, sf_dir)
+    return spark.table(name)
+
+
 _STORED: dict[tuple[int, str, str], str] = {}
 
 
