@@ -35,8 +35,9 @@ from pyspark.sql import functions as F
 from .common import pieces
 
 LONG_WORD = 96
-#: Words kept with their ids per task; the store is emptied when it is full.
-STORE_WORDS = 300_000
+#: Words met lately that a worker keeps with their ids. When there are so many, those met
+#: before them are dropped and they take their place; so twice as many are kept at most.
+STORE_WORDS = 180_000
 #: Bytes of text a task reads, and bytes of words a query gets, at a time.
 PIECE = 2 << 20
 QUERY_BYTES = 1 << 20
@@ -124,9 +125,11 @@ class Coder:
         self.con.register("_v", pa.table({"id": pa.array([r for _, r in items], pa.int32()),
                                           "hex": [t.hex() for t, _ in items]}))
         self.con.execute("CREATE TABLE vocab AS SELECT * FROM _v")
-        #: of each word met: its ids in decimal, and the bytes they decode to
+        #: of each word met: its ids in decimal; and of those met before them
         self.ids: dict[str, str] = {}
-        self.bytes: dict[str, bytes] = {}
+        self.older: dict[str, str] = {}
+        #: of words whose ids decode to other bytes than their own: those bytes
+        self.altered: dict[str, bytes] = {}
 
     def _table(self, name: str, **columns) -> None:
         self.con.register("_t", pa.table({k: pa.array(v, pa.int32()) for k, v in columns.items()}))
@@ -156,16 +159,23 @@ class Coder:
                 self._start([raw[i] for i in some], some)
                 self.con.execute("INSERT INTO ids " + query)
         got = self.con.sql(_RESULT).to_arrow_table()
-        ids, data = got.column("ids").to_pylist(), got.column("bytes").to_pylist()
-        self.ids.update(zip(words, ids))
-        self.bytes.update(zip(words, data))
+        self.ids.update(zip(words, got.column("ids").to_pylist()))
+        data = got.column("bytes").to_pylist()
+        if data != raw:
+            self.altered.update((w, d) for w, r, d in zip(words, raw, data) if d != r)
 
     def learn(self, words) -> None:
         """Encode and decode the words that the store lacks."""
-        new = [w for w in words if w not in self.ids]
-        if len(self.ids) + len(new) > STORE_WORDS:
-            self.ids.clear(), self.bytes.clear()
-            new = list(words)
+        if len(self.ids) > STORE_WORDS:
+            self.ids, self.older = {}, self.ids
+        new = []
+        for w in words:
+            if w not in self.ids:
+                ids = self.older.get(w)
+                if ids is None:
+                    new.append(w)
+                else:
+                    self.ids[w] = ids
         at = 0
         while at < len(new):
             end, size = at, 0
@@ -177,8 +187,11 @@ class Coder:
 
     def coded(self, words: list[str]) -> tuple[str, bytes]:
         """A split text's ids in decimal, joined by spaces, and the bytes they decode to."""
-        return (" ".join(map(self.ids.__getitem__, words)),
-                b"".join(map(self.bytes.__getitem__, words)))
+        if self.altered:
+            data = b"".join([self.altered[w] if w in self.altered else w.encode() for w in words])
+        else:
+            data = "".join(words).encode()
+        return " ".join(map(self.ids.__getitem__, words)), data
 
     def decode(self, ids: list[list[int]]) -> list[bytes]:
         """The bytes of each list of ids, by one ordered aggregation."""
@@ -191,9 +204,21 @@ class Coder:
         return [bytes(got.get(i, b"")) for i in range(len(ids))]
 
 
+_CODERS: dict[tuple, Coder] = {}
+
+
+def _coder(ranks_file: bytes, pattern: str) -> Coder:
+    """The worker's coder; the tasks that it runs one after the other share its store."""
+    key = hashlib.sha256(ranks_file).digest(), pattern
+    if key not in _CODERS:
+        _CODERS.clear()  # one is kept
+        _CODERS[key] = Coder(ranks_file, pattern)
+    return _CODERS[key]
+
+
 def _texts(batches, ranks, pattern):
     """Slices of Arrow batches with their split texts, all words of which the coder has met."""
-    coder = Coder(ranks.value, pattern)
+    coder = _coder(ranks.value, pattern)
     for part in pieces(batches, limit=PIECE):
         texts = [coder.split(t) for t in pc.fill_null(part.column("text"), "").to_pylist()]
         met: dict[str, None] = {}

@@ -164,6 +164,29 @@ def test_bpe_small_store(monkeypatch, odd_docs, library):
         assert [int(x) for x in coder.coded(coder.split(t))[0].split()] == library.encode_ordinary(t)
 
 
+def test_bpe_words_met_lately_are_not_encoded_again(monkeypatch, library):
+    monkeypatch.setattr(bpe, "STORE_WORDS", 4)
+    asked = []
+    query = bpe.Coder._query
+    monkeypatch.setattr(bpe.Coder, "_query", lambda self, words: (asked.extend(words), query(self, words))[1])
+    data = bpe.load_ranks(PATH)
+    for t in ("aaqx bbqx ccqx ddqx", " eeqx aaqx", " ffqx bbqx aaqx"):
+        coder = bpe._coder(data, PATTERN)  # each text in a task of its own
+        coder.learn(dict.fromkeys(coder.split(t)))
+        ids, back = coder.coded(coder.split(t))
+        assert [int(x) for x in ids.split()] == library.encode_ordinary(t) and back == t.encode()
+    assert len(asked) == len(set(asked))
+
+
+def test_bpe_bytes_come_from_the_ids():
+    coder = bpe.Coder(bpe.load_ranks(PATH), PATTERN)
+    other = coder.con.execute("SELECT hex FROM vocab WHERE id = ?", [coder.ranks[b"b"]]).fetchone()[0]
+    coder.con.execute("UPDATE vocab SET hex = ? WHERE id = ?", [other, coder.ranks[b"a"]])
+    words = coder.split("a c")
+    coder.learn(dict.fromkeys(words))
+    assert coder.coded(words)[1] == b"b c"
+
+
 def test_language(spark, no_docs):
     rng = np.random.default_rng(3)
     vocab = {"en": "the and thing with which other ing tion", "de": "der und schen ung nicht mit lich keit",
