@@ -51,11 +51,12 @@ HOT = 50_000
 
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64))
 
-#: Of a candidate: its anchor; its content's hash; its count of windows and whether it is known
-#: to occur earlier; its document; the rest of the document's key and its first byte.
-CANDIDATE = "a long, f long, cn int, d long, ts long"
-FRAGMENT = ("a long, d long, t int, s int, n int, left int, body binary, "
-            "spans array<struct<first:int,n:int>>")
+#: Of a candidate: its anchor; a hash of its content and its count of windows; its document;
+#: and, in one number, its first byte, its count of windows and whether it is known to occur
+#: earlier. Most are shuffled only to find that they are alone, so they are small, and those of
+#: one document follow each other.
+CANDIDATE = "a long, f long, d long, t int, sc long"
+FRAGMENT = "a long, d long, t int, sn long, body binary, spans array<struct<first:int,n:int>>"
 SPANS = "d long, t int, spans array<struct<first:int,n:int>>"
 _SPANS = pa.list_(pa.struct([("first", pa.int32()), ("n", pa.int32())]))
 
@@ -77,7 +78,7 @@ def fragments(part, n: int, k: int):
     count = np.diff(np.append(runs, len(v)))
     start = v[runs]
     # runs of k bytes that together cover the first n and the last n bytes
-    whole = count.astype(np.uint64)
+    whole = count.astype(np.uint64)  # so the hash tells counts apart too
     for base in (start, start + count - 1):
         for step in [*range(0, n - k, k), n - k]:
             whole = mix(whole * U(0x9E3779B97F4A7C15) + g[base + step])
@@ -85,7 +86,7 @@ def fragments(part, n: int, k: int):
 
 
 def _candidates(n: int, k: int):
-    schema = pa.schema([(c, pa.int32() if c == "cn" else pa.int64()) for c in ("a", "f", "cn", "d", "ts")])
+    schema = pa.schema([(c, pa.int32() if c == "t" else pa.int64()) for c in ("a", "f", "d", "t", "sc")])
 
     def run(batches):
         for part in pieces(batches, limit=PIECE):
@@ -94,7 +95,7 @@ def _candidates(n: int, k: int):
                 continue
             a, f, row, s, count = found
             d = part.column("d").to_numpy()[row]
-            t = part.column("t").to_numpy()[row].astype(np.int64)
+            t = part.column("t").to_numpy()[row]
             order = np.lexsort((s, t, d, f, a))
             same = np.zeros(len(a), bool)
             same[1:] = (a[order[1:]] == a[order[:-1]]) & (f[order[1:]] == f[order[:-1]])
@@ -102,12 +103,15 @@ def _candidates(n: int, k: int):
             known = same & ~((d[order] == d[head]) & (t[order] == t[head]) & (s[order] == s[head]))
             keep = known | ~same
             i, known = order[keep], known[keep]
+            by_place = np.argsort(i)
+            i, known = i[by_place], known[by_place]
             # an occurrence that is known needs no meeting, so its key spreads it
             spread = mix(a[i] + np.arange(1, len(i) + 1, dtype=np.uint64) * U(0x9E3779B97F4A7C15))
             key = np.where(known, spread, a[i]).view(np.int64)
-            cn = (count[i] << 1 | known).astype(np.int32)
+            sc = s[i].astype(np.int64) << 16 | count[i] << 1 | known
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key), pa.array(f[i].view(np.int64)), pa.array(cn), pa.array(d[i]), pa.array(t[i] << 32 | s[i])], schema=schema)
+                [pa.array(key), pa.array(f[i].view(np.int64)), pa.array(d[i]), pa.array(t[i]), pa.array(sc)],
+                schema=schema)
 
     return run
 
@@ -116,7 +120,7 @@ def _cut(n: int):
     """Documents with their recurring places -> fragments, and one row of known spans each."""
     def run(batches):
         for part in pieces(batches):
-            cols = {c: [] for c in ("a", "d", "t", "s", "n", "left", "body", "spans")}
+            cols = {c: [] for c in ("a", "d", "t", "sn", "body", "spans")}
 
             def put(**row):
                 for c, values in cols.items():
@@ -131,15 +135,13 @@ def _cut(n: int):
                     if p & 1:
                         spans.append({"first": s, "n": count + n - 1})
                     else:
-                        put(a=a, d=d, t=t, s=s, n=count, left=raw[s - 1] if s else -1,
-                            body=raw[s:s + count + n - 1])
+                        put(a=a, d=d, t=t, sn=s << 16 | count, body=raw[s:s + count + n - 1])
                 if spans:  # their key only spreads them
-                    put(a=hash((d, t)), d=d, t=t, s=0, n=0, spans=merged(spans))
+                    put(a=hash((d, t)), d=d, t=t, sn=0, spans=merged(spans))
             if cols["a"]:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(cols["a"], pa.int64()), pa.array(cols["d"], pa.int64()),
-                     pa.array(cols["t"], pa.int32()), pa.array(cols["s"], pa.int32()),
-                     pa.array(cols["n"], pa.int32()), pa.array(cols["left"], pa.int32()),
+                     pa.array(cols["t"], pa.int32()), pa.array(cols["sn"], pa.int64()),
                      pa.array(cols["body"], pa.binary()), pa.array(cols["spans"], _SPANS)],
                     names=list(cols))
 
@@ -217,7 +219,7 @@ def _chunks(batches, limit: int):
     rows, size = [], 0
     for batch in batches:
         for row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns))):
-            if row[6] is None:
+            if row[4] is None:
                 yield None, row
                 continue
             if rows and row[:4] == rows[-1][:4]:
@@ -226,7 +228,7 @@ def _chunks(batches, limit: int):
                 yield rows, None
                 rows, size = [], 0
             rows.append(row)
-            size += len(row[6])
+            size += len(row[4])
     if rows:
         yield rows, None
 
@@ -236,16 +238,16 @@ def _scan(n: int, limit: int):
         out = []
         for rows, known in _chunks(batches, limit):
             if known is not None:
-                out.append((known[1], known[2], known[7]))
+                out.append((known[1], known[2], known[5]))
             else:
-                counts = np.array([r[4] for r in rows])
-                at, frag, shared, left = suffixes([r[6] for r in rows], counts, n)
-                begin = np.cumsum([0] + [len(r[6]) for r in rows])
+                counts = np.array([r[3] & 0xFFFF for r in rows])
+                at, frag, shared, left = suffixes([r[4] for r in rows], counts, n)
+                begin = np.cumsum([0] + [len(r[4]) for r in rows])
                 found: dict[int, list] = {}
                 for rank, length in repeats(at, shared, left, n):
                     i = int(frag[rank])
                     found.setdefault(i, []).append(
-                        {"first": rows[i][3] + int(at[rank] - begin[i]), "n": length})
+                        {"first": (rows[i][3] >> 16) + int(at[rank] - begin[i]), "n": length})
                 out += [(rows[i][1], rows[i][2], merged(x)) for i, x in found.items()]
             if len(out) >= 2000 or rows:
                 yield from _spans_batch(out)
@@ -268,31 +270,34 @@ def places(docs: DataFrame, n: int = N, k: int = K, hot: int = HOT) -> DataFrame
     first byte, its count of windows, whether its anchor is hot, and whether it is known to
     occur earlier."""
     rows = docs.mapInArrow(_candidates(n, k), CANDIDATE)
-    w = Window.partitionBy("a").orderBy("f", "cn", "d", "ts")
-    before = F.lag(F.struct("f", "cn", "d", "ts")).over(w)
+    w = Window.partitionBy("a").orderBy("f", "d", "t", "sc")
+    before = F.lag(F.struct("f", "d", "t", "sc")).over(w)
     rows = rows.select("*", before.alias("b"), F.lead("f").over(w).isNotNull().alias("more"))
-    known = F.col("cn") % 2 == 1
-    equal = F.coalesce((F.col("b.f") == F.col("f")) & (F.col("b.cn") == F.col("cn")), F.lit(False))
-    place = (F.col("d") == F.col("b.d")) & (F.col("ts") == F.col("b.ts"))
+
+    def count(sc):
+        return F.col(sc).bitwiseAND(0xFFFF)
+
+    known = F.col("sc") % 2 == 1
+    equal = F.coalesce((F.col("b.f") == F.col("f")) & (count("b.sc") == count("sc")), F.lit(False))
+    place = (F.col("d") == F.col("b.d")) & (F.col("t") == F.col("b.t")) & (F.col("sc") == F.col("b.sc"))
     rows = rows.where(known | F.col("more") | F.col("b").isNotNull())
     rows = rows.where(known | ~equal | ~place)  # a repeated row is the same place
     known = known | equal
     different = F.sum(F.when(known, 0).otherwise(1)).over(Window.partitionBy("a"))
-    size = F.shiftright("cn", 1).cast("long")
-    start = F.col("ts").bitwiseAND(0xFFFFFFFF)
     flags = F.when(known, 1).when(different > hot, 2).otherwise(0)
+    start, size = F.shiftright("sc", 16), F.shiftright(count("sc"), 1)
     return rows.select(
-        "d", F.shiftright("ts", 32).cast("int").alias("t"), F.when(known, 0).otherwise(F.col("a")).alias("a"),
+        "d", "t", F.when(known, 0).otherwise(F.col("a")).alias("a"),
         F.shiftleft(start, 17).bitwiseOR(F.shiftleft(size, 2)).bitwiseOR(flags.cast("long")).alias("p"))
 
 
 def recurring(docs: DataFrame, found: DataFrame, n: int = N) -> DataFrame:
-    """a, d, t, s, n, left, body, spans: the fragments to compare, dealt and sorted by anchor;
-    rows without a body carry spans that are known to occur earlier."""
+    """a, d, t, sn (first byte and count of windows), body, spans: the fragments to compare,
+    dealt and sorted by anchor; rows without a body carry spans that are known to occur earlier."""
     found = found.where(F.col("p").bitwiseAND(2) == 0).groupBy("d", "t").agg(
         F.collect_list("a").alias("keys"), F.collect_list("p").alias("places"))
     cut = docs.join(found, ["d", "t"]).mapInArrow(_cut(n), FRAGMENT)
-    return cut.repartition("a").sortWithinPartitions("a", "d", "t", "s")
+    return cut.repartition("a").sortWithinPartitions("a", "d", "t", "sn")
 
 
 def hot_spans(docs: DataFrame, found: DataFrame, n: int = N) -> DataFrame:
@@ -368,15 +373,15 @@ def maximal_repeats(documents: DataFrame, n: int = N, k: int = K) -> DataFrame:
         for rows, _ in _chunks(batches, CHUNK):
             if not rows:
                 continue
-            counts, nodes = np.array([r[4] for r in rows]), []
-            at, frag, shared, left = suffixes([r[6] for r in rows], counts, n)
-            begin = np.cumsum([0] + [len(r[6]) for r in rows])
+            counts, nodes = np.array([r[3] & 0xFFFF for r in rows]), []
+            at, frag, shared, left = suffixes([r[4] for r in rows], counts, n)
+            begin = np.cumsum([0] + [len(r[4]) for r in rows])
             repeats(at, shared, left, n, nodes)
             for low, high, length in nodes:
                 around = left[low:high + 1]
                 if around[0] >= 0 and (around == around[0]).all():
                     continue  # part of a repeat that starts a byte earlier
-                where = [(rows[f][1], rows[f][3] + int(p - begin[f]))
+                where = [(rows[f][1], (rows[f][3] >> 16) + int(p - begin[f]))
                          for f, p in zip(frag[low:high + 1].tolist(), at[low:high + 1].tolist())]
                 yield pa.RecordBatch.from_pydict({
                     "length": pa.array([length], pa.int32()),

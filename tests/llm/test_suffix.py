@@ -29,3 +29,20 @@ def test_fragments_that_share_32_bits_of_their_hash_stay(spark):
     docs = [(2 * i + j, text) for i, pair in enumerate(pairs) for j, text in enumerate(pair)]
     out = suffix.dedup_bytes(spark.createDataFrame(docs, "doc_id long, text string").repartition(len(docs)))
     assert {r.doc_id: r.n_removed for r in out.collect()} == {d: 0 for d, _ in docs}
+
+
+def test_candidates_of_a_document_follow_each_other():
+    rng = np.random.default_rng(1)
+    texts = [bytes(rng.integers(97, 123, 900).astype(np.uint8)).decode() for _ in range(4)]
+    texts[2] = texts[0][:400] + texts[2][:300] + texts[0][400:]
+    part = pa.RecordBatch.from_arrays(
+        [pa.array([5, 6, 7, 8], pa.int64()), pa.array([0] * 4, pa.int32()), pa.array(texts)], names=["d", "t", "text"])
+    (got,) = suffix._candidates(suffix.N, suffix.K)([part])
+    d, sc = got.column("d").to_numpy(), got.column("sc").to_numpy()
+    assert (np.diff(d) >= 0).all() and all((np.diff(sc[d == x]) > 0).all() for x in (5, 6, 7, 8))
+    a, f, row, s, count = suffix.fragments(part, suffix.N, suffix.K)
+    assert sc.tolist() == [x << 16 | y << 1 | z & 1 for x, y, z in zip(s.tolist(), count.tolist(), sc.tolist())]
+    # a fragment that the first text has too is known to occur earlier
+    first = set(zip(a[row == 0].tolist(), f[row == 0].tolist()))
+    again = [(x, y) in first and r == 2 for x, y, r in zip(a.tolist(), f.tolist(), row.tolist())]
+    assert any(again) and (sc % 2 == 1).tolist() == again
