@@ -204,16 +204,17 @@ class Coder:
         return [bytes(got.get(i, b"")) for i in range(len(ids))]
 
 
-_CODERS: dict[tuple, Coder] = {}
-
-
 def _coder(ranks_file: bytes, pattern: str) -> Coder:
-    """The worker's coder; the tasks that it runs one after the other share its store."""
+    """The worker's coder; the tasks that it runs one after the other share its store. It is
+    kept in a module of its own, for each task gets its own copy of this one."""
+    import sys
+    import types
+
+    kept = sys.modules.setdefault("_attestor_coders", types.ModuleType("_attestor_coders")).__dict__
     key = hashlib.sha256(ranks_file).digest(), pattern
-    if key not in _CODERS:
-        _CODERS.clear()  # one is kept
-        _CODERS[key] = Coder(ranks_file, pattern)
-    return _CODERS[key]
+    if kept.get("key") != key:
+        kept.update(key=key, coder=Coder(ranks_file, pattern))
+    return kept["coder"]
 
 
 def _texts(batches, ranks, pattern):

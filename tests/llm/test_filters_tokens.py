@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark import cloudpickle
 
 from attestor.llm import bpe, decontam, langid, packing, url_filter, winnow
 from attestor.llm.common import NULL_ID
@@ -178,6 +179,14 @@ def test_bpe_words_met_lately_are_not_encoded_again(monkeypatch, library):
     assert len(asked) == len(set(asked))
 
 
+def test_bpe_tasks_of_a_worker_share_a_coder():
+    # a task gets the package's functions by value
+    first, second = (cloudpickle.loads(cloudpickle.dumps(bpe._coder)) for _ in range(2))
+    data = bpe.load_ranks(PATH)
+    assert first(data, PATTERN) is second(data, PATTERN)
+    cloudpickle.dumps(bpe._coder)
+
+
 def test_bpe_bytes_come_from_the_ids():
     coder = bpe.Coder(bpe.load_ranks(PATH), PATTERN)
     other = coder.con.execute("SELECT hex FROM vocab WHERE id = ?", [coder.ranks[b"b"]]).fetchone()[0]
