@@ -203,3 +203,21 @@ def test_stream_reads_only_its_own_keys(spark, tmpdir_path):
     last = spark.read.parquet(out).where("batch_id = 3")
     es.add_finished(spark, f"{out}_keys", last, 3)
     assert spark.read.parquet(f"{out}_keys").count() == 150
+
+
+def test_a_batch_of_prompts_becomes_one_batch_of_answers(spark):
+    prompts = spark.range(100, numPartitions=1).selectExpr("cast(id AS string) AS prompt_key", "concat('p', id) AS prompt", "id AS max_tokens")
+
+    def scorer(texts, budgets):
+        assert len(texts) <= 32 and all(type(b) is int for b in budgets)
+        if len(texts) > 1 and "p70" in texts:
+            texts.clear()  # a scorer may spoil its lists
+        if texts == ["p70"] or not texts:
+            raise RuntimeError("bad prompt")
+        return [(t, b, None) for t, b in zip(texts, budgets)]
+
+    plan = score.score(prompts, scorer)
+    assert "MapInArrow" in plan._jdf.queryExecution().executedPlan().toString()
+    got = {r.prompt_key: (r.content, r.error, r.prompt_tokens, r.completion_tokens, r.round) for r in plan.collect()}
+    want = {str(i): (f"p{i}", None, i, 0, 1) for i in range(100)}
+    assert got == {**want, "70": (None, "bad prompt", 0, 0, 1)}
