@@ -2,8 +2,8 @@
 (subject, predicate, object, PMID) with the distinct evidence sentences in
 first-seen order, joined by `` | `` ('' when none).
 
-Per record publications and texts meet in a per-row multimap (no shuffle, no comparison
-of every publication with every text). Sentences are first reduced to distinct (key,
+Per record publications and texts meet in the row (no shuffle): compared one by one where
+they are few, else in a multimap. Sentences are first reduced to distinct (key,
 sentence) pairs with their first position (map-side partial aggregation absorbs a hot key's
 repeats), then one group per key orders and joins them; the counts of A1 come from the same
 pass.
@@ -33,6 +33,9 @@ EDGE_SCHEMA = T.StructType([
         T.StructField("sentence", T.StringType()),
     ]))),
 ])
+#: Up to so many pairs of a publication and a text are compared one by one; a record with more
+#: is sorted, so that its cost does not grow with publications x texts.
+FEW_PAIRS = 64
 OUT_COLUMNS = ("subject_curie", "predicate", "object_curie", "PMID", "SemMedDB_sentences")
 
 
@@ -91,8 +94,29 @@ def _by_pmid(entries: Column) -> Column:
 
 
 def _cited(publications: Column, pairs: Column) -> Column:
-    """Per distinct publication of a record: PMID, its first place, how often it stands
-    there, and its texts in reading order."""
+    """Per distinct publication of a record, in order: PMID, its first place, how often it
+    stands there, and its texts in reading order; what stands for null comes last."""
+    given = F.coalesce(publications, F.array().cast("array<string>"))
+    few = (F.size(given).cast("long") + 1) * (F.size(pairs) + F.size(given)) <= FEW_PAIRS
+    return F.when(few, _cited_few(given, pairs)).otherwise(_cited_many(given, pairs))
+
+
+def _cited_few(given: Column, pairs: Column) -> Column:
+    def of(named: Column) -> Column:
+        return let(pairs, lambda texts: F.transform(F.array_sort(F.array_distinct(named)), lambda p: F.struct(
+            p.alias("PMID"), (F.array_position(named, p) - 1).cast("int").alias("pub"),
+            F.size(F.filter(named, lambda x: x == p)).alias("n"),
+            F.transform(F.filter(texts, lambda x: (x["pmid"] == p) & x["text"].isNotNull()),
+                        lambda x: x["text"]).alias("texts"))))
+
+    unnamed = F.size(given) - F.size(F.array_compact(given))
+    none = F.array().cast("array<string>")
+    return let(F.array_compact(given), lambda named: F.when(unnamed == 0, of(named)).otherwise(F.concat(
+        of(named), F.array(F.struct(F.lit(None).cast("string").alias("PMID"), F.lit(0).alias("pub"),
+                                    unnamed.alias("n"), none.alias("texts"))))))
+
+
+def _cited_many(publications: Column, pairs: Column) -> Column:
     places = F.transform(F.coalesce(publications, F.array().cast("array<string>")),
                          lambda p, i: F.struct(p.alias("pmid"), i.alias("place")))
     none = F.array().cast("array<string>")

@@ -273,3 +273,21 @@ def test_quotes_are_decomposed_row_by_row(spark):
 
     df = spark.createDataFrame([(["ﬁne", "é"],), (None,), ([],), (["x"] * 600,)], "t array<string>").coalesce(1)
     assert [r[0] for r in df.select(q.decomposed("t")).collect()] == [["fine", "é"], None, [], ["x"] * 600]
+
+
+def test_few_and_many_citations_give_the_same(spark):
+    import random
+
+    from attestor.operators import edges as e
+
+    rng = random.Random(3)
+    pmids = ["a", "b", "B", "", "é", None]
+    rows = [(i, None if i % 9 == 0 else [rng.choice(pmids) for _ in range(rng.randrange(7))],
+             [(rng.choice(pmids), rng.choice(["x", "y", "", None])) for _ in range(rng.randrange(6))]) for i in range(80)]
+    df = spark.createDataFrame(rows, "i int, p array<string>, t array<struct<pmid:string,text:string>>")
+    given = F.coalesce("p", F.array().cast("array<string>"))
+    both = df.select(e._cited_few(given, F.col("t")).alias("few"), e._cited_many(F.col("p"), F.col("t")).alias("many"),
+                     e._cited(F.col("p"), F.col("t")).alias("any")).collect()
+    assert all(r.few == r.many == r.any for r in both) and any(r.few for r in both)
+    plan = df.select(e._cited(F.col("p"), F.col("t")).alias("any"))
+    assert e.FEW_PAIRS > 0 and "array_position" in plan._jdf.queryExecution().optimizedPlan().toString()
