@@ -46,6 +46,9 @@ N = 100
 K = 32
 PIECE = 1 << 17
 CHUNK = 1 << 18
+#: Of an anchor so many bits travel: it only brings fragments together, which are compared
+#: with each other (equal ones by their 64-bit hash too). The low ones are cut, as whole bytes.
+ANCHOR = U(0xFFFFFFFFFF000000)
 #: An anchor with more different fragments than this is not dealt to one task.
 HOT = 50_000
 
@@ -94,6 +97,7 @@ def _candidates(n: int, k: int):
             if found is None:
                 continue
             a, f, row, s, count = found
+            a = a & ANCHOR
             d = part.column("d").to_numpy()[row]
             t = part.column("t").to_numpy()[row]
             order = np.lexsort((s, t, d, f, a))
@@ -107,7 +111,7 @@ def _candidates(n: int, k: int):
             i, known = i[by_place], known[by_place]
             # an occurrence that is known needs no meeting, so its key spreads it
             spread = mix(a[i] + np.arange(1, len(i) + 1, dtype=np.uint64) * U(0x9E3779B97F4A7C15))
-            key = np.where(known, spread, a[i]).view(np.int64)
+            key = np.where(known, spread & ANCHOR, a[i]).view(np.int64)
             sc = s[i].astype(np.int64) << 16 | count[i] << 1 | known
             yield pa.RecordBatch.from_arrays(
                 [pa.array(key), pa.array(f[i].view(np.int64)), pa.array(d[i]), pa.array(t[i]), pa.array(sc)],
@@ -291,10 +295,12 @@ def places(docs: DataFrame, n: int = N, k: int = K, hot: int = HOT) -> DataFrame
         F.shiftleft(start, 17).bitwiseOR(F.shiftleft(size, 2)).bitwiseOR(flags.cast("long")).alias("p"))
 
 
-def recurring(docs: DataFrame, found: DataFrame, n: int = N) -> DataFrame:
+def recurring(docs: DataFrame, found: DataFrame, n: int = N, unique: bool = False) -> DataFrame:
     """a, d, t, sn (first byte and count of windows), body, spans: the fragments to compare,
     dealt and sorted by anchor; rows without a body carry spans that are known to occur earlier."""
-    found = found.where(F.col("p").bitwiseAND(2) == 0).groupBy("d", "t").agg(
+    # where t is the same for all, Spark joins by d alone: places dealt by both would be dealt again
+    key = ["d"] if unique else ["d", "t"]
+    found = found.where(F.col("p").bitwiseAND(2) == 0).repartition(*key).groupBy("d", "t").agg(
         F.collect_list("a").alias("keys"), F.collect_list("p").alias("places"))
     cut = docs.join(found, ["d", "t"]).mapInArrow(_cut(n), FRAGMENT)
     return cut.repartition("a").sortWithinPartitions("a", "d", "t", "sn")
@@ -351,9 +357,10 @@ def dedup_bytes(documents: DataFrame, n: int = N, k: int = K, texts: bool = True
     """doc_id, n_bytes, n_removed, n_spans, ``kept`` (the bytes that are left; without
     ``texts`` their SHA-256 as ``kept_sha256``) and spans (removed runs: first byte, from 0,
     and length). One row per document row."""
-    docs = keyed(documents, unique=unique_ids(documents))
+    unique = unique_ids(documents)
+    docs = keyed(documents, unique=unique)
     found = places(docs, n, k, hot)
-    spans = recurring(docs, found, n).mapInArrow(_scan(n, CHUNK), SPANS)
+    spans = recurring(docs, found, n, unique).mapInArrow(_scan(n, CHUNK), SPANS)
     spans = spans.unionByName(hot_spans(docs, found, n))
     spans = spans.groupBy("d", "t").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     rows = docs.join(spans, ["d", "t"], "left").mapInArrow(

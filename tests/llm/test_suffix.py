@@ -46,3 +46,28 @@ def test_candidates_of_a_document_follow_each_other():
     first = set(zip(a[row == 0].tolist(), f[row == 0].tolist()))
     again = [(x, y) in first and r == 2 for x, y, r in zip(a.tolist(), f.tolist(), row.tolist())]
     assert any(again) and (sc % 2 == 1).tolist() == again
+
+
+def test_anchors_travel_with_their_high_bits_only(spark):
+    rng = np.random.default_rng(2)
+    texts = [bytes(rng.integers(97, 123, 700).astype(np.uint8)).decode() for _ in range(3)]
+    texts.append("q" + texts[0][100:400] + "z" + texts[1][:250])
+    part = pa.RecordBatch.from_arrays(
+        [pa.array([1, 2, 3, 4], pa.int64()), pa.array([0] * 4, pa.int32()), pa.array(texts)], names=["d", "t", "text"])
+    (got,) = suffix._candidates(suffix.N, suffix.K)([part])
+    a = got.column("a").to_numpy().view(np.uint64)
+    assert (a & ~suffix.ANCHOR == 0).all() and len(np.unique(a)) > 10
+    docs = spark.createDataFrame(list(zip([1, 2, 3, 4], texts)), "doc_id long, text string").repartition(4)
+    assert {r.doc_id: r.n_removed for r in suffix.dedup_bytes(docs).collect()} == {1: 0, 2: 0, 3: 0, 4: 550}
+
+
+def test_places_of_unique_documents_are_dealt_once(spark):
+    docs = suffix.keyed(spark.range(50).selectExpr("id AS doc_id", "repeat(cast(id % 7 AS string), 300) AS text"), unique=True)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        count = [suffix.recurring(docs, suffix.places(docs), unique=u)._jdf.queryExecution().executedPlan().toString()
+                 .count("Exchange hashpartitioning") for u in (True, False)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert count[0] == count[1] - 1
