@@ -17,8 +17,11 @@ same one.
    runs are written to the checkpoint folder when the operator is called.
 3. *Automata.* Every task compiles the passages that its documents are linked to into
    Aho-Corasick automata of at most ``AUTOMATON_WINDOWS`` windows of words, one after the
-   other, and streams those documents through them. An occurrence is confirmed word by
-   word by the automaton, and counts if it starts later than the passage it repeats.
+   other, and streams those documents through them. They read runs of up to ``UNIT`` words,
+   each as two symbols, so a window is a few steps and no state has many successors; a
+   document is streamed once from each of its first ``UNIT`` words. An occurrence is
+   confirmed run by run by the automaton, and counts if it starts later than the passage it
+   repeats.
 
 So hashes only propose; a false proposal is never found, and equal windows always share
 anchor and hash. No task holds more than one automaton, one piece of text and one
@@ -46,6 +49,10 @@ from .rolling import U, anchors, grams, mix, word_hashes, words
 N = 20
 K = 6
 AUTOMATON_WINDOWS = 20_000
+#: Words of a run that the automata read as two symbols, at most; as many as divide a window
+#: are taken. There are ``FANOUT`` first symbols; a state's successors are searched one by one.
+UNIT = 5
+FANOUT = 64
 PIECE = 1 << 19
 #: Passages are cut from the earlier document in stretches of this many window starts.
 STRETCH = 64
@@ -169,17 +176,35 @@ def links(docs: DataFrame, n: int = N, k: int = K) -> DataFrame:
             .agg(F.min("lo").alias("lo"), F.max(F.col("lo") + F.col("n")).alias("hi")).drop("stretch"))
 
 
+PASSAGES = "d long, t int, passages array<struct<od:bigint,ot:int,lo:int,words:string>>"
+
+
+def _cut(n: int):
+    """Pairs of documents with the earlier one's text -> its passages. Pairs of one earlier
+    document that follow each other, as they do after a sort-merge join, split its text once."""
+    passage = pa.struct([("od", pa.int64()), ("ot", pa.int32()), ("lo", pa.int32()), ("words", pa.string())])
+
+    def run(batches):
+        source, ws = None, []
+        for part in pieces(batches):
+            data, off = utf8(part.column("text"))
+            cut = []
+            for i, (od, ot, spans) in enumerate(zip(*(part.column(c).to_pylist() for c in ("od", "ot", "spans")))):
+                if source != (od, ot):
+                    source, ws = (od, ot), data[off[i]:off[i + 1]].tobytes().split()
+                cut.append([{"od": od, "ot": ot, "lo": x["lo"], "words": b" ".join(ws[x["lo"]:x["hi"] + n - 1])}
+                            for x in spans])
+            yield pa.RecordBatch.from_arrays([part.column("d"), part.column("t"), pa.array(cut, pa.list_(passage))],
+                                             names=["d", "t", "passages"])
+
+    return run
+
+
 def passages(docs: DataFrame, linked: DataFrame, n: int = N) -> DataFrame:
     """d, t and passages: (od, ot, lo, words of the earlier document joined by a blank)."""
     pairs = linked.groupBy("od", "ot", "d", "t").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     source = docs.withColumnRenamed("d", "od").withColumnRenamed("t", "ot")
-    found = pairs.join(source, ["od", "ot"]).select(
-        "od", "ot", "d", "t", "spans",
-        F.split(F.btrim("text", F.lit(" \t\n\x0b\x0c\r")), r"[\x20\x09-\x0D]+").alias("words"))
-    cut = F.transform("spans", lambda x: F.struct(
-        F.col("od"), F.col("ot"), x["lo"].alias("lo"),
-        F.array_join(F.slice("words", x["lo"] + 1, x["hi"] - x["lo"] + n - 1), " ").alias("words")))
-    found = found.select("d", "t", cut.alias("passages"))
+    found = pairs.join(source, ["od", "ot"]).select("od", "ot", "d", "t", "spans", "text").mapInArrow(_cut(n), PASSAGES)
     return found.groupBy("d", "t").agg(F.flatten(F.collect_list("passages")).alias("passages"))
 
 
@@ -201,21 +226,31 @@ def covered(docs: list[tuple], n: int = N, limit: int = AUTOMATON_WINDOWS) -> li
     earlier. Automata of ``limit`` windows are compiled and run one after the other."""
     import ahocorasick
 
+    unit = max(u for u in range(1, UNIT + 1) if n % u == 0)
+
+    def runs(ws):
+        return zip(*(ws[i:] for i in range(unit)))
+
+    def symbols(ids):
+        # the second symbols are no first ones, so what is found starts with a run
+        return [k % FANOUT for k in ids], [FANOUT + k // FANOUT for k in ids]
+
     masks = [np.zeros(len(w) + 1, np.int32) for _, _, w, _ in docs]
     todo = joined(((p["od"], p["ot"], p["lo"], p["words"].encode().split()) for x in docs for p in x[3]), n)
     at, skip = 0, 0
     while at < len(todo):
-        number: dict[bytes, int] = {}
+        number: dict[tuple, int] = {}
         machine = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
         size = 0
         while at < len(todo) and size < limit:
             od, ot, lo, ws = todo[at]
             some = ws[skip:skip + limit + n - 1]
-            ids = tuple([number.setdefault(w, len(number) + 1) for w in some])
+            pair = symbols([number.setdefault(x, len(number)) for x in runs(some)])
+            windows = list(zip(*(s[i:] for i in range(0, n, unit) for s in pair)))
             # later places first, so of equal windows the earliest stays
-            for i in range(len(ids) - n, -1, -1):
-                machine.add_word(ids[i:i + n], (od, ot, lo + skip + i))
-            size += len(ids)
+            for i in range(len(windows) - 1, -1, -1):
+                machine.add_word(windows[i], (od, ot, lo + skip + i))
+            size += len(some)
             if skip + limit + n - 1 < len(ws):
                 skip += limit
             else:
@@ -223,12 +258,20 @@ def covered(docs: list[tuple], n: int = N, limit: int = AUTOMATON_WINDOWS) -> li
         if not len(machine):
             continue
         machine.make_automaton()
-        get = number.get
+        get, unknown = number.get, (len(number) // FANOUT + 1) * FANOUT
         for (d, t, ws, _), mask in zip(docs, masks):
-            for end, place in machine.iter(tuple([get(w, 0) for w in ws])):
-                if place < (d, t, end - n + 1):
-                    mask[end - n + 1] += 1
-                    mask[end + 1] -= 1
+            if len(ws) < n:
+                continue
+            # a run that no passage has gets a symbol that none has
+            one, two = symbols([get(x, unknown) for x in runs(ws)])
+            for first in range(unit):
+                stream = [0] * (2 * len(range(first, len(one), unit)))
+                stream[::2], stream[1::2] = one[first::unit], two[first::unit]
+                for end, place in machine.iter(tuple(stream)):
+                    start = first + unit * (end // 2 + 1) - n
+                    if place < (d, t, start):
+                        mask[start] += 1
+                        mask[start + n] -= 1
     return [np.cumsum(m[:-1]) > 0 for m in masks]
 
 

@@ -46,3 +46,55 @@ def test_windows_shared_by_different_runs(spark):
     table = spark.createDataFrame(docs, "doc_id long, text string").repartition(16)
     got = [(r.doc_id, r.n_removed) for r in substring.dedup_substrings(table).collect()]
     assert sorted(got) == sorted((d, 0 if d in (0, 200) else 22) for d, _ in docs)
+
+
+def test_passages_are_cut_once_for_neighbouring_pairs():
+    spans = pa.array([[{"lo": 1, "hi": 2}], [{"lo": 0, "hi": 1}, {"lo": 3, "hi": 4}]])
+    part = pa.RecordBatch.from_arrays(
+        [pa.array([1, 1], pa.int64()), pa.array([0, 0], pa.int32()), pa.array([5, 6], pa.int64()),
+         pa.array([0, 0], pa.int32()), spans, pa.array([" a\tb\n\nc é x  e "] * 2)],
+        names=["od", "ot", "d", "t", "spans", "text"])
+    (got,) = substring._cut(2)([part])
+    cut = [[(p["od"], p["ot"], p["lo"], p["words"]) for p in row] for row in got.column("passages").to_pylist()]
+    assert cut == [[(1, 0, 1, "b c")], [(1, 0, 0, "a b"), (1, 0, 3, "é x e")]]
+
+
+def test_runs_of_any_length_find_what_single_words_find():
+    rng = np.random.default_rng(4)
+    for n in (1, 3, 4, 7, 10, 20):
+        source = [str(x).encode() for x in rng.integers(0, 4, 400)]
+        doc = [str(x).encode() for x in rng.integers(0, 4, 30)] + source[37:37 + 3 * n] + [b"new"] + source[200:200 + n]
+        passage = {"od": 1, "ot": 0, "lo": 0, "words": b" ".join(source).decode()}
+        (mask,) = substring.covered([(2, 0, doc, [passage])], n, limit=50)
+        known = {tuple(source[i:i + n]) for i in range(len(source) - n + 1)}
+        want = np.zeros(len(doc), bool)
+        for i in range(len(doc) - n + 1):
+            if tuple(doc[i:i + n]) in known:
+                want[i:i + n] = True
+        assert mask.tolist() == want.tolist()
+
+
+def test_automata_of_many_words_have_few_successors_a_state(monkeypatch):
+    import ahocorasick
+
+    added = []
+
+    class Machine:
+        def __init__(self, *kind):
+            self.real = ahocorasick.Automaton(*kind)
+
+        def __len__(self):
+            return len(self.real)
+
+        def add_word(self, key, value):
+            added.append(key)
+            return self.real.add_word(key, value)
+
+        def __getattr__(self, name):
+            return getattr(self.real, name)
+
+    monkeypatch.setattr(ahocorasick, "Automaton", Machine)
+    words = [str(i).encode() for i in range(3000)]
+    passage = {"od": 1, "ot": 0, "lo": 0, "words": b" ".join(words).decode()}
+    (mask,) = substring.covered([(2, 0, words[100:200], [passage])])
+    assert mask.all() and len({k[0] for k in added}) <= substring.FANOUT and {len(k) for k in added} == {8}
