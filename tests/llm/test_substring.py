@@ -77,11 +77,11 @@ def test_runs_of_any_length_find_what_single_words_find():
 def test_automata_of_many_words_have_few_successors_a_state(monkeypatch):
     import ahocorasick
 
-    added = []
+    added, automaton = [], ahocorasick.Automaton
 
     class Machine:
         def __init__(self, *kind):
-            self.real = ahocorasick.Automaton(*kind)
+            self.real = automaton(*kind)
 
         def __len__(self):
             return len(self.real)
