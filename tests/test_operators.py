@@ -291,3 +291,36 @@ def test_few_and_many_citations_give_the_same(spark):
     assert all(r.few == r.many == r.any for r in both) and any(r.few for r in both)
     plan = df.select(e._cited(F.col("p"), F.col("t")).alias("any"))
     assert e.FEW_PAIRS > 0 and "array_position" in plan._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_prompts_meet_abstracts_unsorted_and_are_counted_in_parts(spark, monkeypatch):
+    from attestor.functions import prompt as P
+    from attestor.operators import prompts
+
+    texts = {"1": "Straße → 東京 😀.", "2": "plain", "3": "é" * 500, "4": None}
+    store = spark.createDataFrame([(p, "t", t, "d", None) for p, t in texts.items()],
+                                  "bare_pmid string, title string, abstract string, fetch_date string, error string")
+    triples = spark.createDataFrame(
+        [("C:1", "inhibits", "C:2", "PMID:1"), ("C:1", "biolink:acts_on", "C:☃", "pmid:2"), ("C:2", "ß", "C:1", "3"),
+         ("C:2", "ß", "C:1", "3"), ("C:9", "inhibits", None, "PMID:3"), ("C:1", "ß", "C:2", "4"), ("C:1", "ß", "C:2", None)],
+        "subject_curie string, predicate string, object_curie string, PMID string")
+    known = spark.createDataFrame([("C:1", "näme", "cat", "→", ["ä", "b"]), ("C:2", "", None, "", [])],
+                                  "curie string, name string, category string, description string, all_names array<string>")
+    defined = spark.createDataFrame([("inhibits", "wörds")], "predicate string, description string")
+    monkeypatch.setattr(entities, "fits", lambda *frames, **kw: False)
+    rows, _ = st.split_by_abstract(triples, store)
+    built = prompts.build_prompts(rows, store, known, defined, with_text=True)
+    got = built.collect()
+    assert len(got) == 5 and built.columns[-4:] == ["title", "abstract", "prompt", "text_chars"]
+    assert sum(r.prompt is None for r in got) == 1  # without an object there is no text, as before
+    for r in got:
+        assert r.text_chars == r.prompt_chars == (None if r.prompt is None else len(r.prompt))
+        assert r.prompt is None or (texts[r.bare_pmid] in r.prompt and P.MATCHING_RULES in r.prompt)
+    keys = prompts.build_prompts(rows, store, known, defined)
+    assert sorted(r.prompt_key for r in keys.collect()) == sorted(r.prompt_key for r in got)
+    plan = built._jdf.queryExecution().sparkPlan().toString().splitlines()
+    last = next(i for i, line in enumerate(plan) if "Join" in line)
+    assert "ShuffledHashJoin [bare_pmid" in plan[last]
+    # what is made of what was looked up does not travel
+    above, below = "".join(plan[:last]), "".join(plan[last:])
+    assert all(c in above and c not in below for c in ("AS prompt_key", "AS _sec_triple", "AS _sec_predicate"))
