@@ -679,7 +679,7 @@ def predicates_file(spark, sf_dir):
 def edges_file(spark, sf_dir):
     """S2 + S14 + O1: edge records as JSON lines, read, extracted, stored and read back."""
     path, out = _folder(spark, "edges"), _folder(spark, "edges-out")
-    nested.edges(spark, sf_dir).orderBy("_pos").drop("_pos").write.json(path)
+    nested.edges(spark, sf_dir).orderBy("_pos").drop("_pos").write.json(path, compression="gzip")
     sinks.write_edges(edges_op.extract_edges(edges_op.read_edges(spark, path)), out)
     return spark.read.parquet(out)
 

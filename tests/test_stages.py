@@ -8,6 +8,7 @@ from attestor.functions.keys import packed, unpacked
 from attestor.operators import score
 from attestor.operators.hot import hot_join
 from attestor.session import materialize_by, write_stage
+from attestor.sources.sinks import as_text
 
 
 def _sha(i) -> str:
@@ -62,3 +63,23 @@ def test_hot_join_on_packed_keys(spark):
     got = hot_join(rows, other, "k")
     assert "Union" in _plan(got)  # the hot key was split off
     assert got.where(F.hex("k") == F.col("v")).count() == 20_000
+
+
+def test_text_form_leaves_numbers_alone_and_cleans_text(spark):
+    df = spark.createDataFrame([("a\r\nb\rc\td\"e", 1.5, 7, True), (None, None, None, None)],
+                               "s string, d double, n long, b boolean")
+    text = as_text(df)
+    assert [tuple(r) for r in text.collect()] == [("a b c d'e", "1.5", "7", "True"), ("None",) * 4]
+    plan = _plan(text)
+    assert plan.count("translate(") == 1 and "regexp_replace" not in plan
+
+
+def test_edge_records_are_written_compressed(spark, monkeypatch):
+    from attestor.plans import queries
+
+    seen = []
+    read = queries.edges_op.read_edges
+    monkeypatch.setattr(queries.edges_op, "read_edges", lambda s, path: seen.extend(
+        s.read.text(path).inputFiles()) or read(s, path))
+    assert queries.QUERIES["edges_file"](spark, "/root/testdata/sf0.001").count() > 0
+    assert seen and all(f.endswith(".json.gz") for f in seen)
